@@ -21,61 +21,48 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = parse_json_column(table(spark, sf_dir, "events"), "props", PROPS, "parsed")
-    return parsed.withColumn("k", F.col("parsed.k")).drop("parsed")
-
-
-def _keys() -> list:
-    return [
+    return parsed.selectExpr("* EXCEPT (parsed)", "parsed.k AS k")
+
+
+# Stream measures out of an event's value and k; a few temperatures are missing.
+WEATHER = {
+    "temperature_2m": "CASE WHEN k != 0 THEN value END",
+    "relative_humidity_2m": "CAST(k AS DOUBLE)",
+    "precipitation": "greatest(value - k, 0D)",
+    "wind_speed_10m": "abs(value - k)",
+    "weather_code": "k",
+}
+AIR_QUALITY = {
+    "pm10": "value + k",
+    "pm2_5": "CAST(k AS DOUBLE)",
+    "carbon_monoxide": "value * 2",
+    "nitrogen_dioxide": "k * 0.5D",
+    "sulphur_dioxide": "value * 0.5D",
+    "ozone": "CAST(100 - k AS DOUBLE)",
+    "european_aqi": "CAST(k AS DOUBLE)",
+    "us_aqi": "value",
+}
+
+
+def _observations(spark: SparkSession, sf_dir: str, measures: dict[str, str]) -> DataFrame:
+    return events(spark, sf_dir).selectExpr(
         "event_id",
-        F.col("event_type").alias("city"),
-        F.to_date("ts").alias("date"),
-        F.hour("ts").alias("hour"),
-        F.col("ts").alias("datetime_utc"),
-    ]
-
-
-def _tail() -> list:
-    return [
-        F.concat(F.lit("events/"), F.col("event_type")).alias("source_file"),
-        F.to_timestamp(F.lit(RUN_TS)).cast("timestamp_ntz").alias("silver_processed_at"),
-    ]
-
-
-def weather_measures() -> dict:
-    value, k = F.col("value"), F.col("k")
-    return {
-        "temperature_2m": F.when(k != 0, value),
-        "relative_humidity_2m": k.cast("double"),
-        "precipitation": F.greatest(value - k, F.lit(0.0)),
-        "wind_speed_10m": F.abs(value - k),
-        "weather_code": k,
-    }
-
-
-def air_quality_measures() -> dict:
-    value, k = F.col("value"), F.col("k")
-    return {
-        "pm10": value + k,
-        "pm2_5": k.cast("double"),
-        "carbon_monoxide": value * 2,
-        "nitrogen_dioxide": k * F.lit(0.5),
-        "sulphur_dioxide": value * F.lit(0.5),
-        "ozone": (100 - k).cast("double"),
-        "european_aqi": k.cast("double"),
-        "us_aqi": value,
-    }
-
-
-def _observations(spark: SparkSession, sf_dir: str, measures: dict) -> DataFrame:
-    return events(spark, sf_dir).select(*_keys(), *[c.alias(n) for n, c in measures.items()], *_tail())
+        "event_type AS city",
+        "to_date(ts) AS date",
+        "hour(ts) AS hour",
+        "ts AS datetime_utc",
+        *[f"{expression} AS {name}" for name, expression in measures.items()],
+        "concat('events/', event_type) AS source_file",
+        f"TIMESTAMP_NTZ '{RUN_TS}' AS silver_processed_at",
+    )
 
 
 def silver_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _observations(spark, sf_dir, weather_measures())
+    return _observations(spark, sf_dir, WEATHER)
 
 
 def silver_air_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _observations(spark, sf_dir, air_quality_measures())
+    return _observations(spark, sf_dir, AIR_QUALITY)
 
 
 def staged_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,15 +77,15 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.fct_daily(staged_weather(spark, sf_dir), staged_air_quality(spark, sf_dir))
 
 
-def bronze(spark: SparkSession, sf_dir: str, measures: dict) -> DataFrame:
+def bronze(spark: SparkSession, sf_dir: str, measures: dict[str, str]) -> DataFrame:
     """Observations stamped with their hour: many ingestions of one (city, time), the newest event wins."""
-    return events(spark, sf_dir).select(
-        F.col("event_type").alias("city"),
-        F.date_format(F.date_trunc("hour", "ts"), "yyyy-MM-dd'T'HH:mm").alias("time"),
-        *[c.cast("double").alias(n) for n, c in measures.items()],
-        F.concat(F.lit("events/"), F.col("event_type")).alias("source_file"),
-        F.sha2("props", 256).alias("payload_hash"),
-        F.col("ts").alias("ingestion_timestamp"),
+    return events(spark, sf_dir).selectExpr(
+        "event_type AS city",
+        "date_format(date_trunc('hour', ts), \"yyyy-MM-dd'T'HH:mm\") AS time",
+        *[f"CAST({expression} AS DOUBLE) AS {name}" for name, expression in measures.items()],
+        "concat('events/', event_type) AS source_file",
+        "sha2(props, 256) AS payload_hash",
+        "ts AS ingestion_timestamp",
     )
 
 

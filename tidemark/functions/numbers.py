@@ -18,15 +18,17 @@ def round_half_away(value: str | Column, digits: int) -> Column:
 
     Sums of doubles depend on the order partial results arrive in, so a mean
     that is an exact half-way case may come out one ulp to either side from run
-    to run. The scaled value is first snapped to six more digits, which makes
+    to run. The scaled value is first rounded to six more digits, which makes
     the outcome independent of partitioning.
     """
     scale = float(10**digits)
-    scaled = as_col(value) * F.lit(scale)
-    snapped = F.when(F.abs(scaled) < 4.5e9, F.rint(scaled * 1e6) / 1e6).otherwise(scaled)
-    size = F.abs(snapped)
-    whole = F.when(size < float(2**52), F.floor(size + 0.5).cast("double")).otherwise(size)
-    return F.signum(snapped) * whole / scale
+    return F.round(F.round(as_col(value) * F.lit(scale), 6), 0) / F.lit(scale)
+
+
+def round_half_away_sql(expression: str, digits: int) -> str:
+    """The same as SQL text, for builders that compose many columns at once."""
+    scale = f"{float(10**digits)}D"
+    return f"round(round(({expression}) * {scale}, 6), 0) / {scale}"
 
 
 def clamp(value: str | Column, low: float, high: float) -> Column:

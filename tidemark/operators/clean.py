@@ -101,9 +101,9 @@ def select_exclude(df: DataFrame, *columns: str) -> DataFrame:
 
 def staging_projection(df: DataFrame, columns: Mapping[str, tuple[str, str | None]]) -> DataFrame:
     """``{output: (input, type)}``: rename and cast in one projection; type None keeps the input's."""
-    return df.select(
-        [
-            (F.col(source) if dtype is None else F.col(source).cast(dtype)).alias(name)
+    return df.selectExpr(
+        *[
+            f"`{source}` AS `{name}`" if dtype is None else f"CAST(`{source}` AS {dtype}) AS `{name}`"
             for name, (source, dtype) in columns.items()
         ]
     )

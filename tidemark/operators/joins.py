@@ -59,4 +59,5 @@ def append_forecast_point(series: DataFrame, forecasts: DataFrame) -> DataFrame:
 def unpivot_measures(df: DataFrame, ids: Sequence[str], columns: Mapping[str, str]) -> DataFrame:
     """``{column: shown name}`` to (name, value) rows; reads the row once."""
     renamed = df.select(*ids, *[F.col(c).cast("double").alias(shown) for c, shown in columns.items()])
-    return renamed.unpivot(list(ids), list(columns.values()), "name", "value")
+    shown = [F.col(f"`{name}`") for name in columns.values()]
+    return renamed.unpivot(list(ids), shown, "name", "value")

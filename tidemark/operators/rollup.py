@@ -7,9 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.numbers import as_col, improvement_pct, round_half_away
+from tidemark.functions.numbers import as_col, improvement_pct, round_half_away, round_half_away_sql
 
-_FUNCTIONS = {"avg": F.avg, "min": F.min, "max": F.max, "sum": F.sum}
+_FUNCTIONS = ("avg", "min", "max", "sum")
 
 # {output: (function, input column, digits)}
 Measures = Mapping[str, tuple[str, str, int]]
@@ -17,10 +17,12 @@ Measures = Mapping[str, tuple[str, str, int]]
 
 def daily_rollup(df: DataFrame, keys: Sequence[str], measures: Measures, count_as: str) -> DataFrame:
     """Rounded aggregates and a row count per key and day."""
-    aggregates = [
-        round_half_away(_FUNCTIONS[fn](F.col(source)), digits).alias(name)
-        for name, (fn, source, digits) in measures.items()
-    ]
+    aggregates = []
+    for name, (function, source, digits) in measures.items():
+        if function not in _FUNCTIONS:
+            raise ValueError(f"unknown aggregate {function!r}")
+        rounded = round_half_away_sql(f"{function}(`{source}`)", digits)
+        aggregates.append(F.expr(f"{rounded} AS `{name}`"))
     return df.groupBy(*keys).agg(*aggregates, F.count(F.lit(1)).alias(count_as))
 
 
