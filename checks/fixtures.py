@@ -120,7 +120,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return days.select(
         "city",
         F.col("date").cast("string").alias("target_date"),
-        F.to_json(F.struct("hourly", meta.alias("_metadata"))).alias("payload"),
+        F.to_json(F.struct("hourly", meta.alias("_metadata")), {"pretty": "true"}).alias("payload"),
     )
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.schemas import struct_of
+from tidemark.operators.clean import dedupe_latest
 from tidemark.operators.joins import missing_dates, route_by_age
 from tidemark.operators.quality import (
     QualityGateError,
@@ -22,10 +24,10 @@ from tidemark.plans import defaults as D
 from tidemark.plans import gold
 from tidemark.plans.forecasting import prepare, locked_summary, run_forecast
 from tidemark.plans.silver import AIR_QUALITY, WEATHER, Stream
+from tidemark.sources.files import path_exists
 from tidemark.sources.landing import landing_first_write_wins
 from tidemark.sources.snapshots import VersionedTable
 from tidemark.sources.tables import (
-    append_sink,
     export_snapshot_json,
     overwrite_sink,
     read_prior_snapshot,
@@ -34,10 +36,15 @@ from tidemark.sources.tables import (
 from tidemark.streaming.incremental import StreamPaths, incremental_refresh, silver_table
 
 GATE = "data_quality_hard_gate"
-META_SCHEMA = T.StructType.fromDDL(
-    "last_refresh_timestamp string, status string, quality_gate_passed boolean, "
-    "layers array<struct<layer: string, row_count: bigint>>, "
-    "split struct<train_min: int, val: int, test: int>, winning_config string"
+META_SCHEMA = struct_of(
+    {
+        "last_refresh_timestamp": "string",
+        "status": "string",
+        "quality_gate_passed": "boolean",
+        "layers": T.ArrayType(struct_of({"layer": "string", "row_count": "bigint"})),
+        "split": struct_of({"train_min": "int", "val": "int", "test": "int"}),
+        "winning_config": "string",
+    }
 )
 
 
@@ -60,8 +67,15 @@ class Lake:
 
 
 def _rollup_schema(measures, count: str) -> T.StructType:
-    columns = ", ".join(f"{m} double" for m in measures)
-    return T.StructType.fromDDL(f"city string, metric_date date, {columns}, {count} bigint, silver_version int")
+    return struct_of(
+        {
+            "city": "string",
+            "metric_date": "date",
+            **{m: "double" for m in measures},
+            count: "bigint",
+            "silver_version": "int",
+        }
+    )
 
 
 def _days_table(spark: SparkSession, lake: Lake, stream: Stream) -> VersionedTable:
@@ -72,36 +86,40 @@ def _days_table(spark: SparkSession, lake: Lake, stream: Stream) -> VersionedTab
     return VersionedTable(spark, lake.gold(f"days_{stream.name}"), schema, D.DAILY_KEYS, "metric_date")
 
 
+def landed_keys(spark: SparkSession, raw_root: str) -> DataFrame:
+    """(city, target_date) of every landed file, from its path alone; no file is opened."""
+    if not path_exists(spark, raw_root):
+        return spark.createDataFrame([], struct_of({"city": "string", "target_date": "date"}))
+    paths = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(raw_root).select("path")
+    day = F.regexp_extract("path", r"(\d{4}-\d{2}-\d{2})[^/]*(/[^/]*)?$", 1)
+    below = F.element_at(F.split(F.substring_index("path", raw_root.rstrip("/") + "/", -1), "/"), 1)
+    return paths.select(
+        F.regexp_replace(below, "^city=", "").alias("city"), day.try_cast("date").alias("target_date")
+    )
+
+
 def wanted_files(
-    spark: SparkSession, lake: Lake, stream: Stream, today: dt.date, backfill_days: int, target_date: dt.date | None
+    spark: SparkSession, lake: Lake, stream: Stream, today: dt.date, backfill_days: int, target_date: dt.date | None = None
 ) -> DataFrame:
-    """(city, date, route) documents still to be fetched for the asked-for window."""
+    """(city, target_date, route) documents still to be fetched for the asked-for window."""
     end = target_date or today - dt.timedelta(days=1)
     start = target_date or today - dt.timedelta(days=backfill_days)
-    silver = silver_table(spark, lake.stream(stream.name), stream).read()
-    window = silver.select("city", "date").filter(F.col("date").between(F.lit(start), F.lit(end)))
+    landed = landed_keys(spark, lake.stream(stream.name).raw).filter(
+        F.col("target_date").between(F.lit(start), F.lit(end))
+    )
     # Configured cities take part even when nothing of theirs has landed.
-    cities = gold.city_dimension(spark).select("city", F.lit(None).cast("date").alias("date"))
-    gaps = missing_dates(window.unionByName(cities), "city", "date", start, end)
-    return gaps.withColumn("route", route_by_age("date", today))
+    cities = gold.city_dimension(spark).select("city", F.lit(None).cast("date").alias("target_date"))
+    gaps = missing_dates(landed.unionByName(cities), "city", "target_date", start, end)
+    return gaps.withColumn("route", route_by_age("target_date", today))
 
 
 def land_documents(docs: DataFrame, lake: Lake, stream: Stream) -> None:
-    """Append JSON documents ``(city, target_date, payload)`` not landed before; the first write wins."""
-    path = lake.stream(stream.name).raw
-    landed = scan_landed(docs.sparkSession, path)
-    fresh = landing_first_write_wins(docs, landed, ["city", "target_date"])
-    fresh.select("city", "target_date", "payload").write.mode("append").partitionBy("city", "target_date").text(path)
-
-
-def scan_landed(spark: SparkSession, path: str) -> DataFrame:
-    schema = T.StructType.fromDDL("payload string, city string, target_date string")
-    from tidemark.sources.files import glob_paths
-
-    if not glob_paths(spark, f"{path}/city=*"):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("wholetext", "true").text(path)
-
+    """Append ``(city, target_date, payload)`` documents not landed before; the first write wins."""
+    spark, path = docs.sparkSession, lake.stream(stream.name).raw
+    typed = docs.withColumn("target_date", F.col("target_date").cast("date"))
+    one_each = dedupe_latest(typed, ["city", "target_date"], ["payload"])
+    fresh = landing_first_write_wins(one_each, landed_keys(spark, path), ["city", "target_date"])
+    fresh.write.mode("append").partitionBy("city", "target_date").text(path)
 
 
 def run_meta(
@@ -141,7 +159,7 @@ def refresh_lake(
     run_ts: str,
     max_files_per_batch: int | None = None,
     forecast: bool = True,
-    pattern: str = "*/*",
+    file_glob: str = "*.json",
 ) -> dict[str, int]:
     """Bring every layer up to date with the landed files.
 
@@ -157,7 +175,7 @@ def refresh_lake(
     stage = "ingest"
     try:
         batches = {
-            s.name: incremental_refresh(spark, lake.stream(s.name), s, run_ts, pattern, max_files_per_batch)
+            s.name: incremental_refresh(spark, lake.stream(s.name), s, run_ts, file_glob, max_files_per_batch)
             for s in (WEATHER, AIR_QUALITY)
         }
         stage = "gold"

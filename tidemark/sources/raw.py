@@ -73,14 +73,25 @@ def parse_documents(files: DataFrame, schema: T.StructType) -> DataFrame:
     return parsed.withColumn("is_malformed", F.coalesce(bad, F.lit(True)))
 
 
-def scan_raw_json(spark: SparkSession, root: str, schema: T.StructType, pattern: str = "*/*") -> DataFrame:
-    """Every file matching ``root/pattern`` as one whole document."""
+def whole_files(reader, root: str, file_glob: str) -> DataFrame:
+    """``(path, payload)`` of every file below ``root``; works for batch and stream readers.
+
+    Folders are listed in parallel by Spark instead of expanding a glob on the
+    driver, and a ``key=value`` folder name is no column.
+    """
     files = (
-        spark.read.option("wholetext", "true")
-        .text(f"{root.rstrip('/')}/{pattern}")
-        .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("payload"))
+        reader.format("text")
+        .option("wholetext", "true")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", file_glob)
+        .load(root)
     )
-    return parse_documents(files, schema)
+    return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("payload"))
+
+
+def scan_raw_json(spark: SparkSession, root: str, schema: T.StructType, file_glob: str = "*.json") -> DataFrame:
+    """Every matching file as one parsed document."""
+    return parse_documents(whole_files(spark.read, root, file_glob), schema)
 
 
 def tolerate_malformed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
