@@ -1,0 +1,128 @@
+"""The whole lake: incremental runs, replays, refused days, published results."""
+
+import datetime as dt
+import json
+from pathlib import Path
+
+import pytest
+
+from tidemark.operators.quality import QualityGateError
+from tidemark.plans.refresh import META_SCHEMA, Lake, refresh_lake
+from tidemark.plans.silver import AIR_QUALITY, WEATHER
+from tidemark.streaming.incremental import StreamPaths, incremental_refresh, silver_table
+
+RUN = "2026-09-23 03:00:00"
+CITIES = ("delhi", "pune")
+
+
+def land(root, stream, city, day, value):
+    folder = Path(root.removeprefix("file:")) / "raw" / stream / city
+    folder.mkdir(parents=True, exist_ok=True)
+    times = [f"{day}T{h:02d}:00" for h in range(24)]
+    if stream == "weather":
+        measures = {"temperature_2m": [value] * 24, "relative_humidity_2m": [50] * 24, "precipitation": [0.1] * 24,
+                    "wind_speed_10m": [5.5] * 24, "weather_code": [1] * 24}
+    else:
+        measures = {m: [value] * 24 for m in AIR_QUALITY.measures}
+    doc = {"hourly": {"time": times, **measures}, "_metadata": {"city": city, "target_date": str(day)}}
+    (folder / f"{day}-{value}.json").write_text(json.dumps(doc, indent=2))
+
+
+def land_days(root, first, n, weather=20.0, air=80.0):
+    for i in range(n):
+        for city in CITIES:
+            day = first + dt.timedelta(days=i)
+            land(root, "weather", city, day, weather)
+            land(root, "air_quality", city, day, air + i)
+
+
+def published(spark, root, name="fct_daily"):
+    return spark.read.parquet(Lake(root).gold(name))
+
+
+def test_reruns_add_nothing_and_corrections_win(spark, lake_root):
+    paths = StreamPaths.below(lake_root, "weather")
+    day = dt.date(2026, 9, 1)
+    land(lake_root, "weather", "delhi", day, 20.0)
+    assert incremental_refresh(spark, paths, WEATHER, RUN) == 1
+    assert incremental_refresh(spark, paths, WEATHER, RUN) == 0
+    table = silver_table(spark, paths, WEATHER)
+    assert table.read().count() == 24 and table.versions() == [0]
+    land(lake_root, "weather", "delhi", day, 25.0)
+    incremental_refresh(spark, paths, WEATHER, "2026-09-24 03:00:00")
+    assert {r.temperature_2m for r in table.read().collect()} == {25.0}
+    assert {r.temperature_2m for r in table.read(0).collect()} == {20.0}
+
+
+def test_a_replayed_batch_leaves_the_same_rows(spark, lake_root):
+    paths = StreamPaths.below(lake_root, "weather")
+    land(lake_root, "weather", "delhi", dt.date(2026, 9, 1), 20.0)
+    incremental_refresh(spark, paths, WEATHER, RUN)
+    table = silver_table(spark, paths, WEATHER)
+    before = sorted(map(str, table.read().collect()))
+    bronze = spark.read.parquet(paths.bronze).count()
+    # A lost checkpoint makes the stream read everything again.
+    lost = StreamPaths(**{**paths.__dict__, "checkpoint": paths.checkpoint + "-new"})
+    assert incremental_refresh(spark, lost, WEATHER, RUN) == 1
+    assert sorted(map(str, table.read().collect())) == before
+    assert spark.read.parquet(paths.bronze).count() == bronze
+
+
+def test_small_batches_give_the_same_silver(spark, lake_root):
+    for i in range(5):
+        land(lake_root, "weather", "delhi", dt.date(2026, 9, 1 + i), 20.0)
+    paths = StreamPaths.below(lake_root, "weather")
+    assert incremental_refresh(spark, paths, WEATHER, RUN, max_files_per_batch=2) == 3
+    assert silver_table(spark, paths, WEATHER).read().count() == 120
+
+
+def test_refresh_from_landing_to_snapshots(spark, lake_root):
+    land_days(lake_root, dt.date(2026, 8, 1), 30)
+    assert refresh_lake(spark, lake_root, RUN) == {"weather": 1, "air_quality": 1}
+    lake = Lake(lake_root)
+    fact = published(spark, lake_root)
+    assert fact.count() == 60
+    first = fact.orderBy("city", "metric_date").first()
+    assert (first.avg_temperature_c, first.total_precipitation_mm, first.avg_us_aqi, first.aqi_category) == (20.0, 2.4, 80.0, "Moderate")
+    assert published(spark, lake_root, "dim_city").count() == 8
+    assert published(spark, lake_root, "predictions").count() == 2
+    assert published(spark, lake_root, "config_ranking").count() == 6
+    assert spark.read.json(lake.snapshot("metrics")).count() == 60
+    summary = spark.read.json(lake.snapshot("summary"))
+    assert {r.city_name for r in summary.collect()} == {"Delhi", "Pune"}
+    meta = spark.read.schema(META_SCHEMA).json(lake.snapshot("run_meta")).first()
+    assert meta.status == "HEALTHY" and meta.quality_gate_passed
+    assert {x.layer: x.row_count for x in meta.layers}["silver_weather"] == 1440
+
+    # The next run takes the new days only and keeps the old ones.
+    land_days(lake_root, dt.date(2026, 8, 31), 1)
+    assert refresh_lake(spark, lake_root, "2026-09-24 03:00:00", forecast=False) == {"weather": 1, "air_quality": 1}
+    assert published(spark, lake_root).count() == 62
+    assert refresh_lake(spark, lake_root, "2026-09-25 03:00:00", forecast=False) == {"weather": 0, "air_quality": 0}
+    assert published(spark, lake_root).count() == 62
+
+
+def test_a_failed_gate_publishes_nothing_until_mended(spark, lake_root):
+    day = dt.date(2026, 8, 1)
+    land_days(lake_root, day, 3)
+    refresh_lake(spark, lake_root, RUN, forecast=False)
+    # Silver allows an index of 900, the fact check does not.
+    land(lake_root, "weather", "delhi", dt.date(2026, 8, 4), 20.0)
+    land(lake_root, "air_quality", "delhi", dt.date(2026, 8, 4), 900.0)
+    for _ in range(2):
+        with pytest.raises(QualityGateError) as stopped:
+            refresh_lake(spark, lake_root, RUN, forecast=False)
+        assert "fct_daily.aqi_sanity: 1 violations" in stopped.value.failures
+    assert published(spark, lake_root).count() == 6
+    alerts = spark.read.json(Lake(lake_root).audit).collect()
+    assert len(alerts) == 2 and {a.severity for a in alerts} == {"CRITICAL"}
+    land(lake_root, "air_quality", "delhi", dt.date(2026, 8, 4), 90.0)
+    refresh_lake(spark, lake_root, "2026-09-24 03:00:00", forecast=False)
+    assert published(spark, lake_root).count() == 7
+
+
+def test_a_broken_stage_is_audited(spark, lake_root):
+    with pytest.raises(Exception):
+        refresh_lake(spark, lake_root, RUN)
+    alert = spark.read.json(Lake(lake_root).audit).first()
+    assert alert.task_id == "ingest" and alert.severity == "ERROR"
