@@ -7,7 +7,6 @@ from checks import fixtures as fx
 from checks.registry import check
 from checks.sql import s, with_ctes
 from tidemark.functions.schemas import struct_of
-from tidemark.operators.upsert import keyed_upsert
 from tidemark.plans import bronze as bronze_plan
 from tidemark.plans import defaults as D
 from tidemark.plans import silver as silver_plan
@@ -323,10 +322,11 @@ SILVER_SQL = """, b AS (SELECT *, date_trunc('hour', datetime_utc) AS slot FROM
 def build_silver(spark, sf):
     """Clean rows upserted into an empty Silver, with the quarantined ones beside them."""
     bronze = fx.bronze(spark, sf, fx.WEATHER)
-    clean, rejected = silver_plan.build_silver(bronze, silver_plan.WEATHER, fx.RUN_TS)
-    empty = spark.createDataFrame([], clean.schema)
-    silver = keyed_upsert(empty, clean, D.SILVER_KEYS)
     columns = [c for c in silver_plan.WEATHER.silver_columns if c != "silver_processed_at"]
-    return silver.select(F.lit("silver").alias("place"), *columns).unionByName(
-        rejected.select(F.lit("quarantine").alias("place"), *columns, "quarantine_reason"), allowMissingColumns=True
-    )
+    root = scratch_path(spark, "silver")
+    table = VersionedTable(spark, f"{root}/silver", silver_plan.WEATHER.silver_schema, D.SILVER_KEYS, "date")
+    with silver_plan.build_silver(bronze, silver_plan.WEATHER, fx.RUN_TS) as (clean, rejected):
+        table.upsert(clean, is_staged=True)
+        tables.append_sink(rejected, f"{root}/quarantine")
+    stored = spark.read.parquet(f"{root}/quarantine").select(F.lit("quarantine").alias("place"), *columns, "quarantine_reason")
+    return table.read().select(F.lit("silver").alias("place"), *columns).unionByName(stored, allowMissingColumns=True)

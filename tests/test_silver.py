@@ -129,15 +129,15 @@ def test_sides_and_lost_rows_add_up(spark):
         ("delhi", "22.09.2026 05:00", 20.0, 50.0, 5.0, RUN),
         ("delhi", None, 20.0, 50.0, 5.0, RUN),
     ])
-    clean, rejected = build_silver(rows, WEATHER, RUN)
-    assert [r.hour for r in clean.collect()] == [0]
-    # A null measure beside a real violation is rejected; alone it is dropped.
-    assert rejected.count() == 5
-    assert {r.quarantine_reason for r in rejected.collect()} == {D.REJECT_REASONS["weather"]}
-    kept, _ = build_silver(rows, WEATHER, RUN, on_null="keep")
-    assert sorted(r.hour for r in kept.collect()) == [0, 2]
-    _, all_rejected = build_silver(rows, WEATHER, RUN, on_null="reject")
-    assert all_rejected.count() == 6
+    with build_silver(rows, WEATHER, RUN) as (clean, rejected):
+        assert [r.hour for r in clean.collect()] == [0]
+        # A null measure beside a real violation is rejected; alone it is dropped.
+        assert rejected.count() == 5
+        assert {r.quarantine_reason for r in rejected.collect()} == {D.REJECT_REASONS["weather"]}
+    with build_silver(rows, WEATHER, RUN, on_null="keep") as (kept, _):
+        assert sorted(r.hour for r in kept.collect()) == [0, 2]
+    with build_silver(rows, WEATHER, RUN, on_null="reject") as (_, rejected):
+        assert rejected.count() == 6
     with pytest.raises(ValueError):
         split_clean_reject(rows, bounds_mask({"temperature_2m": (0, 1)}), "other")
 

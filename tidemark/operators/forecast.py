@@ -137,7 +137,12 @@ def fit_cells(split: DataFrame, spec: ForecastSpec, folds: Sequence[str], config
         [split.schema[spec.key], T.StructField("config", T.StringType()), T.StructField("fold", T.StringType())]
         + [split.schema[spec.date], T.StructField("prediction", T.DoubleType())]
     )
-    return rows.groupBy(spec.key, "config", "fold").applyInPandas(_fit_group(spec), schema)
+    # A fit costs far more than its few rows suggest, so cells are spread out explicitly:
+    # by their size alone AQE would merge them into one task.
+    spark = split.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    spread = rows.repartition(tasks, spec.key, "config", "fold")
+    return spread.groupBy(spec.key, "config", "fold").applyInPandas(_fit_group(spec), schema)
 
 
 def grid_scores(split: DataFrame, spec: ForecastSpec) -> DataFrame:

@@ -35,14 +35,16 @@ def missing_dates(
 ) -> DataFrame:
     """(key, date) pairs of the calendar ``start``..``end`` that have not landed.
 
-    Days are made distinct per key before anything is gathered, so a key's set is
-    at most the calendar long; the difference is taken inside the row.
+    Days are cut to the calendar and made distinct per key before anything is
+    gathered, so a key's set is at most the calendar long; the difference is
+    taken inside the row. A key with no day inside the calendar misses all of it.
     """
-    calendar = F.sequence(F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date"))
-    per_key = (
-        landed.select(key, date).distinct().groupBy(key).agg(F.collect_list(date).alias("landed"))
-    )
-    return per_key.select(key, F.explode(F.array_except(calendar, F.col("landed"))).alias(date))
+    first, last = (F.lit(str(d)).cast("date") for d in (start, end))
+    inside = F.when(F.col(date).between(first, last), F.col(date)).alias(date)
+    days = landed.select(key, inside).distinct()
+    per_key = days.groupBy(key).agg(F.collect_list(date).alias("landed"))
+    missing = F.array_except(F.sequence(first, last), F.col("landed"))
+    return per_key.select(key, F.explode(missing).alias(date))
 
 
 def route_by_age(date: str | Column, today: dt.date | str, archive_after: int = 5) -> Column:

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -144,6 +147,12 @@ def run_meta(
     )
 
 
+def together(*steps: Callable[[], object]) -> list:
+    """Independent steps submitted side by side, so small jobs do not wait for one another."""
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        return [done.result() for done in [pool.submit(step) for step in steps]]
+
+
 def _gate(spark: SparkSession, lake: Lake, report: DataFrame, run_ts: str) -> None:
     report = report.checkpoint()
     try:
@@ -174,10 +183,13 @@ def refresh_lake(
     lake = Lake(root.rstrip("/"))
     stage = "ingest"
     try:
-        batches = {
-            s.name: incremental_refresh(spark, lake.stream(s.name), s, run_ts, file_glob, max_files_per_batch)
-            for s in (WEATHER, AIR_QUALITY)
-        }
+        taken = together(
+            *[
+                partial(incremental_refresh, spark, lake.stream(s.name), s, run_ts, file_glob, max_files_per_batch)
+                for s in (WEATHER, AIR_QUALITY)
+            ]
+        )
+        batches = {s.name: n for s, n in zip((WEATHER, AIR_QUALITY), taken)}
         stage = "gold"
         staged_with = {WEATHER.name: gold.stage_weather, AIR_QUALITY.name: gold.stage_air_quality}
         rolled_with = {WEATHER.name: gold.weather_days, AIR_QUALITY.name: gold.air_quality_days}
@@ -208,28 +220,32 @@ def refresh_lake(
             dq_report({"dim_city": (dim, D.dim_city_checks()), "fct_daily": (fact, D.fact_checks())}),
             run_ts,
         )
-        overwrite_sink(dim, lake.gold("dim_city"))
-        overwrite_sink(fact, lake.gold("fct_daily"))
-
+        outputs = [
+            partial(overwrite_sink, dim, lake.gold("dim_city")),
+            partial(overwrite_sink, fact, lake.gold("fct_daily")),
+        ]
         winner = None
         if forecast and not fact.isEmpty():
             stage = "forecast"
             result = run_forecast(fact, run_ts=run_ts)
             winner = result.winner
-            overwrite_sink(result.forecasts, lake.gold("predictions"))
-            overwrite_sink(result.scores, lake.gold("model_scores"))
-            overwrite_sink(result.ranking, lake.gold("config_ranking"))
-            overwrite_sink(result.backtest, lake.gold("backtest"))
-            export_snapshot_json(result.forecasts, lake.snapshot("predictions"), ["city"])
-            export_snapshot_json(
-                locked_summary(prepare(fact), result.scores), lake.snapshot("locked_summary"), ["kind", "name"]
-            )
+            summary = locked_summary(prepare(fact), result.scores)
+            outputs += [
+                partial(overwrite_sink, result.forecasts, lake.gold("predictions")),
+                partial(overwrite_sink, result.scores, lake.gold("model_scores")),
+                partial(overwrite_sink, result.ranking, lake.gold("config_ranking")),
+                partial(overwrite_sink, result.backtest, lake.gold("backtest")),
+                partial(export_snapshot_json, result.forecasts, lake.snapshot("predictions"), ["city"]),
+                partial(export_snapshot_json, summary, lake.snapshot("locked_summary"), ["kind", "name"]),
+            ]
         stage = "publish"
-        export_snapshot_json(dim, lake.snapshot("cities"), ["city"])
-        export_snapshot_json(gold.daily_metrics_snapshot(fact), lake.snapshot("metrics"), ["metric_date", "city"])
-        export_snapshot_json(
-            gold.latest_city_summary(fact, dim), lake.snapshot("summary"), [F.col("avg_us_aqi").desc_nulls_last(), "city"]
-        )
+        worst_first = [F.col("avg_us_aqi").desc_nulls_last(), "city"]
+        outputs += [
+            partial(export_snapshot_json, dim, lake.snapshot("cities"), ["city"]),
+            partial(export_snapshot_json, gold.daily_metrics_snapshot(fact), lake.snapshot("metrics"), ["metric_date", "city"]),
+            partial(export_snapshot_json, gold.latest_city_summary(fact, dim), lake.snapshot("summary"), worst_first),
+        ]
+        together(*outputs)
         counts = layer_row_counts(
             {
                 **{

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,8 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from tidemark.functions.numbers import finite_frame
-from tidemark.sources.files import path_exists
+from tidemark.session import scratch_path
+from tidemark.sources.files import drop_path, path_exists
 
 
 def scan_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -77,6 +79,22 @@ def materialize(df: DataFrame, name: str, kind: str, path: str | None = None) ->
     raise ValueError(f"unknown kind {kind!r}")
 
 
+@contextmanager
+def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``df`` written once to the shared folder and read back, dropped at the end.
+
+    For frames used by several jobs: the stored rows outlive any executor, are
+    read column by column, and their size is known to the planner.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        drop_path(spark, path)
+
+
 def snapshot_frame(df: DataFrame) -> DataFrame:
     """Export shape: dates as ISO strings, no NaN or infinity."""
     finite = finite_frame(df)
