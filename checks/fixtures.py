@@ -128,6 +128,7 @@ def write_documents(docs: DataFrame, path: str) -> str:
     """One file per document in a folder per city."""
     (
         docs.select("city", "payload")
+        .repartition(8, "payload")
         .write.mode("append")
         .option("maxRecordsPerFile", 1)
         .partitionBy("city")

@@ -297,10 +297,10 @@ def build_bronze(spark, sf):
     docs = fx.documents(spark, sf)
     path = fx.write_documents(docs, f"{scratch_path(spark, 'raw')}/weather")
     fx.write_documents(docs.withColumn("payload", F.concat(F.lit("not json "), "payload")), path)
-    rows, _ = bronze_plan.build_bronze(spark, path, silver_plan.WEATHER, fx.RUN_TS, FILES)
+    batch = bronze_plan.build_bronze(spark, path, silver_plan.WEATHER, fx.RUN_TS, FILES)
     stored = scratch_path(spark, "bronze")
-    tables.append_sink(rows, stored)
-    bronze = spark.read.schema(silver_plan.WEATHER.bronze_schema).parquet(stored)
+    bronze_plan.write_bronze(batch, stored)
+    bronze = bronze_plan.bronze_table(spark, stored, silver_plan.WEATHER)
     return bronze.select("city", "time", *fx.DOC_MEASURES, "ingestion_timestamp")
 
 

@@ -8,7 +8,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.plans.bronze import build_bronze
+from tidemark.plans.bronze import bronze_table, build_bronze, rejected_files, write_bronze
 from tidemark.plans.refresh import Lake, land_documents, landed_keys, wanted_files
 from tidemark.plans.silver import WEATHER
 from tidemark.session import scratch_path
@@ -40,8 +40,10 @@ def root(spark):
 
 
 def bronze(spark, root):
-    rows, rejects = build_bronze(spark, f"{root}/weather", WEATHER, RUN)
-    return rows.orderBy("city", "time").collect(), rejects.collect()
+    stored = f"{root}/bronze"
+    write_bronze(build_bronze(spark, f"{root}/weather", WEATHER, RUN), stored)
+    rows = bronze_table(spark, stored, WEATHER).orderBy("city", "time")
+    return rows.collect(), rejected_files(spark, stored, WEATHER).collect()
 
 
 def test_measures_align_with_time(spark, root):
@@ -69,7 +71,7 @@ def test_bad_files_do_not_stop_the_batch(spark, root):
     write(root, "delhi", "type.json", document(["2026-09-22T01:00"], temperature_2m=["warm"]))
     rows, rejects = bronze(spark, root)
     assert len(rows) == 1
-    assert sorted(Path(r.path).name for r in rejects) == ["cut.json", "list.json", "text.json", "type.json"]
+    assert sorted(Path(r.source_file).name for r in rejects) == ["cut.json", "list.json", "text.json", "type.json"]
 
 
 def test_documents_without_hours_give_no_rows(spark, root):

@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 
 from tidemark.operators.quality import QualityGateError
+from tidemark.plans.bronze import bronze_table
 from tidemark.plans.refresh import META_SCHEMA, Lake, refresh_lake
 from tidemark.plans.silver import AIR_QUALITY, WEATHER
 from tidemark.streaming.incremental import StreamPaths, incremental_refresh, silver_table
@@ -60,12 +61,12 @@ def test_a_replayed_batch_leaves_the_same_rows(spark, lake_root):
     incremental_refresh(spark, paths, WEATHER, RUN)
     table = silver_table(spark, paths, WEATHER)
     before = sorted(map(str, table.read().collect()))
-    bronze = spark.read.parquet(paths.bronze).count()
+    bronze = bronze_table(spark, paths.bronze, WEATHER).count()
     # A lost checkpoint makes the stream read everything again.
     lost = StreamPaths(**{**paths.__dict__, "checkpoint": paths.checkpoint + "-new"})
     assert incremental_refresh(spark, lost, WEATHER, RUN) == 1
     assert sorted(map(str, table.read().collect())) == before
-    assert spark.read.parquet(paths.bronze).count() == bronze
+    assert bronze_table(spark, paths.bronze, WEATHER).count() == bronze
 
 
 def test_small_batches_give_the_same_silver(spark, lake_root):

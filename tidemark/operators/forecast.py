@@ -8,18 +8,21 @@ Only fitting and predicting happen in Python; every score is a Spark aggregate.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
-import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.labels import band
 from tidemark.functions.numbers import clamp_round, improvement_pct, round_half_away
+from tidemark.operators import boosting
 from tidemark.operators.rollup import mean_absolute_error
 from tidemark.operators.windows import chronological_split, labelled_rows, lead_target, next_day_lookup
 
+cloudpickle.register_pickle_by_value(boosting)
+
 
 @dataclass(frozen=True)
 class TreeConfig:
@@ -81,26 +84,27 @@ def persistence_baseline(split: DataFrame, spec: ForecastSpec) -> DataFrame:
 
 
 def _fit_group(spec: ForecastSpec):
-    features, target, date = list(spec.features), spec.target, spec.date
-    configs = {**spec.configs, "fallback": spec.fallback}
-
-    def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        from tidemark.operators.boosting import boosted_predictions
+    """The grouped function. It holds plain values only and ships its helper along, so
+    executors need numpy and pandas but not this package."""
+    features, target, key, date = list(spec.features), spec.target, spec.key, spec.date
+    configs = {name: astuple(c) for name, c in {**spec.configs, "fallback": spec.fallback}.items()}
+    predict = boosting.boosted_predictions
 
+    def fit(rows):
         rows = rows.sort_values(date, kind="stable")
-        config = configs[rows["config"].iloc[0]]
+        min_samples_leaf, learning_rate, max_depth, max_iter = configs[rows["config"].iloc[0]]
         train = rows["is_train"].to_numpy(dtype=bool)
-        out = rows[[spec.key, "config", "fold", date]].copy()
+        out = rows[[key, "config", "fold", date]].copy()
         out["prediction"] = None
         if train.sum() >= 3:
-            out["prediction"] = boosted_predictions(
+            out["prediction"] = predict(
                 rows[features].to_numpy(dtype=float),
                 rows[target].to_numpy(dtype=float),
                 train,
-                config.learning_rate,
-                config.min_samples_leaf,
-                config.max_depth,
-                config.max_iter,
+                learning_rate,
+                min_samples_leaf,
+                max_depth,
+                max_iter,
             )
         return out[rows["is_scored"].to_numpy(dtype=bool)]
 

@@ -25,6 +25,7 @@ from tidemark.operators.quality import (
 from tidemark.operators.rollup import layer_row_counts, monotone_counts
 from tidemark.plans import defaults as D
 from tidemark.plans import gold
+from tidemark.plans.bronze import bronze_table
 from tidemark.plans.forecasting import prepare, locked_summary, run_forecast
 from tidemark.plans.silver import AIR_QUALITY, WEATHER, Stream
 from tidemark.sources.files import path_exists
@@ -34,7 +35,6 @@ from tidemark.sources.tables import (
     export_snapshot_json,
     overwrite_sink,
     read_prior_snapshot,
-    scan_table_if_exists,
 )
 from tidemark.streaming.incremental import StreamPaths, incremental_refresh, silver_table
 
@@ -249,7 +249,7 @@ def refresh_lake(
         counts = layer_row_counts(
             {
                 **{
-                    f"bronze_{s.name}": scan_table_if_exists(spark, lake.stream(s.name).bronze, s.bronze_schema)
+                    f"bronze_{s.name}": bronze_table(spark, lake.stream(s.name).bronze, s)
                     for s in (WEATHER, AIR_QUALITY)
                 },
                 **{

@@ -121,11 +121,13 @@ def explode_parallel_arrays(
     keep: Sequence[str],
     time_field: str = "time",
     position: str | None = None,
+    outer: bool = False,
 ) -> DataFrame:
     """One row per index of the time array; a shorter measure array gives nulls.
 
     The arrays are zipped inside the row before the explode, so each output row
-    carries its own values only and not a copy of every array.
+    carries its own values only and not a copy of every array. ``outer`` keeps a
+    document without any time as one row of nulls.
     """
     arrays = F.col(hourly)
 
@@ -135,7 +137,8 @@ def explode_parallel_arrays(
             fields.insert(0, i.alias(position))
         return F.struct(*fields)
 
-    return docs.select(*keep, F.inline(F.transform(arrays.getField(time_field), element)))
+    inline = F.inline_outer if outer else F.inline
+    return docs.select(*keep, inline(F.transform(arrays.getField(time_field), element)))
 
 
 def parse_json_column(df: DataFrame, column: str, schema: T.StructType, into: str) -> DataFrame:
