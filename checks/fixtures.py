@@ -95,7 +95,7 @@ def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         e.groupBy(F.col("event_type").alias("city"), F.to_date("ts").alias("date"), F.hour("ts").alias("hour"))
         .agg(
-            F.max("value").alias("temperature_2m"),
+            F.max_by("value", "event_id").alias("temperature_2m"),
             F.min("k").cast("double").alias("relative_humidity_2m"),
             F.count(F.lit(1)).cast("double").alias("precipitation"),
             F.min("value").alias("wind_speed_10m"),

@@ -92,7 +92,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "h": (
         ("ev",),
         """SELECT event_type AS city, CAST(ts AS DATE) AS date, CAST(hour(ts) AS INTEGER) AS hour,
-           strftime(date_trunc('hour', min(ts)), '%Y-%m-%dT%H:%M') AS time, max(value) AS temperature_2m,
+           strftime(date_trunc('hour', min(ts)), '%Y-%m-%dT%H:%M') AS time, max_by(value, event_id) AS temperature_2m,
            CAST(min(k) AS DOUBLE) AS relative_humidity_2m, CAST(count(*) AS DOUBLE) AS precipitation,
            min(value) AS wind_speed_10m, CAST(max(k) AS DOUBLE) AS weather_code
            FROM ev GROUP BY 1, 2, 3""",

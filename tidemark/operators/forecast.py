@@ -327,7 +327,7 @@ def pooled_forecast(
     trees = GBTRegressor(
         featuresCol="_features", labelCol=spec.target, predictionCol="prediction",
         maxDepth=max_depth, stepSize=step, minInstancesPerNode=min_leaf, maxIter=max_iter, seed=seed,
-        cacheNodeIds=True, checkpointInterval=10,
+        checkpointInterval=10,
     )
     train = filled.filter(F.col("split").isin("train", "val"))
     model = Pipeline(stages=[index, assemble, trees]).fit(train)
