@@ -110,8 +110,9 @@ ERRORS = f""", e AS (SELECT city, count(*) AS total_samples, count(*) FILTER (WH
 
 def _mean_scores(spark, sf):
     """Score card of the 7-day mean as predictor, so every value has a SQL counterpart."""
+    ensure_checkpoint_dir(spark)
     features = FC.feature_frame(fx.fact(spark, sf), SPEC, carry=["rolling_7d_avg_aqi"])
-    split = FC.split_frame(features, SPEC)
+    split = FC.split_frame(features, SPEC).checkpoint()
     folds = F.explode(F.array(F.lit("val"), F.lit("eval"))).alias("fold")
     cells = split.select("city", "metric_date", folds, "split", F.col("rolling_7d_avg_aqi").alias("prediction"))
     predictions = cells.filter("split = 'val' OR (fold = 'eval' AND split IN ('train', 'test'))")
@@ -155,7 +156,7 @@ def score_card(spark, sf):
 )
 def locked_summary(spark, sf):
     split, scores = _mean_scores(spark, sf)
-    rows = forecasting.locked_summary(split, scores)
+    rows = forecasting.locked_summary(split, scores.checkpoint())
 
     def either(series, aggregate):
         return F.coalesce(F.col(f"metrics.{series}"), F.col(f"aggregate.{aggregate}")).alias(series)

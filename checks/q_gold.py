@@ -11,6 +11,7 @@ from tidemark.operators import clean, joins, rollup, windows
 from tidemark.operators.upsert import key_uniqueness_profile, keyed_upsert
 from tidemark.plans import defaults as D
 from tidemark.plans import gold
+from tidemark.session import ensure_checkpoint_dir
 from tidemark.sources.tables import append_merge_schema, literal_relation
 
 FACT_COLUMNS_SQL = f"daily_metric_id, city, {s('metric_date')} AS metric_date, " + ", ".join(
@@ -291,9 +292,10 @@ def next_day_lookup(spark, sf):
     ),
 )
 def join_prediction_default(spark, sf):
+    ensure_checkpoint_dir(spark)
     newest = rollup.last_row_per_key(
         fx.fact(spark, sf), "city", ["metric_date"], ["avg_us_aqi", "rolling_7d_avg_aqi"]
-    )
+    ).checkpoint()  # used on both sides of the join
     predictions = newest.filter("city <> 'view'").select("city", F.col("rolling_7d_avg_aqi").alias("predicted_aqi"))
     summary = newest.select("city", "avg_us_aqi")
     joined = joins.join_prediction_default(summary, predictions, "city", "avg_us_aqi", "predicted_aqi")
@@ -403,7 +405,8 @@ def union_all(spark, sf):
     ),
 )
 def append_forecast_point(spark, sf):
-    series = fx.fact(spark, sf).select("city", "metric_date", "avg_us_aqi", "rolling_7d_avg_aqi")
+    ensure_checkpoint_dir(spark)
+    series = fx.fact(spark, sf).select("city", "metric_date", "avg_us_aqi", "rolling_7d_avg_aqi").checkpoint()
     newest = rollup.last_row_per_key(series, "city", ["metric_date"], ["metric_date", "rolling_7d_avg_aqi"])
     points = newest.select(
         "city", F.date_add("metric_date", 1).alias("metric_date"), F.col("rolling_7d_avg_aqi").alias("predicted_aqi")

@@ -24,6 +24,20 @@ DEFAULTS = {
 }
 
 
+def sizing(shuffle_bytes: int, cores: int, target_bytes: int = 200 * 1024**2) -> dict[str, str]:
+    """Cluster settings for jobs that shuffle about ``shuffle_bytes``.
+
+    The starting number of shuffle partitions is set by volume, so that one fits an
+    executor's memory share; AQE merges them again where a later stage is small.
+    """
+    partitions = max(2 * cores, -(-shuffle_bytes // target_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_bytes),
+    }
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **extra: str) -> SparkSession:
     """A session for laptops, tests and the bench; a cluster brings its own."""
     builder = (
