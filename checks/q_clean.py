@@ -81,11 +81,16 @@ def _holed(spark, sf):
 
 @check(
     "bounds_mask",
-    with_ctes(f"SELECT event_id, {MASK_SQL} AS is_malformed FROM (SELECT *, {HOLED_SQL} AS v FROM ev)", "ev"),
+    with_ctes(
+        f"""SELECT event_id, CASE WHEN {MASK_SQL} THEN 'malformed' WHEN NOT {MASK_SQL} THEN 'clean' ELSE 'unknown' END AS state
+        FROM (SELECT *, {HOLED_SQL} AS v FROM ev)""",
+        "ev",
+    ),
 )
 def bounds_mask(spark, sf):
     mask = clean.bounds_mask(F1_BOUNDS, required=["event_type"])
-    return _holed(spark, sf).select("event_id", mask.alias("is_malformed"))
+    state = F.when(mask, "malformed").when(~mask, "clean").otherwise("unknown")
+    return _holed(spark, sf).select("event_id", state.alias("state"))
 
 
 @check(

@@ -145,7 +145,7 @@ def score_card(spark, sf):
         agg AS (SELECT avg(val_mae) AS v, avg(test_mae) AS t, avg(naive_baseline_mae) AS b,
           count(*) FILTER (WHERE beats_baseline) AS beat, count(*) AS n FROM sc)
         SELECT 'series' AS kind, city AS name, total_days, labeled_days, start_date, end_date, val_mae, test_mae,
-          naive_baseline_mae AS base_mae, delta_vs_baseline_pct AS delta_pct, beats_baseline, '{MEAN}' AS winning_config,
+          naive_baseline_mae AS base_mae, delta_vs_baseline_pct AS delta_pct, CAST(beats_baseline AS VARCHAR) AS beats_baseline, '{MEAN}' AS winning_config,
           CAST(NULL AS BIGINT) AS keys_beating_baseline, CAST(NULL AS BIGINT) AS total_keys
         FROM win JOIN sc USING (city)
         UNION ALL SELECT 'aggregate', 'all', NULL, NULL, NULL, NULL, {r('v', 2)}, {r('t', 2)}, {r('b', 2)}, {improvement('b', 't')},
@@ -164,7 +164,7 @@ def locked_summary(spark, sf):
     return rows.select(
         "kind", "name", "dataset.*",
         either("val_mae", "val_mae"), either("test_mae", "test_mae"), either("base_mae", "base_mae"),
-        either("delta_pct", "overall_delta_pct"), "metrics.beats_baseline", "winning_config",
+        either("delta_pct", "overall_delta_pct"), F.col("metrics.beats_baseline").cast("string").alias("beats_baseline"), "winning_config",
         "aggregate.keys_beating_baseline", "aggregate.total_keys",
     )
 

@@ -90,6 +90,14 @@ def test_city_comes_from_the_folder_without_metadata(spark, root):
     assert [r.city for r in rows] == ["navi mumbai+x", "pune"]
 
 
+def test_landed_layout_names_its_city_too(spark, root):
+    folder = Path(root) / "weather" / "city=pune" / "target_date=2026-09-22"
+    folder.mkdir(parents=True)
+    (folder / "part-0.json").write_text(json.dumps(document(["2026-09-22T00:00"], city=None)))
+    rows, _ = bronze(spark, root)
+    assert [(r.city, r.source_file) for r in rows] == [("pune", "weather/city=pune/target_date=2026-09-22/part-0.json")]
+
+
 def test_other_file_types_are_left_alone(spark, root):
     write(root, "delhi", "a.json", document(["2026-09-22T00:00"]))
     write(root, "delhi", ".b.json", document(["2026-09-22T01:00"]))

@@ -5,6 +5,7 @@ import json
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators.quality import QualityGateError
 from tidemark.plans.bronze import bronze_table
@@ -123,7 +124,38 @@ def test_a_failed_gate_publishes_nothing_until_mended(spark, lake_root):
 
 
 def test_a_broken_stage_is_audited(spark, lake_root):
-    with pytest.raises(Exception):
-        refresh_lake(spark, lake_root, RUN)
+    def down(stream, wanted):
+        raise ConnectionError("service down")
+
+    with pytest.raises(ConnectionError):
+        refresh_lake(spark, lake_root, RUN, backfill_days=1, fetch=down)
     alert = spark.read.json(Lake(lake_root).audit).first()
-    assert alert.task_id == "ingest" and alert.severity == "ERROR"
+    assert (alert.task_id, alert.severity, alert.error) == ("fetch", "ERROR", "service down")
+
+
+def test_an_empty_lake_is_reported_not_failed(spark, lake_root):
+    assert refresh_lake(spark, lake_root, RUN) == {"weather": 0, "air_quality": 0}
+    assert published(spark, lake_root).isEmpty()
+    meta = spark.read.schema(META_SCHEMA).json(Lake(lake_root).snapshot("run_meta")).first()
+    assert meta.status == "DEGRADED" and {x.row_count for x in meta.layers} == {0}
+
+
+def fake_fetch(stream, wanted):
+    """Stands in for the outside service: one document per wanted day, made by Spark."""
+    hours = F.expr("transform(sequence(0, 23), h -> format_string('%sT%02d:00', CAST(target_date AS STRING), h))")
+    measures = [F.array_repeat(F.lit(20.0), 24).alias(m) for m in stream.measures]
+    doc = F.struct(F.struct(hours.alias("time"), *measures).alias("hourly"), F.struct("city").alias("_metadata"))
+    return wanted.select("city", "target_date", F.to_json(doc).alias("payload"))
+
+
+def test_backfill_then_one_day(spark, lake_root):
+    refresh_lake(spark, lake_root, "2026-09-23 03:00:00", forecast=False, backfill_days=3, fetch=fake_fetch)
+    fact = published(spark, lake_root)
+    assert fact.count() == 8 * 3
+    assert sorted({str(r.metric_date) for r in fact.collect()}) == ["2026-09-20", "2026-09-21", "2026-09-22"]
+    day = dt.date(2026, 9, 18)
+    refresh_lake(spark, lake_root, "2026-09-23 04:00:00", forecast=False, target_date=day, fetch=fake_fetch)
+    assert published(spark, lake_root).count() == 8 * 4
+    # Everything asked for has landed: nothing is fetched or taken in again.
+    again = refresh_lake(spark, lake_root, "2026-09-23 05:00:00", forecast=False, backfill_days=3, fetch=fake_fetch)
+    assert again == {"weather": 0, "air_quality": 0}

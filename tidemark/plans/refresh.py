@@ -29,6 +29,7 @@ from tidemark.plans.bronze import bronze_table
 from tidemark.plans.forecasting import prepare, locked_summary, run_forecast
 from tidemark.plans.silver import AIR_QUALITY, WEATHER, Stream
 from tidemark.sources.files import path_exists
+from tidemark.sources.raw import folder_key
 from tidemark.sources.landing import landing_first_write_wins
 from tidemark.sources.snapshots import VersionedTable
 from tidemark.sources.tables import (
@@ -95,10 +96,7 @@ def landed_keys(spark: SparkSession, raw_root: str) -> DataFrame:
         return spark.createDataFrame([], struct_of({"city": "string", "target_date": "date"}))
     paths = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(raw_root).select("path")
     day = F.regexp_extract("path", r"(\d{4}-\d{2}-\d{2})[^/]*(/[^/]*)?$", 1)
-    below = F.element_at(F.split(F.substring_index("path", raw_root.rstrip("/") + "/", -1), "/"), 1)
-    return paths.select(
-        F.regexp_replace(below, "^city=", "").alias("city"), day.try_cast("date").alias("target_date")
-    )
+    return paths.select(folder_key("path").alias("city"), day.try_cast("date").alias("target_date"))
 
 
 def wanted_files(
@@ -106,7 +104,7 @@ def wanted_files(
 ) -> DataFrame:
     """(city, target_date, route) documents still to be fetched for the asked-for window."""
     end = target_date or today - dt.timedelta(days=1)
-    start = target_date or today - dt.timedelta(days=backfill_days)
+    start = target_date or today - dt.timedelta(days=max(backfill_days, 1))
     landed = landed_keys(spark, lake.stream(stream.name).raw).filter(
         F.col("target_date").between(F.lit(start), F.lit(end))
     )
@@ -162,16 +160,26 @@ def _gate(spark: SparkSession, lake: Lake, report: DataFrame, run_ts: str) -> No
         raise
 
 
+# Documents ``(city, target_date, payload)`` for a stream's wanted ``(city, target_date, route)``.
+Fetch = Callable[[Stream, DataFrame], DataFrame]
+
+
 def refresh_lake(
     spark: SparkSession,
     root: str,
     run_ts: str,
     max_files_per_batch: int | None = None,
     forecast: bool = True,
-    file_glob: str = "*.json",
+    file_glob: str = "*",
+    backfill_days: int = 0,
+    target_date: dt.date | None = None,
+    fetch: Fetch | None = None,
 ) -> dict[str, int]:
     """Bring every layer up to date with the landed files.
 
+    With ``fetch`` the documents missing on ``target_date``, or else in the last
+    ``backfill_days`` days, are asked for and landed first.
+
     Only new files are parsed, only their days are merged, checked and rolled up
     again; windows run over daily rows. Nothing is published when a gate fails,
     and the days it refused are tried again by the next run. Returns the batches
@@ -181,8 +189,15 @@ def refresh_lake(
 
     ensure_checkpoint_dir(spark)
     lake = Lake(root.rstrip("/"))
-    stage = "ingest"
+    stage = "fetch"
     try:
+        if fetch is not None:
+            today = dt.datetime.fromisoformat(run_ts).date()
+            days_back = 0 if target_date else backfill_days
+            for s in (WEATHER, AIR_QUALITY):
+                wanted = wanted_files(spark, lake, s, today, days_back, target_date)
+                land_documents(fetch(s, wanted), lake, s)
+        stage = "ingest"
         taken = together(
             *[
                 partial(incremental_refresh, spark, lake.stream(s.name), s, run_ts, file_glob, max_files_per_batch)

@@ -38,6 +38,14 @@ def sizing(shuffle_bytes: int, cores: int, target_bytes: int = 200 * 1024**2) ->
     }
 
 
+def session() -> SparkSession:
+    """The cluster's session with this package's defaults; master and resources come from spark-submit."""
+    builder = SparkSession.builder.appName("tidemark")
+    for key, value in DEFAULTS.items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **extra: str) -> SparkSession:
     """A session for laptops, tests and the bench; a cluster brings its own."""
     builder = (

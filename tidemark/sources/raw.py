@@ -41,18 +41,37 @@ def document_schema(measures: Sequence[str]) -> T.StructType:
     )
 
 
-def path_tail(path: str | Column, parts: int = 3) -> Column:
-    """Last path elements, percent escapes undone (a literal plus sign is kept)."""
+DAY_FOLDER = "target_date="
+
+
+def _path_parts(path: str | Column) -> Column:
+    """Path elements, percent escapes undone (a literal plus sign is kept)."""
     c = F.col(path) if isinstance(path, str) else path
-    decoded = F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
-    return F.concat_ws("/", F.slice(F.split(decoded, "/"), -parts, parts))
+    return F.split(F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), "/")
+
+
+def _has_day_folder(parts: Column) -> Column:
+    return F.startswith(F.element_at(parts, -2), F.lit(DAY_FOLDER))
+
+
+def folder_key(path: str | Column) -> Column:
+    """City folder of ``<city>/<file>`` or ``city=<city>/target_date=<day>/<file>``."""
+    parts = _path_parts(path)
+    folder = F.when(_has_day_folder(parts), F.element_at(parts, -3)).otherwise(F.element_at(parts, -2))
+    return F.regexp_replace(folder, "^[^=]+=", "")
+
+
+def relative_file(path: str | Column) -> Column:
+    """File name from the stream's folder on."""
+    parts = _path_parts(path)
+    tail = F.when(_has_day_folder(parts), F.slice(parts, -4, 4)).otherwise(F.slice(parts, -3, 3))
+    return F.concat_ws("/", tail)
 
 
 def default_key_from_path(metadata_key: str | Column, path: str | Column) -> Column:
-    """Key named in the document, else the name of the file's folder (``name=`` prefix dropped)."""
+    """Key named in the document, else the name of the file's city folder."""
     key = F.col(metadata_key) if isinstance(metadata_key, str) else metadata_key
-    folder = F.element_at(F.split(path_tail(path, 2), "/"), -2)
-    return F.coalesce(key, F.regexp_replace(folder, "^[^=]+=", ""))
+    return F.coalesce(key, folder_key(path))
 
 
 def parse_documents(files: DataFrame, schema: T.StructType) -> DataFrame:
@@ -107,7 +126,7 @@ def stamp_lineage(docs: DataFrame, run_ts: dt.datetime | str) -> DataFrame:
     return docs.withColumns(
         {
             "city": default_key_from_path("doc._metadata.city", "path"),
-            "source_file": path_tail("path", 3),
+            "source_file": relative_file("path"),
             "payload_hash": payload_checksum("payload"),
             "ingestion_timestamp": stamp,
         }
