@@ -1,13 +1,11 @@
 """Data-quality checks, report, gate, audit."""
 
-from pyspark.sql import functions as F
-
 from checks import fixtures as fx
 from checks.registry import check
 from checks.sql import s, with_ctes
 from tidemark.operators import quality as Q
 from tidemark.plans import defaults as D
-from tidemark.plans import gold
+from tidemark.session import ensure_checkpoint_dir
 
 LAB = "CASE WHEN k = 0 THEN NULL ELSE value END"
 
@@ -58,13 +56,15 @@ def dq_custom_rows(spark, sf):
 
 def _staging_and_fact(spark, sf):
     """All checks but the dimension's, over streams with planted holes; lines stand in for a dimension."""
+    ensure_checkpoint_dir(spark)
+    fact = fx.fact(spark, sf).checkpoint()  # read by its row checks and by its uniqueness check
     lines = fx.table(spark, sf, "lineitem").selectExpr("l_orderkey AS city_id", "l_returnflag AS city")
     return Q.dq_report(
         {
             "stg_weather": (fx.staged_weather(spark, sf), D.staging_weather_checks()),
             "stg_air_quality": (fx.staged_air_quality(spark, sf), D.staging_air_quality_checks()),
             "dim_city": (lines, D.dim_city_checks()),
-            "fct_daily": (fx.fact(spark, sf), D.fact_checks()),
+            "fct_daily": (fact, D.fact_checks()),
         }
     )
 

@@ -182,3 +182,26 @@ def test_bronze_batches_with_other_columns_merge_on_read(spark):
     append_sink(spark.createDataFrame([(3, "x")], "a int, c string"), path)
     got = sorted((r.a, r.b, r.c) for r in scan_merged(spark, path).collect())
     assert got == [(1, 2.0, None), (3, None, "x")]
+
+
+def test_snapshot_files_are_in_order_with_nulls_and_no_nan(spark):
+    import json
+    from pathlib import Path
+
+    from tidemark.sources.tables import export_snapshot_json
+
+    path = scratch_path(spark, "order")
+    rows = spark.range(1000).selectExpr(
+        "1000 - id AS n", "date_add(DATE '2026-01-01', CAST(1000 - id AS INT)) AS d",
+        "IF(id = 3, CAST('NaN' AS DOUBLE), IF(id = 4, CAST('Infinity' AS DOUBLE), 1.5D)) AS x",
+    ).repartition(8)
+    export_snapshot_json(rows, path, ["n"])
+    lines = [json.loads(x) for f in sorted(Path(path).glob("part-*")) for x in f.read_text().splitlines()]
+    assert [r["n"] for r in lines] == list(range(1, 1001))
+    assert lines[0]["d"] == "2026-01-02" and sum(r["x"] is None for r in lines) == 2
+
+
+def test_upsert_of_an_empty_batch_keeps_the_rows(spark, table):
+    table.upsert(hours(spark, 20.0))
+    assert table.upsert(hours(spark, 20.0).limit(0)) == 1
+    assert table.read().count() == 24 and table.read_changed(0).isEmpty()

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import as_col, improvement_pct, round_half_away, round_half_away_sql
+from tidemark.operators.clean import dedupe_latest
 
 _FUNCTIONS = ("avg", "min", "max", "sum")
 
@@ -27,8 +28,7 @@ def daily_rollup(df: DataFrame, keys: Sequence[str], measures: Measures, count_a
 
 
 def latest_per_key(df: DataFrame, key: str, order_by: str, tie_break: Sequence[str] = ()) -> DataFrame:
-    from tidemark.operators.clean import dedupe_latest
-
+    """Whole newest row per key; one row per key and input partition reaches the shuffle."""
     return dedupe_latest(df, [key], [order_by], tie_break)
 
 
