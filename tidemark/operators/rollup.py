@@ -104,6 +104,6 @@ def aggregate_scores(scores: DataFrame) -> DataFrame:
 
 
 def argmin_config(scores: DataFrame, config: str, score: str) -> DataFrame:
-    """Configurations ranked by mean score; the first row wins, names break ties."""
-    mean = scores.groupBy(config).agg(F.avg(score).alias("mean_score"))
+    """Configurations ranked by mean score to nine digits; the first row wins, names break ties."""
+    mean = scores.groupBy(config).agg(F.round(F.avg(score), 9).alias("mean_score"))
     return mean.orderBy(F.col("mean_score").asc_nulls_last(), config)
