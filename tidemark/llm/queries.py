@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import jaccard
+from tidemark.llm import jaccard, substring
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +27,30 @@ def query(name: str, sql: str | None = None):
 @query("op5_ngram_jaccard_join")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_documents(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op7_substring_dedup",
+    r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+starts AS (
+    SELECT doc_id, p, array_to_string(words[p : p + 12], ' ') AS win
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS p FROM w)
+),
+covered AS (
+    SELECT DISTINCT doc_id, unnest(range(p, p + 13)) AS p
+    FROM (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY win) AS low FROM starts) WHERE low < doc_id
+),
+kept AS (
+    SELECT e.doc_id, string_agg(e.word, ' ' ORDER BY e.p) AS kept, count(*) AS n
+    FROM (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS p FROM w) e
+    ANTI JOIN covered c ON c.doc_id = e.doc_id AND c.p = e.p GROUP BY e.doc_id
+)
+SELECT w.doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+    sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+""",
+)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = substring.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
