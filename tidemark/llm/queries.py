@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import jaccard, substring
+from tidemark.llm import jaccard, substring, toxicity
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,15 @@ FROM w LEFT JOIN kept USING (doc_id)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = substring.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return done.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op8_toxicity")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fitted(docs, table(spark, sf_dir, "labels"))
+    return toxicity.scored(docs, model).select(
+        "row.doc_id",
+        (F.expr("crc32(CAST(row.doc_id AS STRING)) % 5") == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )

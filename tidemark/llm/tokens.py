@@ -54,11 +54,15 @@ def _pow(base: int, n: int) -> np.ndarray:
     return out
 
 
+def _width(kind: pa.DataType) -> type:
+    return np.int64 if pa.types.is_large_string(kind) or pa.types.is_large_binary(kind) else np.int32
+
+
 def chunks(column: pa.Array) -> Iterator[tuple[int, int]]:
     """Row ranges of at most CHUNK bytes, or of one text where that is longer."""
     if len(column) == 0:
         return
-    offsets = np.frombuffer(column.buffers()[1], np.int32 if pa.types.is_string(column.type) else np.int64)
+    offsets = np.frombuffer(column.buffers()[1], _width(column.type))
     offsets = offsets[column.offset : column.offset + len(column) + 1]
     at = 0
     while at < len(column):
@@ -69,9 +73,9 @@ def chunks(column: pa.Array) -> Iterator[tuple[int, int]]:
 
 
 def words(column: pa.Array, at: int, to: int, lower: bool = False) -> Words:
-    """Words of the texts ``at`` to ``to`` of a string column without nulls."""
+    """Words of the texts ``at`` to ``to`` of a string or binary column without nulls."""
     part = column.slice(at, to - at)
-    offsets = np.frombuffer(part.buffers()[1], np.int32 if pa.types.is_string(part.type) else np.int64)
+    offsets = np.frombuffer(part.buffers()[1], _width(part.type))
     offsets = offsets[part.offset : part.offset + len(part) + 1].astype(np.int64)
     low, high = int(offsets[0]), int(offsets[-1])
     data = np.frombuffer(part.buffers()[2], np.uint8, high - low, low) if high > low else np.zeros(0, np.uint8)
