@@ -35,6 +35,15 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     ).filter("id IS NOT NULL")
 
 
+#: Rows of ids up to which a measured table may be broadcast (about 16 MB).
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(ids: DataFrame) -> DataFrame:
+    """``ids``, a stored table of one or two numbers a row, marked for broadcast if its measured size allows it."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+
+
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
