@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import jaccard, substring, toxicity
+from tidemark.llm import bpe, jaccard, substring, toxicity
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +67,16 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query("op10_byte_level_bpe")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    ids = bpe.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    back = bpe.decoded(ids.select("row.doc_id", "ids"), ranks)
+    return back.select(
+        "row.doc_id",
+        (F.octet_length("row.ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("row.ids", 256).alias("ids_sha256"),
+        F.sha2("data", 256).alias("decoded_sha256"),
+    )

@@ -25,9 +25,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,58 +49,72 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def identity(hashes: np.ndarray) -> int:
-    """A 64-bit name of a word sequence."""
-    at = np.arange(len(hashes), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    total = tokens.mix(hashes + at).sum(dtype=np.uint64)
-    return int(_signed(tokens.mix(np.array([total], np.uint64) + np.uint64(len(hashes))))[0])
+def names(w: tokens.Words, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit names of the word sequences ``begin`` to ``end`` of a chunk, from one prefix sum over its words."""
+    n = len(w.hashes)
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(w.hashes * tokens.powers(tokens.BASE, n)[:n], out=total[1:])
+    value = (total[end] - total[begin]) * tokens.powers(tokens.INVERSE, n + 1)[begin]
+    return _signed(tokens.mix(value + (end - begin).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
 
 
-def anchors(hashes: np.ndarray, window: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of the anchor of each window of a word sequence, and the position where it begins."""
-    g = tokens.grams(hashes, k)
-    m = len(hashes) - window + 1
+class Windows(NamedTuple):
+    start: np.ndarray  # first word of each window, ascending
+    text: np.ndarray  # the text it is in
+    anchor: np.ndarray  # hash of its anchor
+    where: np.ndarray  # first word of its anchor
+
+
+def windows(w: tokens.Words, window: int, k: int) -> Windows:
+    """All windows of a chunk with their anchors: the smallest k-word hash inside, the leftmost if several."""
+    text = np.repeat(np.arange(len(w.first) - 1), np.diff(w.first))
+    m = len(w.hashes) - window + 1
+    if m <= 0:
+        none = np.zeros(0, np.int64)
+        return Windows(none, none, np.zeros(0, np.uint64), none)
+    g = tokens.grams(w.hashes, k)
     best, where = g[:m].copy(), np.arange(m)
     for j in range(1, window - k + 1):
-        less = g[j : j + m] < best
-        best[less] = g[j : j + m][less]
-        where[less] = np.flatnonzero(less) + j
-    return best, where
+        other = g[j : j + m]
+        where = np.where(other < best, np.arange(j, j + m), where)
+        np.minimum(best, other, out=best)
+    start = np.flatnonzero(text[:m] == text[window - 1 :])
+    return Windows(start, text[start], best[start], where[start])
 
 
 def _described(texts: DataFrame) -> DataFrame:
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
-            n, fp = [], []
             for at, to in tokens.chunks(batch.column(1)):
                 w = tokens.words(batch.column(1), at, to)
-                for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist()):
-                    n.append(b - a)
-                    fp.append(identity(w.hashes[a:b]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(fp, pa.int64())], ["id", "n", "fp"])
+                fp = names(w, w.first[:-1], w.first[1:])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, to - at), pa.array(np.diff(w.first)), pa.array(fp)], ["id", "n", "fp"])
 
     return texts.mapInArrow(run, "id long, n long, fp long")
 
 
 def _anchored(texts: DataFrame, window: int, k: int) -> DataFrame:
-    """(anchor, fp): the anchors of every distinct text of a batch."""
+    """(anchor, fp): the distinct anchors of every distinct text of a batch."""
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
-            known = set()
+            known: set[int] = set()
             for at, to in tokens.chunks(batch.column(1)):
                 w = tokens.words(batch.column(1), at, to)
-                found, fps = [], []
-                for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist()):
-                    if b - a < window or (fp := identity(w.hashes[a:b])) in known:
-                        continue
-                    known.add(fp)
-                    best, where = anchors(w.hashes[a:b], window, k)
-                    own = best[np.concatenate([[True], where[1:] != where[:-1]])]
-                    found.append(own)
-                    fps.append(np.full(len(own), fp, np.int64))
-                if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(found))), pa.array(np.concatenate(fps))], ["anchor", "fp"])
+                fp = names(w, w.first[:-1], w.first[1:])
+                new = np.zeros(len(fp), bool)
+                for i, name in enumerate(fp.tolist()):
+                    if name not in known:
+                        known.add(name)
+                        new[i] = True
+                found = windows(w, window, k)
+                use = new[found.text]
+                text, anchor = found.text[use], found.anchor[use]
+                order = np.lexsort((anchor, text))
+                text, anchor = text[order], anchor[order]
+                once = np.ones(len(text), bool)
+                once[1:] = (text[1:] != text[:-1]) | (anchor[1:] != anchor[:-1])
+                yield pa.RecordBatch.from_arrays([pa.array(_signed(anchor[once])), pa.array(fp[text[once]])], ["anchor", "fp"])
 
     return texts.mapInArrow(run, "anchor long, fp long")
 
@@ -131,59 +147,66 @@ def _shared(anchored: DataFrame, hot: int) -> DataFrame:
     return anchored.mapInArrow(run, "fp long, anchor long, hot boolean")
 
 
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Owner rows and values of a list column without nulls."""
+    size = np.asarray(pa.compute.list_value_length(column))
+    return np.repeat(np.arange(len(column)), size), column.flatten().to_numpy(zero_copy_only=False)
+
+
+def _has(row: np.ndarray, value: np.ndarray, rows: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Whether each (row, value) is among (rows, values); a mixed key keeps both in 64 bits."""
+    key = lambda r, v: tokens.mix(v.view(np.uint64) + tokens.mix(r.astype(np.uint64)))
+    return np.isin(key(row, value), key(rows, values))
+
+
 def _segments(holders: DataFrame, window: int, k: int) -> DataFrame:
-    """Occurrences (seg, id, fp, pos, windows) and, once a batch, entries of the index.
+    """Occurrences (seg, id, fp, pos, windows) and, once a chunk, entries of the index.
 
     An entry has words and a key; id and pos are then the smallest and the largest id that hold it.
     """
-    schema = "seg long, id long, fp long, pos long, windows long, key long, words string"
+    schema = "seg long, id long, fp long, pos long, windows long, key long, words binary"
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
-            ids, fps, text = (batch.column(i) for i in range(3))
-            shared = [c.to_pylist() for c in (batch.column(3), batch.column(4))]
-            occurs, index = [], {}
-            for at, to in tokens.chunks(text):
-                w = tokens.words(text, at, to)
-                for i in range(at, to):
-                    a, b = int(w.first[i - at]), int(w.first[i - at + 1])
-                    h = w.hashes[a:b]
-                    if b - a < window or identity(h) != fps[i].as_py():
-                        continue  # another text with the same id
-                    cold, hot = (np.array(shared[j][i] or [], np.int64).view(np.uint64) for j in (0, 1))
-                    best, where = anchors(h, window, k)
-                    starts = np.flatnonzero(np.concatenate([[True], where[1:] != where[:-1]]))
-                    ends = np.append(starts[1:], len(where))
-                    on = np.isin(best[starts], cold)
-                    pos, upto = starts[on], ends[on]
-                    if len(hot):
-                        single = np.flatnonzero(np.isin(best, hot))
-                        pos, upto = np.concatenate([pos, single]), np.concatenate([upto, single + 1])
-                    split = np.arange(len(pos)) >= int(on.sum())
-                    doc = ids[i].as_py()
-                    for p, u, s in zip(pos.tolist(), upto.tolist(), split.tolist()):
-                        seg = identity(h[p : u + window - 1])
-                        occurs.append((seg, doc, fps[i].as_py(), p, u - p))
-                        known = index.get(seg)
-                        if known is None:
-                            key = seg if s else int(_signed(best[p : p + 1])[0])
-                            words = b" ".join(w.data[x:y].tobytes() for x, y in zip(w.begin[a + p : a + u + window - 1], w.end[a + p : a + u + window - 1]))
-                            index[seg] = [doc, doc, key, words.decode()]
-                        else:
-                            known[:2] = min(doc, known[0]), max(doc, known[1])
-            if occurs:
-                cols = list(zip(*occurs))
-                rows, m = len(occurs), len(index)
-                lows, highs, keys, words = zip(*index.values())
+            ids, fps = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            cold, hot = _lists(batch.column(3)), _lists(batch.column(4))
+            for at, to in tokens.chunks(batch.column(2)):
+                w = tokens.words(batch.column(2), at, to)
+                right = names(w, w.first[:-1], w.first[1:]) == fps[at:to]  # else another text with the same id
+                found = windows(w, window, k)
+                ok = right[found.text]
+                start, text, anchor, where = (x[ok] for x in found)
+                if not len(start):
+                    continue
+                row = text + at
+                first = np.ones(len(start), bool)
+                first[1:] = (where[1:] != where[:-1]) | (text[1:] != text[:-1])
+                begin = np.flatnonzero(first)
+                size = np.diff(np.append(begin, len(start)))
+                on = _has(row[begin], _signed(anchor[begin]), *cold)
+                one = np.flatnonzero(_has(row, _signed(anchor), *hot)) if len(hot[1]) else begin[:0]
+                begin, size = np.concatenate([begin[on], one]), np.concatenate([size[on], np.ones(len(one), np.int64)])
+                if not len(begin):
+                    continue
+                low = start[begin]
+                high = low + size + window - 1
+                seg = names(w, low, high)
+                key = np.concatenate([_signed(anchor[begin[: len(begin) - len(one)]]), seg[len(begin) - len(one) :]])
+                doc = ids[row[begin]]
+                order = np.argsort(seg, kind="stable")
+                heads = np.flatnonzero(np.concatenate([[True], seg[order][1:] != seg[order][:-1]]))
+                pick, m, n = order[heads], len(heads), len(seg)
+                words = [w.data[x:y].tobytes() for x, y in zip(w.begin[low[pick]].tolist(), w.end[high[pick] - 1].tolist())]
+                none = pa.nulls(m, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([*cols[0], *index], pa.int64()),
-                        pa.array([*cols[1], *lows], pa.int64()),
-                        pa.array([*cols[2], *[None] * m], pa.int64()),
-                        pa.array([*cols[3], *highs], pa.int64()),
-                        pa.array([*cols[4], *[None] * m], pa.int64()),
-                        pa.array([*[None] * rows, *keys], pa.int64()),
-                        pa.array([*[None] * rows, *words], pa.string()),
+                        pa.array(np.concatenate([seg, seg[pick]])),
+                        pa.array(np.concatenate([doc, np.minimum.reduceat(doc[order], heads)])),
+                        pa.concat_arrays([pa.array(fps[row[begin]]), none]),
+                        pa.array(np.concatenate([low - w.first[text[begin]], np.maximum.reduceat(doc[order], heads)])),
+                        pa.concat_arrays([pa.array(size), none]),
+                        pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(key[pick])]),
+                        pa.concat_arrays([pa.nulls(n, pa.binary()), pa.array(words, pa.binary())]),
                     ],
                     ["seg", "id", "fp", "pos", "windows", "key", "words"],
                 )
@@ -353,7 +376,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 left = words
                 if entries:
                     w = tokens.words(pa.array([text.as_py()], pa.string()), 0, 1)
-                    fp = identity(w.hashes)
+                    fp = int(names(w, w.first[:1], w.first[1:])[0])
                     for e in entries:
                         if e["fp"] == fp:
                             left = [] if e["starts"] is None else _left(words, e["starts"], window)

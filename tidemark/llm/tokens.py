@@ -42,7 +42,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _pow(base: int, n: int) -> np.ndarray:
+def powers(base: int, n: int) -> np.ndarray:
     """Powers of ``base`` from 0 to at least ``n`` - 1; those for a chunk are kept."""
     if n <= CHUNK and base in _POWERS:
         return _POWERS[base]
@@ -94,10 +94,10 @@ def words(column: pa.Array, at: int, to: int, lower: bool = False) -> Words:
     ends[:-1] &= ~inside[1:] | starts[1:]
     begin, end = np.flatnonzero(starts), np.flatnonzero(ends) + 1
     values = (_LOWER if lower else _PLAIN)[data]
-    values *= _pow(BASE, n)[:n]
+    values *= powers(BASE, n)[:n]
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(values, out=total[1:])
-    hashes = mix((total[end] - total[begin]) * _pow(INVERSE, n)[begin] + (end - begin).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    hashes = mix((total[end] - total[begin]) * powers(INVERSE, n)[begin] + (end - begin).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
     return Words(hashes, begin, end, np.searchsorted(begin, offsets), data)
 
 
