@@ -44,12 +44,13 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def powers(base: int, n: int) -> np.ndarray:
     """Powers of ``base`` from 0 to at least ``n`` - 1; those for a chunk are kept."""
-    if n <= CHUNK and base in _POWERS:
-        return _POWERS[base]
-    out = np.full(max(n, CHUNK), base, np.uint64)
+    have = _POWERS.get(base)
+    if have is not None and len(have) >= n:
+        return have
+    out = np.full(1 << max(n - 1, 1).bit_length(), base, np.uint64)
     out[0] = 1
     np.multiply.accumulate(out, out=out)
-    if n <= CHUNK:
+    if len(out) <= 2 * CHUNK:
         _POWERS[base] = out
     return out
 
@@ -58,15 +59,15 @@ def _width(kind: pa.DataType) -> type:
     return np.int64 if pa.types.is_large_string(kind) or pa.types.is_large_binary(kind) else np.int32
 
 
-def chunks(column: pa.Array) -> Iterator[tuple[int, int]]:
-    """Row ranges of at most CHUNK bytes, or of one text where that is longer."""
+def chunks(column: pa.Array, size: int = CHUNK) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most ``size`` bytes, or of one text where that is longer."""
     if len(column) == 0:
         return
     offsets = np.frombuffer(column.buffers()[1], _width(column.type))
     offsets = offsets[column.offset : column.offset + len(column) + 1]
     at = 0
     while at < len(column):
-        to = int(np.searchsorted(offsets, offsets[at] + CHUNK, "right")) - 1
+        to = int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1
         to = min(max(to, at + 1), len(column))
         yield at, to
         at = to
@@ -120,11 +121,3 @@ def shingle_sets(w: Words, k: int) -> Iterator[np.ndarray]:
             yield grams(w.hashes[a:b], b - a)
         else:
             yield g[:0]
-
-
-def batches(stream: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tuple[pa.RecordBatch, int, int]]:
-    """Record batches cut into pieces whose texts fit CHUNK bytes."""
-    for batch in stream:
-        column = batch.column(batch.schema.get_field_index(text))
-        for at, to in chunks(column):
-            yield batch, at, to

@@ -38,8 +38,10 @@ from pyspark.sql import functions as F
 from tidemark.llm import tokens
 
 #: Bound of the labelled sample that the model is fitted on.
-SAMPLE_ROWS = 5000
+SAMPLE_ROWS = 4000
 ORDER, DECAY, SHARE, WORD = 4, 0.9, 0.85, 24
+#: Bytes of text whose words are evaluated together.
+BYTES = 1 << 20
 #: The fourth power of the kernel is a kernel too; it tells a landmark from words that merely resemble it.
 POWER = 4
 LANDMARKS, EVIDENCE = 120, 6.0
@@ -144,11 +146,12 @@ class Sentences:
         self.landmarks = landmarks
         self.own = self_kernel(landmarks)
         self.hashes = np.zeros(0, np.uint64)
-        self.values = np.zeros((0, len(landmarks)), np.float32)
+        self.rows = np.zeros(0, np.int32)  # per known word its row of values; row 0 has none
+        self.values = np.zeros((1, len(landmarks)), np.float32)
 
     def _words(self, words: list[bytes]) -> np.ndarray:
         out = np.zeros((len(words), len(self.landmarks)), np.float32)
-        step = 100_000
+        step = 50_000
         for at in range(0, len(words), step):
             some = words[at : at + step]
             chars, size = _padded([w[:WORD] for w in some])
@@ -162,22 +165,24 @@ class Sentences:
         return out
 
     def _known(self, hashes: np.ndarray, pick: np.ndarray, w: tokens.Words) -> np.ndarray:
-        """Feature rows of distinct words; new ones are evaluated and kept for the next chunk."""
+        """Per distinct word its row of ``values``; new words are evaluated and kept for the next chunk."""
+        if len(self.hashes) > 1_000_000:  # memory is bounded; words are evaluated anew
+            self.hashes, self.rows, self.values = self.hashes[:0], self.rows[:0], self.values[:1]
         where = np.searchsorted(self.hashes, hashes)
         where[where == len(self.hashes)] = 0
         new = self.hashes[where] != hashes if len(self.hashes) else np.ones(len(hashes), bool)
         if new.any():
             data = w.data
             fresh = self._words([data[a:b].tobytes() for a, b in zip(w.begin[pick[new]].tolist(), w.end[pick[new]].tolist())])
-            if len(self.hashes) > 400_000:  # memory of the words is bounded; they are evaluated anew
-                self.hashes, self.values = hashes[:0], self.values[:0]
-                fresh = self._words([data[a:b].tobytes() for a, b in zip(w.begin[pick].tolist(), w.end[pick].tolist())])
-                new = np.ones(len(hashes), bool)
+            some = fresh.any(1)
+            rows = np.zeros(len(fresh), np.int32)
+            rows[some] = np.arange(int(some.sum())) + len(self.values)
+            self.values = np.concatenate([self.values, fresh[some]])
             every = np.concatenate([self.hashes, hashes[new]])
-            order = np.argsort(every)
-            self.hashes, self.values = every[order], np.concatenate([self.values, fresh])[order]
+            order = np.argsort(every, kind="stable")
+            self.hashes, self.rows = every[order], np.concatenate([self.rows, rows])[order]
             where = np.searchsorted(self.hashes, hashes)
-        return self.values[where]
+        return self.rows[where]
 
     def features(self, column: pa.Array, at: int, to: int) -> tuple[np.ndarray, np.ndarray]:
         """(text, features) of the sentences with any feature; texts counted from ``at``, ascending."""
@@ -185,11 +190,11 @@ class Sentences:
         if not len(w.hashes):
             return np.zeros(0, np.int64), np.zeros((0, len(self.landmarks)), np.float32)
         distinct, pick, back = np.unique(w.hashes, return_index=True, return_inverse=True)
-        table = self._known(distinct, pick, w)
-        on = np.flatnonzero(table.any(1)[back])
+        row = self._known(distinct, pick, w)[back]
+        on = np.flatnonzero(row)
         line = np.cumsum(w.data == 10)
         text = np.repeat(np.arange(to - at), np.diff(w.first))
-        texts, lines, rows = [text[on]], [line[w.begin[on]]], [table[back[on]]]
+        texts, lines, rows = [text[on]], [line[w.begin[on]]], [self.values[row[on]]]
         single = (w.end - w.begin == 1).astype(np.int8)
         edges = np.flatnonzero(np.diff(np.concatenate([[0], single, [0]])))
         for a, b in zip(edges[::2].tolist(), edges[1::2].tolist()):
@@ -216,7 +221,7 @@ def margins(model: Model, texts: list[str], sentences: Sentences) -> np.ndarray:
     """Largest sentence margin of each text."""
     column = pa.array([clean(t) for t in texts], pa.binary())
     out = np.full(len(texts), model.bias)
-    for at, to in tokens.chunks(column):
+    for at, to in tokens.chunks(column, BYTES):
         of, rows = sentences.features(column, at, to)
         if len(of):
             # a text with words near no landmark has an empty sentence too; its margin is the bias
@@ -229,7 +234,7 @@ def _apart(texts: list[str]) -> list[int]:
     seen: set[tuple[int, int]] = set()
     keep = []
     column = pa.array([clean(t) for t in texts], pa.binary())
-    for at, to in tokens.chunks(column):
+    for at, to in tokens.chunks(column, BYTES):
         w = tokens.words(column, at, to)
         for i, (a, b) in enumerate(zip(w.first[:-1].tolist(), w.first[1:].tolist())):
             g = tokens.grams(w.hashes[a:b], min(3, b - a)) if b > a else np.zeros(1, np.uint64)
@@ -242,15 +247,15 @@ def _apart(texts: list[str]) -> list[int]:
 
 def _evidence(texts: list[str], toxic: np.ndarray) -> list[bytes]:
     """Words whose presence speaks for toxic texts."""
-    counts: dict[bytes, list[int]] = {}
+    counts: dict[bytes, int] = {}  # texts with label 0, and with label 1 in the high bits
     for text, y in zip(texts, toxic.tolist()):
         for word in set(clean(text).split()):
             if ORDER <= len(word) <= WORD:
-                counts.setdefault(word, [0, 0])[y] += 1
+                counts[word] = counts.get(word, 0) + (1 << 32 * y)
     words = sorted(counts)
     if not words:
         return []
-    df = np.array([counts[w] for w in words], float)
+    df = np.array([(counts[w] & 0xFFFFFFFF, counts[w] >> 32) for w in words], float)
     n = np.array([(toxic == 0).sum(), (toxic == 1).sum()], float)
     share = df.sum(1) / n.sum()
     z = (df[:, 1] / n[1] - df[:, 0] / n[0]) / np.sqrt(share * (1 - share) * (1 / n[0] + 1 / n[1]) + 1e-12)
@@ -259,10 +264,11 @@ def _evidence(texts: list[str], toxic: np.ndarray) -> list[bytes]:
     return [words[i] for i in chosen]
 
 
-def _machine(x: np.ndarray, y: np.ndarray, cost: float = 4.0, rounds: int = 250) -> tuple[np.ndarray, float]:
+def _machine(x: np.ndarray, y: np.ndarray, times: np.ndarray, cost: float = 4.0, rounds: int = 150) -> tuple[np.ndarray, float]:
     """Linear machine with squared hinge loss and balanced classes, by accelerated gradient descent."""
     sign = np.where(y == 1, 1.0, -1.0)
-    weight = np.where(y == 1, 0.5 / max((y == 1).sum(), 1), 0.5 / max((y == 0).sum(), 1)) * cost
+    toxic = max(float(times[y == 1].sum()), 1.0)
+    weight = times * np.where(y == 1, 0.5 / toxic, 0.5 / max(float(times.sum()) - toxic, 1.0)) * cost
     x = np.concatenate([x, np.ones((len(x), 1))], 1)
     ridge = np.append(np.full(x.shape[1] - 1, 0.01), 1e-6)
     step = 1 / (2 * np.linalg.norm((x * weight[:, None]).T @ x, 2) + 0.02)
@@ -309,24 +315,27 @@ def learn(texts: list[str], toxic: np.ndarray, rounds: int = 3) -> Model:
         root[at * m : at * m + m, at * m : at * m + m] = (vectors / np.sqrt(np.maximum(values, 0.05))) @ vectors.T
     column = pa.array([clean(t) for t in texts], pa.binary())
     of, rows = [], []
-    for at, to in tokens.chunks(column):
+    for at, to in tokens.chunks(column, BYTES):
         o, r = sentences.features(column, at, to)
         of.append(o + at)
         rows.append(r)
-    of, rows = np.concatenate(of + [np.arange(len(texts))]), np.concatenate(rows + [np.zeros((len(texts), m))])
-    mapped = _both(rows) @ root
+    of = np.concatenate(of + [np.arange(len(texts))])
+    rows = np.concatenate(rows + [np.zeros((len(texts), m), np.float32)])
     score = rows.max(1) - 0.5
     for _ in range(rounds):
         order = np.lexsort((-score, of))
         use = np.zeros(len(of), bool)
         use[order[np.concatenate([[True], of[order][1:] != of[order][:-1]])]] = True
         use |= (y[of] == 1) & (score > 0)
-        weights, bias = _machine(mapped[use], y[of[use]])
-        score = mapped @ weights + bias
+        # equal sentences are one instance with their number as its weight
+        few, times = np.unique(np.column_stack([y[of[use]], rows[use]]), axis=0, return_counts=True)
+        weights, bias = _machine(_both(few[:, 1:]) @ root, few[:, 0].astype(int), times)
+        weights = root @ weights
+        score = np.concatenate([_both(part) @ weights for part in np.array_split(rows, len(rows) // 4096 + 1)]) + bias
     top = np.full(len(texts), bias)
     np.maximum.at(top, of, score)
     slope, offset = _logistic(top, y)
-    return Model(landmarks, root @ weights, bias, slope, offset)
+    return Model(landmarks, weights, bias, slope, offset)
 
 
 def fitted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = SAMPLE_ROWS) -> Model:
