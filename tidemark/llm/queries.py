@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, jaccard, substring, toxicity
+from tidemark.llm import bpe, decontaminate, jaccard, substring, toxicity
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,21 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("row.ids", 256).alias("ids_sha256"),
         F.sha2("data", 256).alias("decoded_sha256"),
     )
+
+
+@query(
+    "op9_benchmark_decontamination",
+    r"""
+WITH d AS (SELECT doc_id AS id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM documents WHERE doc_id IS NOT NULL),
+b AS (SELECT item_id AS id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM benchmark WHERE item_id IS NOT NULL),
+ds AS (SELECT DISTINCT id, array_to_string(w[i : i + 4], ' ') AS g
+    FROM (SELECT id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+bs AS (SELECT DISTINCT id, array_to_string(w[i : i + 4], ' ') AS g
+    FROM (SELECT id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM b WHERE len(w) > 0)),
+n AS (SELECT id, count(*) AS n FROM bs GROUP BY id)
+SELECT ds.id AS doc_id, bs.id AS item_id, count(*) AS shared, any_value(n.n) AS n_shingles, count(*) / any_value(n.n) AS containment
+FROM ds JOIN bs USING (g) JOIN n ON n.id = bs.id GROUP BY ds.id, bs.id HAVING count(*) >= 0.75 * any_value(n.n)
+""",
+)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
