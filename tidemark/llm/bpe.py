@@ -28,8 +28,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm import tokens
+
 #: Pre-tokens of up to so many bytes are kept, and at most so many of them per task.
-KEPT_BYTES, KEPT = 64, 800_000
+KEPT_BYTES, KEPT = 64, 250_000
 #: Texts below this code point are split by the standard library's expressions, which are faster.
 SIMPLE = 0x300
 PAGE, MASK = 8, 255
@@ -177,18 +179,14 @@ class Encoder:
 class Decoder:
     def __init__(self, ranks: dict[bytes, int]):
         size = max(ranks.values()) + 1
-        self.length = np.zeros(size, np.int64)
-        tokens = [b""] * size
+        names = [b""] * size
         for token, rank in ranks.items():
-            tokens[rank] = token
-            self.length[rank] = len(token)
-        self.begin = np.cumsum(self.length) - self.length
-        self.data = np.frombuffer(b"".join(tokens), np.uint8)
-        self.tokens = tokens
+            names[rank] = token
+        self.names = names
 
     def decode(self, ids: bytes) -> bytes:
-        tokens = self.tokens
-        return b"".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])
+        names = self.names
+        return b"".join([names[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
 
 def encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text") -> DataFrame:
@@ -200,8 +198,9 @@ def encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: st
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(**shared.value)  # a Python worker keeps the table from task to task
         for batch in stream:
-            ids = [encoder.encode(text.as_py()) for text in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.large_binary()).cast(pa.binary())], ["row", "ids"])
+            for at, to in tokens.chunks(batch.column(1)):  # small batches out, so memory stays bounded
+                ids = [encoder.encode(text.as_py()) for text in batch.column(1).slice(at, to - at)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, to - at), pa.array(ids, pa.binary())], ["row", "ids"])
 
     return rows.mapInArrow(run, schema)
 
@@ -209,13 +208,14 @@ def encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: st
 def decoded(rows: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids") -> DataFrame:
     """Every row as struct ``row``, with ``data``: the bytes that the ids stand for."""
     shared = rows.sparkSession.sparkContext.broadcast(ranks)
-    some = rows.select(F.struct("*").alias("row"), F.col(f"`{ids_col}`").alias("ids"))
+    some = rows.select(F.struct("*").alias("row"), F.coalesce(F.col(f"`{ids_col}`"), F.lit(b"")).alias("ids"))
     schema = some.select("row").schema.add("data", "binary")
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(shared.value)
         for batch in stream:
-            data = [decoder.decode(ids.as_py() or b"") for ids in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())], ["row", "data"])
+            for at, to in tokens.chunks(batch.column(1)):
+                data = [decoder.decode(ids.as_py()) for ids in batch.column(1).slice(at, to - at)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, to - at), pa.array(data, pa.binary())], ["row", "data"])
 
     return some.mapInArrow(run, schema)
