@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, jaccard, substring, toxicity
-from tidemark.llm.common import table
+from tidemark.llm import bpe, decontaminate, jaccard, sharding, substring, toxicity, warc
+from tidemark.llm.common import stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -98,3 +98,35 @@ FROM ds JOIN bs USING (g) JOIN n ON n.id = bs.id GROUP BY ds.id, bs.id HAVING co
 )
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query(
+    "op6_warc_revisits",
+    """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+b AS (SELECT page_id, n, h, array_to_string(list_transform(range(0, 32), lambda i:
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+            1 + ((('0x' || substr(h, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::BIGINT, 1)), '') AS d FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, d AS payload_digest,
+    CASE WHEN page_id = m THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> m THEN m END AS refers_to
+FROM (SELECT *, max(page_id) OVER (PARTITION BY h) AS m FROM b)
+""",
+)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.archived(table(spark, sf_dir, "pages"))
+    return found.select(F.col("id").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to")
+
+
+@query("op3_sharding")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = stored(sharding.measured(table(spark, sf_dir, "documents")), "records")
+    return sharding.sharded(records).select(
+        F.col("id").alias("doc_id"),
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
