@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, jaccard, sharding, substring, toxicity, warc
+from tidemark.llm import bpe, decontaminate, jaccard, sharding, substring, toxicity, training_order, warc
 from tidemark.llm.common import stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,3 +130,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query("op4_training_order")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_order.materialised(table(spark, sf_dir, "documents"))
