@@ -52,11 +52,13 @@ def range_of(key: Column, splitters: list[int]) -> Column:
     while step:
         steps.append(step)
         step //= 2
-    return F.aggregate(
-        F.lit(steps).cast("array<int>"),
-        F.lit(0),
-        lambda low, step: F.when(F.element_at(padded, low + step) <= key, low + step).otherwise(low),
-    )
+    # The key travels in the accumulator: the optimizer overlooks columns that only a lambda mentions.
+    def move(state: Column, step: Column) -> Column:
+        ahead = state["low"] + step
+        return F.struct(F.when(F.element_at(padded, ahead) <= state["key"], ahead).otherwise(state["low"]).alias("low"), state["key"].alias("key"))
+
+    start = F.struct(F.lit(0).alias("low"), key.cast("long").alias("key"))
+    return F.aggregate(F.lit(steps).cast("array<int>"), start, move)["low"]
 
 
 def _draws(size: Column, step: float, seed: int) -> Column:
