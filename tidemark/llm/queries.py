@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, jaccard, sharding, simhash, substring, toxicity, training_order, warc
+from tidemark.llm import bpe, decontaminate, jaccard, sharding, simhash, substring, toxicity, training_order, warc, wrappers
 from tidemark.llm.common import stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,3 +140,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_document_fingerprints")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.edited_and_next(table(spark, sf_dir, "documents"))
+
+
+@query("op1_html_extraction")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.main_text(table(spark, sf_dir, "pages"))
