@@ -203,7 +203,8 @@ class Sentences:
                     if len(own) >= ORDER:
                         texts.append(text[own[:1]])
                         lines.append(line[w.begin[own[:1]]])
-                        rows.append(self._words([w.data[w.begin[own]].tobytes()]))
+                        spelled = w.data[w.begin[own]].tobytes()  # "a" or "I" may stand before it
+                        rows.append(self._words([spelled, spelled[1:]]).max(0, keepdims=True))
         text, line, row = np.concatenate(texts), np.concatenate(lines), np.concatenate(rows)
         if not len(text):
             return text, row
