@@ -159,3 +159,68 @@ def test_backfill_then_one_day(spark, lake_root):
     # Everything asked for has landed: nothing is fetched or taken in again.
     again = refresh_lake(spark, lake_root, "2026-09-23 05:00:00", forecast=False, backfill_days=3, fetch=fake_fetch)
     assert again == {"weather": 0, "air_quality": 0}
+
+
+def aged(path, days):
+    import os
+    import time
+
+    then = time.time() - days * 86400
+    os.utime(path, (then, then))
+
+
+def raw_file(lake_root, name):
+    from pathlib import Path
+
+    return next(p for p in Path(lake_root.removeprefix("file:")).rglob("*.json") if name in str(p))
+
+
+def test_a_file_with_an_old_time_stamp_is_taken_in(spark, lake_root):
+    paths = StreamPaths.below(lake_root, "weather")
+    land(lake_root, "weather", "delhi", dt.date(2026, 9, 2), 20.0)
+    incremental_refresh(spark, paths, WEATHER, RUN)
+    land(lake_root, "weather", "pune", dt.date(2026, 9, 1), 20.0)
+    aged(raw_file(lake_root, "pune"), 30)
+    assert incremental_refresh(spark, paths, WEATHER, RUN) == 1
+    assert silver_table(spark, paths, WEATHER).read().count() == 48
+
+
+def test_bronze_outlives_a_lost_checkpoint_and_archived_files(spark, lake_root):
+    paths = StreamPaths.below(lake_root, "weather")
+    land(lake_root, "weather", "delhi", dt.date(2026, 9, 1), 20.0)
+    incremental_refresh(spark, paths, WEATHER, RUN)
+    raw_file(lake_root, "delhi").unlink()
+    land(lake_root, "weather", "pune", dt.date(2026, 9, 1), 20.0)
+    lost = StreamPaths(**{**paths.__dict__, "checkpoint": paths.checkpoint + "-new"})
+    incremental_refresh(spark, lost, WEATHER, RUN)
+    cities = {r.city for r in bronze_table(spark, paths.bronze, WEATHER).collect()}
+    assert len(cities) == 2 and bronze_table(spark, paths.bronze, WEATHER).count() == 48
+    assert silver_table(spark, paths, WEATHER).read().count() == 48
+
+
+def _document(lake_root, city, name, times, value):
+    import json
+    from pathlib import Path
+
+    folder = Path(lake_root.removeprefix("file:")) / "raw" / "weather" / city
+    folder.mkdir(parents=True, exist_ok=True)
+    hourly = {"time": times, **{m: [value] * len(times) for m in WEATHER.measures}}
+    (folder / name).write_text(json.dumps({"hourly": hourly, "_metadata": {"city": city}}))
+
+
+def test_two_samples_of_one_hour_do_not_stop_the_lake(spark, lake_root):
+    paths = StreamPaths.below(lake_root, "weather")
+    _document(lake_root, "delhi", "a.json", ["2026-09-01T00:00", "2026-09-01T00:30", "2026-09-01T01:00"], 20.0)
+    incremental_refresh(spark, paths, WEATHER, RUN)
+    rows = {r.hour: str(r.datetime_utc) for r in silver_table(spark, paths, WEATHER).read().collect()}
+    assert rows == {0: "2026-09-01 00:30:00", 1: "2026-09-01 01:00:00"}
+
+
+@pytest.mark.parametrize("files", [None, 1])
+def test_the_winner_does_not_depend_on_the_batches(spark, lake_root, files):
+    paths = StreamPaths.below(lake_root, "weather")
+    for i, name in enumerate(["z.json", "a.json"]):
+        _document(lake_root, "delhi", name, ["2026-09-01T00:00"], 1.0 + i)
+        aged(raw_file(lake_root, name), 10 - i)  # z.json arrives first
+    incremental_refresh(spark, paths, WEATHER, RUN, max_files_per_batch=files)
+    assert [r.temperature_2m for r in silver_table(spark, paths, WEATHER).read().collect()] == [1.0]
