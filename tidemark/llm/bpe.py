@@ -5,7 +5,7 @@ its rank; a bitmap of two levels, 256 bits a word, marks the buckets in use, so
 find-first-set steps away, whatever the length. A bucket holds left positions; an entry is stale, and is
 skipped, if its pair has changed since. Within a rank the leftmost pair merges first. A pre-token of n
 bytes takes O(n) queue steps, which suits very long ones; short ones repeat and are kept in a bounded
-table per task.
+table per worker.
 
 Each match of the pattern is a pre-token. There are no special tokens: their strings are ordinary text.
 
@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import tokens
 
-#: Pre-tokens of up to so many bytes are kept, and at most so many of them per task.
-KEPT_BYTES, KEPT = 64, 250_000
+#: Pre-tokens of up to so many characters are kept, and at most so many of them per Python worker.
+KEPT_BYTES, KEPT = 64, 500_000
 #: Texts below this code point are split by the standard library's expressions, which are faster.
 SIMPLE = 0x300
 PAGE, MASK = 8, 255
@@ -83,15 +83,19 @@ def _plain_pattern(pattern: str) -> str | None:
 
 
 class Encoder:
-    """``known`` keeps the ids of short pre-tokens; whoever passes it may share it between encoders."""
+    """``tables`` keep the ids of short pre-tokens; whoever passes them may share them between encoders.
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, known: dict[str, bytes] | None = None):
+    They are two generations: once the younger is full it becomes the older, and what is met again moves
+    back to the younger, so frequent pre-tokens stay.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str, tables: list[dict[str, bytes]] | None = None):
         self.ranks = ranks
         self.any_split = regex.compile(pattern).findall
         plain = _plain_pattern(pattern)
         self.plain_split = re.compile(plain).findall if plain else self.any_split
         self.beyond = re.compile(f"[{chr(SIMPLE)}-\U0010ffff]").search
-        self.known = {} if known is None else known
+        self.tables = [{}, {}] if tables is None else tables
 
     def merge(self, data: bytes) -> list[int]:
         """Token ids of one pre-token.
@@ -157,20 +161,18 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        known, pieces = self.known, (self.any_split if self.beyond(text) else self.plain_split)(text)
-        try:
-            return b"".join([known[p] for p in pieces])
-        except KeyError:
-            pass
+        known, older = self.tables
         out = []
-        for p in pieces:
+        for p in (self.any_split if self.beyond(text) else self.plain_split)(text):
             ids = known.get(p)
             if ids is None:
-                data = p.encode()
-                ids = np.array(self.merge(data), "<u4").tobytes()
-                if len(data) <= KEPT_BYTES:
-                    if len(known) >= KEPT:
-                        known.clear()
+                ids = older.get(p)
+                if ids is None:
+                    ids = np.array(self.merge(p.encode()), "<u4").tobytes()
+                if len(p) <= KEPT_BYTES:
+                    if len(known) >= KEPT // 2:
+                        older, known = known, {}
+                        self.tables[:] = known, older
                     known[p] = ids
             out.append(ids)
         return b"".join(out)
@@ -191,12 +193,12 @@ class Decoder:
 
 def encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text") -> DataFrame:
     """Every row of ``docs`` as struct ``row``, with ``ids``: little-endian unsigned 32-bit token ids."""
-    shared = docs.sparkSession.sparkContext.broadcast({"ranks": ranks, "pattern": pattern, "known": {}})
+    shared = docs.sparkSession.sparkContext.broadcast({"ranks": ranks, "pattern": pattern, "tables": [{}, {}]})
     rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     schema = rows.select("row").schema.add("ids", "binary")
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(**shared.value)  # a Python worker keeps the table from task to task
+        encoder = Encoder(**shared.value)  # a Python worker keeps the tables from task to task
         for batch in stream:
             for at, to in tokens.chunks(batch.column(1)):  # small batches out, so memory stays bounded
                 ids = [encoder.encode(text.as_py()) for text in batch.column(1).slice(at, to - at)]
