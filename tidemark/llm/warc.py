@@ -4,7 +4,7 @@ Only headers are shuffled to decide: per payload digest the largest id is found
 and digests that occur twice or more are joined to the records. The record with the largest id carries
 the payload as ``response``; the others become ``revisit`` records that refer to it and carry none.
 Archives are written by Spark's own text writer, one row per record with CRLF CRLF as its end, so the
-output committer takes care of lost executors; the number of files follows the volume. Reading walks
+output committer takes care of lost executors; a file holds a bounded number of records. Reading walks
 each file by Content-Length and joins revisits to their responses again.
 
 Defined cases: a null payload is empty; records with equal payloads below ``at_least`` bytes all stay
@@ -26,29 +26,30 @@ from tidemark.llm.common import stored
 from tidemark.session import scratch_path
 
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
-#: Payload bytes of one archive file, on average.
-FILE_BYTES = 8 << 20
+#: Records of one archive file at most; a task starts the next one.
+FILE_RECORDS = 2000
 END = "\r\n\r\n"
 
 
-def digest(payload: Column) -> Column:
-    """Bare upper-case base32 SHA-1: five hexadecimal digits make four characters."""
-    hexa = F.sha1(payload)
-    out = []
-    for at in range(0, 40, 5):
-        value = F.conv(F.substring(hexa, at + 1, 5), 16, 10).cast("int")
-        out += [F.substring(F.lit(BASE32), F.shiftright(value, s).bitwiseAND(31) + 1, F.lit(1)) for s in (15, 10, 5, 0)]
-    return F.concat(*out)
+def digest(hexa: str) -> Column:
+    """Bare upper-case base32 of a hexadecimal SHA-1: ten digits make eight characters."""
+    plain = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
+    eights = [F.lpad(F.conv(F.substring(hexa, at, 10), 16, 32), 8, "0") for at in (1, 11, 21, 31)]
+    return F.translate(F.concat(*eights), plain, BASE32)
 
 
 def resolved(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", at_least: int = 0) -> DataFrame:
     """(id, url, payload, size, digest, refers_to): refers_to null for responses."""
-    rows = pages.select(
-        F.col(f"`{id_col}`").cast("long").alias("id"),
-        F.coalesce(F.col(f"`{url_col}`").cast("string"), F.lit("")).alias("url"),
-        F.coalesce(F.col(f"`{payload_col}`").cast("string"), F.lit("")).cast("binary").alias("payload"),
-    ).withColumns({"size": F.octet_length("payload").cast("long"), "digest": digest(F.col("payload"))})
-    headers = rows.filter(F.col("id").isNotNull() & (F.octet_length("payload") >= at_least)).select("id", "digest")
+    rows = (
+        pages.select(
+            F.col(f"`{id_col}`").cast("long").alias("id"),
+            F.coalesce(F.col(f"`{url_col}`").cast("string"), F.lit("")).alias("url"),
+            F.coalesce(F.col(f"`{payload_col}`").cast("string"), F.lit("")).cast("binary").alias("payload"),
+        )
+        .withColumns({"size": F.octet_length("payload").cast("long"), "hexa": F.sha1("payload")})
+        .select("id", "url", "payload", "size", digest("hexa").alias("digest"))
+    )
+    headers = stored(rows.select("id", "size", "digest"), "headers").filter((F.col("size") >= at_least) & F.col("id").isNotNull())
     last = headers.groupBy("digest").agg(F.max("id").alias("last"), F.count("*").alias("n")).filter("n > 1").select("digest", "last")
     refers = stored(headers.join(last, "digest").filter("id <> last").select("id", "digest", "last").distinct(), "revisits")
     return rows.join(refers, ["id", "digest"], "left").select("id", "url", "payload", "size", "digest", F.col("last").alias("refers_to"))
@@ -60,8 +61,8 @@ def _uri(url: Column) -> Column:
     return url
 
 
-def written(records: DataFrame, path: str, total: int, date: str = "2026-01-01T00:00:00Z") -> None:
-    """Write ``resolved`` records, about ``total`` bytes of payload, below ``path``."""
+def written(records: DataFrame, path: str, date: str = "2026-01-01T00:00:00Z") -> None:
+    """Write ``resolved`` records below ``path``; payloads stay in the partitions they were read in."""
     name = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("none")), F.lit(">"))
     revisit = F.col("refers_to").isNotNull()
     body = F.when(revisit, F.lit(b"")).otherwise(F.col("payload"))
@@ -83,8 +84,7 @@ def written(records: DataFrame, path: str, total: int, date: str = "2026-01-01T0
         ),
     ).otherwise(F.lit(""))
     record = F.concat(head, more, F.lit("\r\n"), body.cast("string"))
-    files = max(1, -(-total // FILE_BYTES))
-    records.select(record.alias("value")).repartition(files).write.option("lineSep", END).text(path)
+    records.select(record.alias("value")).write.option("lineSep", END).option("maxRecordsPerFile", FILE_RECORDS).text(path)
 
 
 def parsed(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -146,6 +146,5 @@ def archived(pages: DataFrame) -> DataFrame:
     """Write pages as archives in the shared folder and read them back."""
     spark = pages.sparkSession
     path = scratch_path(spark, "llm-warc")
-    total = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
-    written(resolved(pages), path, total)
+    written(resolved(pages), path)
     return read_back(spark, path)
