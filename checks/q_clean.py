@@ -184,7 +184,7 @@ def bucket_display_band(spark, sf):
 @check(
     "threshold_advisory",
     with_ctes(
-        f"""SELECT city, {s('metric_date')} AS metric_date, CASE WHEN max_us_aqi > 150 THEN '{D.ADVISORY_ABOVE}'
+        f"""SELECT city, {s('metric_date')} AS metric_date, CASE WHEN avg_us_aqi > 150 THEN '{D.ADVISORY_ABOVE}'
         ELSE '{D.ADVISORY_BELOW}' END AS advisory FROM ad""",
         "ad",
     ),
@@ -193,7 +193,7 @@ def threshold_advisory(spark, sf):
     from tidemark.plans import gold
 
     days = gold.air_quality_days(fx.staged_air_quality(spark, sf))
-    text = threshold_text("max_us_aqi", D.ADVISORY_LIMIT, D.ADVISORY_ABOVE, D.ADVISORY_BELOW)
+    text = threshold_text("avg_us_aqi", D.ADVISORY_LIMIT, D.ADVISORY_ABOVE, D.ADVISORY_BELOW)
     return days.select("city", "metric_date", text.alias("advisory"))
 
 
@@ -215,7 +215,7 @@ def clamp_round_query(spark, sf):
     with_ctes(
         f"""SELECT event_id, md5(event_type) AS key_md5, md5(event_type || '_' || {s('CAST(ts AS DATE)')}) AS day_md5,
         sha256(props) AS props_sha256, {r('value / 7', 2)} AS rounded,
-        CAST(value AS INTEGER) AS nearest_int,
+        CAST(floor(value + 0.5) AS INTEGER) AS nearest_int,
         split_part(strftime(ts, '%Y-%m-%dT%H:%M'), 'T', 1) AS date_part,
         list_extract(string_split('lake/' || event_type || '/day.json', '/'), -2) AS folder,
         {s('CAST(ts AS DATE)')} AS day, CAST(hour(ts) AS INTEGER) AS hour,
@@ -245,7 +245,7 @@ def scalar_functions(spark, sf):
         surrogate_key("event_type", F.to_date(ts)).alias("day_md5"),
         payload_checksum("props").alias("props_sha256"),
         round_half_away(value / 7, 2).alias("rounded"),
-        F.rint(value).cast("int").alias("nearest_int"),
+        F.floor(value + 0.5).cast("int").alias("nearest_int"),
         F.element_at(F.split(F.date_format(ts, "yyyy-MM-dd'T'HH:mm"), "T"), 1).alias("date_part"),
         F.element_at(F.split(F.concat(F.lit("lake/"), "event_type", F.lit("/day.json")), "/"), -2).alias("folder"),
         iso_date(ts).alias("day"),

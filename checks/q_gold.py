@@ -1,5 +1,6 @@
 """Rollups, joins, windows, sorting, set operations and the gold flows."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,7 +95,9 @@ def dataset_window(spark, sf):
     return rollup.dataset_window(labelled, "city", "metric_date", "target")
 
 
-COUNTED = ("events", "orders", "lineitem", "customer", "documents", "conversations")
+COUNTED = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
 
 
 @check(
@@ -107,10 +110,10 @@ def layer_row_counts(spark, sf):
 
 @check(
     "monotone_counts",
-    """WITH live AS (SELECT o_orderstatus AS layer, count(*) AS n FROM orders WHERE o_orderdate < DATE '1998-06-01'
-        AND o_orderstatus <> 'P' GROUP BY 1),
-    prior AS (SELECT o_orderstatus AS layer, count(*) AS n FROM orders WHERE o_orderdate >= DATE '1998-01-01'
-        AND o_orderstatus <> 'F' GROUP BY 1)
+    """WITH live AS (SELECT o_orderstatus AS layer, count(*) AS n FROM orders WHERE o_orderdate < DATE '1995-06-01'
+        GROUP BY 1),
+    prior AS (SELECT o_orderstatus AS layer, count(*) AS n FROM orders WHERE o_orderdate >= DATE '1995-06-01'
+        GROUP BY 1)
     SELECT coalesce(live.layer, prior.layer) AS layer, greatest(coalesce(live.n, 0), coalesce(prior.n, 0)) AS row_count
     FROM live FULL OUTER JOIN prior ON live.layer = prior.layer""",
 )
@@ -120,8 +123,8 @@ def monotone_counts(spark, sf):
     def counts(df):
         return df.groupBy(F.col("o_orderstatus").alias("layer")).agg(F.count(F.lit(1)).alias("row_count"))
 
-    live = orders.filter("o_orderdate < DATE '1998-06-01' AND o_orderstatus <> 'P'")
-    prior = orders.filter("o_orderdate >= DATE '1998-01-01' AND o_orderstatus <> 'F'")
+    live = orders.filter("o_orderdate < DATE '1995-06-01'")
+    prior = orders.filter("o_orderdate >= DATE '1995-06-01'")
     return rollup.monotone_counts(counts(live), counts(prior))
 
 
@@ -360,7 +363,8 @@ PREDICTORS = {"persistence": "avg_us_aqi", "lag_1": "lag_1d_aqi", "lag_2": "lag_
             f"WHERE split = 'val' GROUP BY city"
             for name, column in PREDICTORS.items()
         )
-        + f") SELECT config, {r('avg(mae)', 4)} AS mean_score FROM cells GROUP BY config",
+        + f") SELECT config, {r('avg(mae)', 4)} AS mean_score, "
+        "CAST(row_number() OVER (ORDER BY round(avg(mae), 9) NULLS LAST, config) AS INTEGER) AS place FROM cells GROUP BY config",
         "split",
     ),
 )
@@ -373,7 +377,8 @@ def argmin_config(spark, sf):
         rollup.mean_absolute_error("target_next_day_aqi", "predicted").alias("mae")
     )
     ranked = rollup.argmin_config(scores, "config", "mae")
-    return ranked.withColumn("mean_score", round_half_away("mean_score", 4))
+    order = Window.orderBy(F.col("mean_score").asc_nulls_last(), "config")  # a row per predictor
+    return ranked.withColumn("place", F.row_number().over(order)).withColumn("mean_score", round_half_away("mean_score", 4))
 
 
 # --- set operations ----------------------------------------------------------

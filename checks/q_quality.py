@@ -1,5 +1,7 @@
 """Data-quality checks, report, gate, audit."""
 
+from pyspark.sql import functions as F
+
 from checks import fixtures as fx
 from checks.registry import check
 from checks.sql import s, with_ctes
@@ -44,13 +46,22 @@ def dq_accepted_range(spark, sf):
 @check(
     "dq_custom_rows",
     with_ctes(
-        f"""SELECT daily_metric_id, city, {s('metric_date')} AS metric_date, avg_us_aqi, max_us_aqi FROM fct
+        f"""SELECT daily_metric_id, city, {s('metric_date')} AS metric_date, avg_us_aqi, max_us_aqi
+        FROM (SELECT * REPLACE (CASE WHEN day(metric_date) % 5 = 1 THEN avg_us_aqi + 500 ELSE avg_us_aqi END AS avg_us_aqi,
+            CASE WHEN day(metric_date) % 5 = 2 THEN max_us_aqi - 400 ELSE max_us_aqi END AS max_us_aqi) FROM fct)
         WHERE avg_us_aqi NOT BETWEEN 0 AND 500 OR max_us_aqi NOT BETWEEN 0 AND 500 OR max_us_aqi < avg_us_aqi""",
         "fct",
     ),
 )
 def dq_custom_rows(spark, sf):
-    rows = D.aqi_sanity().rows(fx.fact(spark, sf))
+    day = F.dayofmonth("metric_date") % 5
+    planted = fx.fact(spark, sf).withColumns(
+        {
+            "avg_us_aqi": F.when(day == 1, F.col("avg_us_aqi") + 500).otherwise(F.col("avg_us_aqi")),
+            "max_us_aqi": F.when(day == 2, F.col("max_us_aqi") - 400).otherwise(F.col("max_us_aqi")),
+        }
+    )
+    rows = D.aqi_sanity().rows(planted)
     return rows.select("daily_metric_id", "city", "metric_date", "avg_us_aqi", "max_us_aqi")
 
 

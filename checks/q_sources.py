@@ -43,16 +43,17 @@ def scan_raw_json(spark, sf):
     "tolerate_malformed",
     with_ctes(
         """, d AS (SELECT DISTINCT city, date FROM h)
-        SELECT city, count(*) AS good_documents, count(*) AS rejected_files FROM d GROUP BY city""",
+        SELECT city, count(*) AS good_documents, 5 * count(*) AS rejected_files FROM d GROUP BY city""",
         "h",
     ),
 )
 def tolerate_malformed(spark, sf):
-    """Every document also lands once with its tail cut off; the batch goes on without those files."""
+    """Every document also lands with its tail cut off, twice over, and with three kinds of text after it; the batch goes on without those files."""
     docs = fx.documents(spark, sf)
     path = fx.write_documents(docs, f"{scratch_path(spark, 'raw')}/weather")
-    cut = docs.withColumn("payload", F.expr("left(payload, length(payload) - 2)"))
-    fx.write_documents(cut, path)
+    broken = ["left(payload, length(payload) - 2)", "payload || payload", "payload || ' junk'", "payload || '} junk'", "payload || '] junk'"]
+    for payload in broken:
+        fx.write_documents(docs.withColumn("payload", F.expr(payload)), path)
     good, rejects = raw.tolerate_malformed(raw.scan_raw_json(spark, path, DOC_SCHEMA, FILES))
     counts = good.groupBy(F.col("doc._metadata.city").alias("city")).agg(F.count(F.lit(1)).alias("good_documents"))
     folder = raw.default_key_from_path(F.lit(None).cast("string"), "path")

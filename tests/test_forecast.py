@@ -164,3 +164,9 @@ def test_pooled_model_scores_every_row(spark, missing):
     scored = FC.pooled_forecast(split, SPEC, max_iter=5)
     assert scored.count() == 80
     assert scored.filter("predicted IS NULL OR predicted < 0 OR predicted > 500").isEmpty()
+
+
+def test_pooled_model_takes_any_number_of_keys(spark):
+    split = prepared(spark, {f"k{i}": 32 for i in range(200)})
+    scored = FC.pooled_forecast(split, SPEC, max_iter=2)
+    assert scored.count() == 6400 and scored.filter("predicted IS NULL").isEmpty()

@@ -140,3 +140,12 @@ def test_wanted_files_of_a_backfill(spark, root):
     assert ("2026-09-18", "archive") in routes and ("2026-09-19", "forecast") in routes
     one = wanted_files(spark, lake, WEATHER, dt.date(2026, 9, 23), 0, dt.date(2026, 9, 20)).filter(F.col("city") == "delhi")
     assert one.isEmpty()
+
+
+@pytest.mark.parametrize("tail", ["{}", " junk", "} junk", "] junk", ', {"a": 1}', "\n[]"])
+def test_text_after_the_document_rejects_the_file(spark, root, tail):
+    good = document(["2026-09-22T00:00"], temperature_2m=[1.0])
+    write(root, "delhi", "good.json", json.dumps(good) + "\n")
+    write(root, "delhi", "bad.json", json.dumps(good) + tail)
+    docs = raw.scan_raw_json(spark, f"{root}/weather", raw.document_schema(M))
+    assert {r.path.rsplit("/", 1)[1]: r.is_malformed for r in docs.collect()} == {"good.json": False, "bad.json": True}

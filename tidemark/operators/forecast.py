@@ -316,25 +316,32 @@ def pooled_forecast(
     """The same target learned once over all series with Spark's own distributed trees.
 
     Fits on train+val rows and scores every row. Vectors cannot hold missing
-    values, so a missing feature is filled with -1 and flagged.
+    values, so a missing feature is filled with -1 and flagged. A series enters
+    by the mean and the spread of its own target on those rows, so there may be
+    any number of keys and none is gathered; one without such rows is missing.
     """
     from pyspark.ml import Pipeline
-    from pyspark.ml.feature import StringIndexer, VectorAssembler
+    from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
-    flags = {f"{c}_missing": F.col(c).isNull().cast("double") for c in spec.features}
-    filled = split.withColumns(flags).withColumns(
-        {c: F.coalesce(F.col(c).cast("double"), F.lit(-1.0)) for c in spec.features}
+    learned = split.filter(F.col("split").isin("train", "val"))
+    own = learned.groupBy(spec.key).agg(
+        F.avg(spec.target).alias("_key_mean"), F.stddev_pop(spec.target).alias("_key_spread")
     )
-    index = StringIndexer(inputCol=spec.key, outputCol="_key_index", handleInvalid="keep")
-    assemble = VectorAssembler(inputCols=[*spec.features, *flags, "_key_index"], outputCol="_features")
+    known = split.join(own, spec.key, "left")
+    features = [*spec.features, "_key_mean", "_key_spread"]
+    flags = {f"{c}_missing": F.col(c).isNull().cast("double") for c in features}
+    filled = known.withColumns(flags).withColumns(
+        {c: F.coalesce(F.col(c).cast("double"), F.lit(-1.0)) for c in features}
+    )
+    assemble = VectorAssembler(inputCols=[*features, *flags], outputCol="_features")
     trees = GBTRegressor(
         featuresCol="_features", labelCol=spec.target, predictionCol="prediction",
         maxDepth=max_depth, stepSize=step, minInstancesPerNode=min_leaf, maxIter=max_iter, seed=seed,
         checkpointInterval=10,
     )
     train = filled.filter(F.col("split").isin("train", "val"))
-    model = Pipeline(stages=[index, assemble, trees]).fit(train)
+    model = Pipeline(stages=[assemble, trees]).fit(train)
     scored = model.transform(filled)
     return scored.select(
         spec.key, spec.date, "split", spec.target, clamp_round("prediction", spec.low, spec.high, 1).alias("predicted")

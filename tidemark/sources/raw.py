@@ -77,19 +77,23 @@ def default_key_from_path(metadata_key: str | Column, path: str | Column) -> Col
 def parse_documents(files: DataFrame, schema: T.StructType) -> DataFrame:
     """``(path, payload)`` to ``(path, payload, doc, is_malformed)``.
 
-    A payload that is no JSON object, or whose fields do not fit the schema, is
-    marked instead of failing the batch.
+    A payload that is no JSON object, that goes on after it, or whose fields do
+    not fit the schema, is marked instead of failing the batch. Spark's parser
+    stops after the first value, so the payload is read as the only field of an
+    object, which shows most tails, and counted as the only item of an array,
+    which shows one that begins with a closing brace.
     """
-    with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    parsed = files.withColumn(
-        "doc", F.from_json("payload", with_corrupt, {"columnNameOfCorruptRecord": CORRUPT})
-    )
+    only = T.StructType([T.StructField("x", schema), T.StructField(CORRUPT, T.StringType())])
+    whole = F.concat(F.lit('{"x":'), F.col("payload"), F.lit("}"))
+    parsed = files.withColumn("_whole", F.from_json(whole, only, {"columnNameOfCorruptRecord": CORRUPT}))
+    items = F.json_array_length(F.concat(F.lit("["), F.col("payload"), F.lit("]")))
     bad = (
-        F.col("doc").isNull()
-        | F.col(f"doc.{CORRUPT}").isNotNull()
+        F.col("_whole.x").isNull()
+        | F.col(f"_whole.{CORRUPT}").isNotNull()
         | ~F.startswith(F.ltrim(F.col("payload")), F.lit("{"))
+        | (F.coalesce(items, F.lit(0)) != 1)
     )
-    return parsed.withColumn("is_malformed", F.coalesce(bad, F.lit(True)))
+    return parsed.withColumns({"doc": F.col("_whole.x"), "is_malformed": F.coalesce(bad, F.lit(True))}).drop("_whole")
 
 
 def whole_files(reader, root: str, file_glob: str) -> DataFrame:
