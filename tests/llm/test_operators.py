@@ -299,7 +299,7 @@ def test_fingerprint_votes_and_search(spark):
     frame = spark.createDataFrame(rows, "id long, text string")
     got = {r["id"]: (r["f1"], r["f2"]) for r in simhash.fingerprints(frame, ["id"]).collect()}
     terms = frame.select("id", simhash._terms(F.col("text")).alias("_w")).select("id", simhash._pairs("_w").alias("t"))
-    hashed = terms.select("id", F.explode("t").alias("t")).select("id", F.col("t").bitwiseAND(3).alias("w"), F.xxhash64("t", F.lit(1)).alias("h1"), F.xxhash64("t", F.lit(2)).alias("h2")).toPandas()
+    hashed = terms.select("id", F.explode_outer("t").alias("t")).select("id", F.col("t").bitwiseAND(3).alias("w"), F.xxhash64("t", F.lit(1)).alias("h1"), F.xxhash64("t", F.lit(2)).alias("h2")).toPandas()
     for i, part in hashed.groupby("id"):
         for half, column in enumerate(("h1", "h2")):
             bits = (part[column].to_numpy().view(np.uint64)[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)
