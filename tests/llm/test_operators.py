@@ -238,6 +238,25 @@ def test_decontamination(spark, docs, none):
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_finds_short_items_in_long_documents(spark):
+    rng = random.Random(12)
+    items = {i: [f"s{rng.randrange(10**6)}" for _ in range(5 + i % 6)] for i in range(60)}
+    items |= {i: [f"s{rng.randrange(10**6)}" for _ in range(14)] for i in range(60, 80)}
+    rows, want = [], set()
+    for i, item in items.items():
+        w = [f"c{rng.randrange(10**6)}" for _ in range(rng.randrange(500, 3000))]
+        at, n = rng.randrange(len(w)), len(item) - 4
+        held = item[:12] if i >= 60 else item  # of 10 shingles 8 are held, at the threshold
+        w[at:at] = held
+        rows.append((i, " ".join(w)))
+        want.add((i, i, len(held) - 4, n))
+        rows.append((1000 + i, " ".join(w[:at] + item[:-3] + w[at + len(held) :])))  # below the threshold
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    found = decontaminate.contaminated(frame, bench).collect()
+    assert {(r["doc_id"], r["item_id"], r["shared"], r["n_shingles"]) for r in found} == want
+
+
 @pytest.mark.parametrize("hot", [False, True])
 def test_sharding(spark, hot, none, odd):
     rng = random.Random(9)

@@ -1,13 +1,17 @@
 """Benchmark decontamination: size-partitioned MinHash containment search, verified by exact shingles.
 
 A short item inside a long document has a tiny Jaccard similarity to it, so neither side is compared
-whole. Items are partitioned by the number of their shingles, in steps of four; for each partition the
+whole. Items are partitioned by the number of their shingles, in steps of four. Items of up to
+``SMALLEST_BLOCK / 2`` shingles keep every shingle: an item that reaches the threshold misses so few that
+one of any ``n - ceil(threshold * n) + 1`` of its shingles lies in the document, so it is a candidate of
+every document that holds one of that many, and none is missed. For each partition of larger items the
 documents' shingles are cut into blocks twice as long as the partition's largest item. A block's
 one-permutation MinHash keeps the smallest hash in each of as many bins as the block is long. An item
 becomes a candidate of a document if one bin of one block holds the item's own minimum: a shingle of
 the item that lies in the document is the minimum of its bin with a chance of about 0.63, and any one
-suffices, so an item of eleven shingles is missed about twice in 100,000 times. Candidates are verified
-exactly: shared distinct shingles over the item's distinct shingles.
+suffices. The smallest of these items has 33 shingles, 25 of them shared at the threshold of 0.75, and is
+missed with a chance of about 0.37^25, two in 10^11; larger ones less. Candidates are verified exactly:
+shared distinct shingles over the item's distinct shingles.
 
 Blocks, minima and the join all stay inside the scan of the documents; nothing of them is shuffled as
 long as the items' minima, counted before, are few enough to broadcast. Beyond that the join shuffles.
@@ -68,6 +72,18 @@ def _minima(shingled: DataFrame, block: int) -> DataFrame:
     return cut.select("id", F.explode_outer(F.flatten(first)).alias("low"))
 
 
+def _every(shingled: DataFrame) -> DataFrame:
+    """All shingles of a text as ``low``: (id, low)."""
+    return shingled.select("id", F.explode_outer("grams").alias("low"))
+
+
+def _sure(items: DataFrame, threshold: float) -> DataFrame:
+    """So many shingles of an item as ``low`` that every text reaching the threshold holds one: (id, low)."""
+    n = F.size("grams")
+    enough = F.greatest(F.lit(1), n - F.ceil(F.lit(threshold) * n).cast("int") + 1)
+    return items.select("id", F.explode(F.slice(F.sort_array("grams"), F.lit(1), enough)).alias("low"))
+
+
 def contaminated(
     docs: DataFrame,
     items: DataFrame,
@@ -90,8 +106,9 @@ def contaminated(
     found = None
     for c in classes:
         block = SMALLEST_BLOCK * 4**c
-        low = broadcast_if_small(stored(_minima(wanted.filter(F.col("size_class") == c), block).withColumnRenamed("id", "item"), "minima"))
-        pairs = _minima(shingled, block).join(low, "low").select("id", "item")
+        own = wanted.filter(F.col("size_class") == c)
+        low = broadcast_if_small(stored((_minima(own, block) if c else _sure(own, threshold)).withColumnRenamed("id", "item"), "minima"))
+        pairs = (_minima(shingled, block) if c else _every(shingled)).join(low, "low").select("id", "item")
         found = pairs if found is None else found.union(pairs)
     if found is None:
         found = wanted.select("id", F.col("id").alias("item")).limit(0)
