@@ -358,3 +358,33 @@ def test_wrappers(spark):
         assert f"text {i} line bold" in got[i] and not re.search("Menu|cookies|Buy|Mail|reply|©", got[i])
     assert got[20] == got[21] == "" and got[22] == "cut off" and got[23] == "plain"
     assert wrappers.main_text(frame.limit(0)).count() == 0
+
+
+def main_texts(spark, pages):
+    frame = spark.createDataFrame([(i, f"http://{h}/{i}", "<html><body><div class='nav'>Menu</div>" + b + "</body></html>") for i, (h, b) in enumerate(pages)], "page_id long, url string, html string")
+    return {r["page_id"]: r["text"] for r in wrappers.main_text(frame.repartition(3)).collect()}
+
+
+def test_wrappers_decide_by_page(spark):
+    long = "body " * 30
+    got = main_texts(
+        spark,
+        [("m.x", f"<article><p>own {i}</p></article>") for i in range(2)]
+        + [("m.x", "<main><p>in main</p></main>"), ("m.x", "<div><p>in divs</p></div>")]
+        + [("m.x", f"<article><p>card {i}</p></article><article><p>card</p></article><div><p>{long}{i}</p></div>") for i in range(2)],
+    )
+    assert [got[i] for i in range(4)] == ["own 0", "own 1", "in main", "in divs"]
+    assert all(f"{long}{i}" in got[4 + i] for i in range(2))
+
+
+def test_wrappers_keep_rare_blocks_and_identical_pages(spark):
+    once = "<h2>Only here</h2><pre>code once</pre>"
+    pages = [("o.x", f"<div><b>Same on all</b></div><section><p>text {i}</p>{once if i == 2 else ''}</section>") for i in range(6)]
+    pages += [("i.x", "<div><p>all equal</p></div>")] * 5
+    # copies of one page are one page: its own block is no more common for them
+    pages += [("c.x", f"<div><b>Same</b></div><section><p>text {i}</p></section>") for i in range(3)]
+    pages += [("c.x", "<div><b>Same</b></div><section><p>text 9</p><h2>copied</h2></section>")] * 9
+    got = main_texts(spark, pages)
+    assert got[0] == "text 0" and got[2] == "text 2\nOnly here\ncode once"
+    assert all(got[i] == "all equal" for i in range(6, 11))
+    assert got[11] == "text 0" and all(got[i] == "text 9\ncopied" for i in range(14, 23))

@@ -7,10 +7,14 @@ regular expression without unions, kept as nested groups: the wrapper of the hos
 
 * Batches align their own pages first; streams of one structure only compare their texts. Partial wrappers
   of a host are merged in two steps, salted before, so a host with a third of all pages is no single task's.
-* A group is the page's content if it is an article, the main element, or else the one whose slots hold most
-  text per page. Menus, headers, footers, sidebars, notices, adverts, forms and comments inside are left out
-  by element and by class; so are texts outside an article that the same on every page of a host.
-* Every page is then read by its host's wrapper: a text is main if its group is.
+* A text varies if its group is a slot, or if its group was seen on half of the host's distinct pages at most;
+  with fewer than three distinct pages every text counts as varying. Equal pages of a host count as one: each
+  is weighted by one over their number, counted before.
+* Every page is read by its host's wrapper and decided on by itself: its content is the innermost of its articles,
+  its main element and its varying texts that holds at least half of the varying text, so articles that are mere
+  cards beside a body do not displace it, and a page without them has its other texts. A page without any
+  of the three keeps all of its texts. Menus, headers, footers, sidebars, notices, adverts, forms and comments
+  are left out by element and by class throughout.
 
 Blocks come in page order, joined by a line feed; character references are decoded and white space is one
 space. Defined cases: a null or empty page has an empty text; elements left open end with the element around
@@ -31,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import tokens
-from tidemark.llm.common import stored
+from tidemark.llm.common import broadcast_if_small, stored
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|textarea|select|button)\b.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][\w:-]*)([^>]*)(>|\Z)|<[!?][^>]*(?:>|\Z)|([^<]+|<)", re.S | re.I)
 NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
@@ -106,10 +110,10 @@ def read(page: str) -> list[tuple[tuple[str, ...], str]]:
     return out
 
 
-# A wrapper group: [label, text, mass, optional, repeated, [groups]]; text is SLOT where it varies, "" where there is none.
-def stream(blocks: list[tuple[tuple[str, ...], str]]) -> list:
+# A wrapper group: [label, text, mass, optional, repeated, [groups], distinct pages]; text is SLOT where it varies, "" where there is none.
+def stream(blocks: list[tuple[tuple[str, ...], str]], weight: float = 1.0) -> list:
     """A page as a wrapper of its own, equal neighbours folded into repeated groups."""
-    root = ["", "", 0, False, False, []]
+    root = ["", "", 0, False, False, [], weight]
     open_: list[list] = [root]
     names: list[str] = []
     for path, text in blocks:
@@ -121,7 +125,7 @@ def stream(blocks: list[tuple[tuple[str, ...], str]]) -> list:
         del open_[keep + 1 :]
         names = list(path)
         for name in path[keep:]:
-            group = [name, "", 0, False, False, []]
+            group = [name, "", 0, False, False, [], weight]
             open_[-1][5].append(group)
             open_.append(group)
         group = open_[-1]
@@ -165,7 +169,7 @@ def align(a: list, b: list, add: bool = False) -> list:
             groups.append([*right[j][:3], True, *right[j][4:]])
             j += 1
     text = a[1] if a[1] == b[1] else SLOT
-    return [a[0], text, a[2] + b[2] if add else max(a[2], b[2]), a[3] or b[3], a[4] or b[4], groups]
+    return [a[0], text, a[2] + b[2] if add else max(a[2], b[2]), a[3] or b[3], a[4] or b[4], groups, max(a[6], b[6]) if add else a[6] + b[6]]
 
 
 def around(name: str) -> bool:
@@ -173,38 +177,54 @@ def around(name: str) -> bool:
     return tag in ASIDE or "hidden" in words or any(w in AROUND for w in words)
 
 
-def main_groups(wrapper: list, pages: int) -> list[list[str]]:
-    """Paths of the groups whose text is the page's content."""
+#: Bits of a group: in an article, in a main element, with text that varies, outside of what surrounds the content.
+ARTICLE, MAIN_PART, VARIES, BODY = 1, 2, 4, 8
 
-    def inside(group: list, path: list[str]) -> Iterator[list[str]]:
-        yield path
+
+def main_groups(wrapper: list) -> dict[tuple[str, ...], int]:
+    """The bits of the groups by their paths, as far as their text can be a page's content."""
+    pages = wrapper[6]
+    out: dict[tuple[str, ...], int] = {}
+
+    def visit(group: list, path: tuple[str, ...], within: int, body: bool) -> None:
+        tag = group[0].partition(".")[0]
+        body = body and tag != "header"
+        if body and path and (tag in MAIN or group[0].endswith(".main")):
+            within |= ARTICLE if tag == "article" else MAIN_PART
+        # weights of copies add up to a page but for their last digits
+        varies = group[1] is SLOT or group[1] != "" and (pages < 2.5 or group[6] <= pages / 2 + 1e-6)
+        if within or body:
+            out[path] = out.get(path, 0) | within | (BODY | VARIES * varies if body else 0)
         for child in group[5]:
             if not around(child[0]):
-                yield from inside(child, [*path, child[0]])
+                visit(child, (*path, child[0]), within, body)
 
-    def parts(group: list, path: list[str]) -> Iterator[tuple[list, list[str]]]:
-        yield group, path
-        for child in group[5]:
-            if not around(child[0]) and child[0].partition(".")[0] != "header":
-                yield from parts(child, [*path, child[0]])
+    visit(wrapper, (), 0, True)
+    return out
+
+
+def content(blocks: list[tuple[tuple[str, ...], str]], bits: dict[tuple[str, ...], int]) -> list[str]:
+    """The texts of a page's content, by the groups of its host."""
+    marked = [(bits.get(path, 0), text) for path, text in blocks]
+
+    def mass(of: int) -> int:
+        return sum(len(text) for b, text in marked if b & of)
 
-    every = list(parts(wrapper, []))
-    content = [(g, p) for g, p in every if p and (p[-1].partition(".")[0] in MAIN or p[-1].endswith(".main"))]
-    inner = [(g, p) for g, p in content if g[0].partition(".")[0] == "article"] or content
-    if inner:
-        return [own for g, p in inner for own in inside(g, p)]
-    # no article: slots outside what surrounds the content, texts that never change left out
-    return [p for g, p in every if g[1] != "" and (g[1] is SLOT or pages < 3)]
+    for part in (ARTICLE, MAIN_PART, VARIES, BODY):
+        own = mass(part)
+        if own and 2 * own >= mass(part | VARIES):
+            return [text for b, text in marked if b & part]
+    return []
 
 
 def _partial(pages: DataFrame) -> DataFrame:
-    """(host, pages, wrapper) of every batch."""
+    """(host, pages, wrapper) of every batch of (host, page, copies)."""
 
     def run(stream_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream_:
             known: dict[str, list] = {}
-            for host, page in zip(batch.column(0).to_pylist(), batch.column(1)):
-                own = stream(read(page.as_py()))
+            for host, page, copies in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+                own = stream(read(page.as_py()), 1 / copies)
                 if host in known:
                     known[host] = [known[host][0] + 1, align(known[host][1], own)]
                 else:
@@ -228,7 +248,10 @@ def _merged(group: pa.Table) -> pa.Table:
 def infer(pages: DataFrame) -> DataFrame:
     """(host, pages, wrapper) from (host, page)."""
     schema = "host string, pages long, wrapper string"
-    salted = _partial(pages).withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(16)))
+    hashed = pages.withColumn("hash", F.xxhash64("page"))
+    again = stored(hashed.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1"), "equal-pages")
+    counted = hashed.join(broadcast_if_small(again), ["host", "hash"], "left").select("host", "page", F.coalesce("copies", F.lit(1)).alias("copies"))
+    salted = _partial(counted).withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(16)))
     return salted.groupBy("host", "salt").applyInArrow(_merged, schema).groupBy("host").applyInArrow(_merged, schema)
 
 
@@ -244,21 +267,20 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     inferred = stored(infer(rows.select("host", "page")), "wrappers")
     size = inferred.agg(F.sum(F.octet_length("wrapper"))).first()[0] or 0
     known = inferred if size > 16 << 20 else F.broadcast(inferred)
-    joined = rows.join(known, "host", "left").select("id", "url", "page", "pages", "wrapper")
+    joined = rows.join(known, "host", "left").select("id", "url", "page", "wrapper")
 
     def run(stream_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chosen: dict[str, frozenset] = {}
+        chosen: dict[str, dict] = {}
         for batch in stream_:
             for at, to in tokens.chunks(batch.column(2)):
                 texts = []
-                for page, n, wrapper in zip(*(batch.column(i).slice(at, to - at) for i in (2, 3, 4))):
+                for page, wrapper in zip(*(batch.column(i).slice(at, to - at) for i in (2, 3))):
                     key = wrapper.as_py()
                     if key not in chosen:
                         if len(chosen) > 10_000:
                             chosen.clear()
-                        chosen[key] = frozenset(map(tuple, main_groups(json.loads(key), n.as_py())))
-                    main = chosen[key]
-                    texts.append("\n".join(text for path, text in read(page.as_py()) if path in main))
+                        chosen[key] = main_groups(json.loads(key))
+                    texts.append("\n".join(content(read(page.as_py()), chosen[key])))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, to - at), batch.column(1).slice(at, to - at), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                     ["page_id", "url", "text", "n_chars"],
