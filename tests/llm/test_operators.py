@@ -211,6 +211,21 @@ def test_kernel_counts_gapped_subsequences():
     assert np.allclose(ratio, ratio[0], rtol=1e-4) and norm > 0 and (got[want == 0] == 0).all()
 
 
+def test_kernel_is_evaluated_wherever_it_is_not_zero():
+    rng, marks = random.Random(13), [b"idiot", b"stupid", b"aabbcc", "réeux".encode()]
+    words = [b"idi0t", b"st*pid", b"stup1d", b"idxiot", b"idot", b"abc", b"aab", "réuex".encode()]
+    words += [bytes(rng.choice(b"abcidostup01") for _ in range(rng.randrange(1, 12))) for _ in range(300)]
+    own, (chars, size) = toxicity.self_kernel(marks), toxicity._padded(words)
+    got = toxicity.kernel(chars, size, marks, own)
+    to, to_size = toxicity._padded(marks)
+    for m in range(len(marks)):
+        some = np.full(len(words), m)
+        raw, mine = toxicity._pairs(chars, size, to[some], to_size[some]), toxicity._pairs(chars, size, chars, size)
+        want = np.where(raw > 0, raw / np.sqrt(np.where(mine > 0, mine, 1) * own[m]), 0)
+        assert np.allclose(got[:, m], want, atol=1e-5)
+    assert got[0, 0] > 0.1 and (got[1:3, 1] > 0.1).all()
+
+
 def test_decontamination(spark, docs, none):
     rng = random.Random(8)
     items = {i: " ".join(f"b{rng.randrange(10**5)}" for _ in range(15 + 20 * i)) for i in range(8)}

@@ -2,8 +2,8 @@
 
 The kernel counts common subsequences of ``ORDER`` characters, each weighted by DECAY to the length it
 spans in both strings, and is normalised: "idiot", "id-iot" and "idxiot" are near to each other, since
-gaps and inserted characters only lower the weights. Its fourth power is used beside it. Words that hold less than ``SHARE`` of a
-landmark's letters have the value 0 for that landmark by definition.
+gaps and inserted characters only lower the weights. Its fourth power is used beside it. It is
+evaluated for every word and landmark with ``ORDER`` characters in common; all other pairs have no common subsequence.
 
 *Learning.* A bounded sample of labelled texts (``SAMPLE_ROWS`` rows, the smallest hashes of their ids)
 goes to the driver. Landmarks are the words whose presence speaks most clearly for the toxic label.
@@ -39,7 +39,7 @@ from tidemark.llm import tokens
 
 #: Bound of the labelled sample that the model is fitted on.
 SAMPLE_ROWS = 4000
-ORDER, DECAY, SHARE, WORD = 4, 0.9, 0.85, 24
+ORDER, DECAY, WORD = 4, 0.9, 24
 #: Bytes of text whose words are evaluated together.
 BYTES = 1 << 20
 #: The fourth power of the kernel is a kernel too; it tells a landmark from words that merely resemble it.
@@ -111,10 +111,20 @@ def _pairs(x: np.ndarray, x_size: np.ndarray, y: np.ndarray, y_size: np.ndarray)
     return out
 
 
-def _letters(chars: np.ndarray, size: np.ndarray) -> np.ndarray:
-    ok = (chars >= 97) & (chars <= 122) & (np.arange(WORD) < size[:, None])
-    bits = np.where(ok, np.uint32(1) << np.where(ok, chars - 97, 0).astype(np.uint32), np.uint32(0))
-    return np.bitwise_or.reduce(bits, axis=1)
+def _common(chars: np.ndarray, size: np.ndarray, to: np.ndarray, to_size: np.ndarray) -> np.ndarray:
+    """(word, landmark): whether they have ORDER characters in common; without, no common subsequence has ORDER."""
+    alphabet, place = np.unique(np.concatenate([row[:n] for row, n in zip(to, to_size)])), np.zeros(256, np.int64)
+    place[alphabet] = np.arange(len(alphabet)) + 1
+    wide = len(alphabet) + 1
+
+    def counts(x: np.ndarray, n: np.ndarray) -> np.ndarray:
+        at = (np.arange(len(x))[:, None] * wide + np.where(np.arange(WORD) < n[:, None], place[x], 0)).ravel()
+        out = np.bincount(at, minlength=len(x) * wide).reshape(len(x), wide).astype(np.uint8)
+        out[:, 0] = 0
+        return out
+
+    own, other = counts(chars, size), counts(to, to_size)
+    return np.stack([np.minimum(own[:, row > 0], row[row > 0]).sum(1) >= ORDER for row in other], 1)
 
 
 def self_kernel(words: list[bytes]) -> np.ndarray:
@@ -123,14 +133,12 @@ def self_kernel(words: list[bytes]) -> np.ndarray:
 
 
 def kernel(chars: np.ndarray, size: np.ndarray, landmarks: list[bytes], own: np.ndarray) -> np.ndarray:
-    """Normalised kernel of padded words with each landmark, 0 where too few letters are shared."""
+    """Normalised kernel of padded words with each landmark; it is 0 where fewer than ORDER characters are common."""
     out = np.zeros((len(chars), len(landmarks)), np.float32)
     if not len(chars):
         return out
     to, to_size = _padded(landmarks)
-    want = _letters(to, to_size)
-    shared = np.bitwise_count(_letters(chars, size)[:, None] & want)
-    word, mark = np.nonzero((shared >= SHARE * np.bitwise_count(want)) & (size >= ORDER)[:, None])
+    word, mark = np.nonzero(_common(chars, size, to, to_size))
     value = _pairs(chars[word], size[word], to[mark], to_size[mark])
     word, mark, value = word[value > 0], mark[value > 0], value[value > 0]
     near, back = np.unique(word, return_inverse=True)
