@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,17 +14,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
     Cuts the lineage: later jobs, and replays after a lost executor, start from these files.
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=list(partition_by) or None)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a frame made by ``stored`` that nothing will read again."""
+    folders = {file.rsplit("/llm-", 1)[0] + "/llm-" + file.rsplit("/llm-", 1)[1].split("/")[0] for file in df.inputFiles() if "/llm-" in file}
+    jvm = df.sparkSession._jvm
+    for folder in folders:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Columns ``id`` (long) and ``text`` (null becomes empty), whatever else the input holds.
 

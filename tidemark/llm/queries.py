@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, jaccard, sharding, simhash, substring, toxicity, training_order, warc, wrappers
+from tidemark.llm import bpe, collocations, decontaminate, jaccard, sharding, simhash, substring, toxicity, training_order, warc, wrappers
 from tidemark.llm.common import stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,3 +145,36 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_html_extraction")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.main_text(table(spark, sf_dir, "pages"))
+
+
+@query(
+    "op12_phrase_collocations",
+    r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS r,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces WHERE piece <> ''),
+grams AS (SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase, count(*) AS f
+    FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k)
+    GROUP BY ALL),
+words AS (SELECT lang, sum(f)::BIGINT AS n FROM grams WHERE k = 1 GROUP BY lang),
+often AS (SELECT * FROM grams WHERE f >= 100),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS p FROM often WHERE k > 1),
+inside AS (
+    SELECT lang, array_to_string(p[i : i + m - 1], ' ') AS phrase, max(a) AS longer
+    FROM (SELECT lang, p, k, a, m, unnest(range(1, k - m + 2)) AS i FROM c, (SELECT unnest(range(2, 5)) AS m) WHERE m < k)
+    GROUP BY ALL),
+cuts AS (
+    SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r, words.n, c.cut,
+        (1000 * c.a::HUGEINT * words.n::HUGEINT) // (x.f::HUGEINT * y.f::HUGEINT) AS score
+    FROM (SELECT *, unnest(range(1, k)) AS cut FROM c) c JOIN words USING (lang)
+    JOIN often x ON x.lang = c.lang AND x.k = cut AND x.phrase = array_to_string(c.p[1 : cut], ' ')
+    JOIN often y ON y.lang = c.lang AND y.k = c.k - cut AND y.phrase = array_to_string(c.p[cut + 1 : c.k], ' ')),
+weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM weakest LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a
+QUALIFY rank <= 2000
+""",
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
