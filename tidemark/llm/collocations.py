@@ -31,10 +31,11 @@ from tidemark.llm import tokens
 from tidemark.llm.common import discard, stored
 
 LONGEST = 5
-SHARDS = 4
+SHARDS = 3
 SLOTS = 1 << 22
 NEVER = 255
-BYTES = 8 << 20
+BYTES = 2 << 20
+TALLY = 600_000  # distinct phrases a task adds up before it passes them on
 BUCKET = 1 << 15  # bits of one bitmap of bitmap_construct_agg
 
 _GAP = np.zeros(256, bool)
@@ -105,28 +106,56 @@ def _strings(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Array:
     return pa.StringArray.from_buffers(len(size), pa.py_buffer(offsets), pa.py_buffer(data[where].tobytes()))
 
 
-def _rows(length: int, since: np.ndarray, p: np.ndarray, s: np.ndarray, lang: pa.Array, word: pa.Array, n: np.ndarray) -> pa.RecordBatch:
-    columns = [
-        pa.array(np.full(len(n), length, np.int32)),
-        pa.array(since.astype(np.int32)),
-        pa.array(p.view(np.int64)),
-        pa.array(s.view(np.int64)),
-        lang,
-        word,
-        pa.array(n.astype(np.int64)),
-    ]
-    return pa.RecordBatch.from_arrays(columns, ["length", "since", "p", "s", "lang", "word", "n"])
+class Tally:
+    """Numbers of phrases added up within a task, a bounded number of phrases at a time."""
 
+    def __init__(self) -> None:
+        self.clear()
 
-def counted(column: pa.Array, lang: pa.Array, langs: np.ndarray, at: int, to: int, reached: np.ndarray | None, step: int) -> Iterator[pa.RecordBatch]:
-    """Distinct phrases that scan ``step`` counts in the texts ``at`` to ``to``, with their numbers."""
+    def clear(self) -> None:
+        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.words: list[tuple[pa.Array, pa.Array]] = []  # language and word, of the parts that are words
+        self.size = 0
+
+    def add(self, length: int, hashes: np.ndarray, since: np.ndarray, p: np.ndarray, s: np.ndarray, words=None) -> None:
+        """Count ``hashes``; ``words`` gives language and word of those at some positions."""
+        some, pick, n = np.unique(hashes, return_index=True, return_counts=True)
+        if len(some):
+            self.parts.append((some, np.full(len(some), length, np.int32), since[pick].astype(np.int32), p[pick], s[pick], n))
+            none = pa.nulls(len(some), pa.string())
+            self.words.append(words(pick) if words else (none, none))
+            self.size += len(some)
+
+    def rows(self, least: int = 0) -> Iterator[pa.RecordBatch]:
+        """What has been counted, once it is more than ``least`` distinct phrases."""
+        if self.size <= least or not self.parts:
+            return
+        hashes, length, since, p, s, n = (np.concatenate(c) for c in zip(*self.parts))
+        lang, word = (pa.concat_arrays(c) for c in zip(*self.words))
+        order = np.argsort(hashes, kind="stable")
+        first = np.flatnonzero(np.concatenate([[True], hashes[order][1:] != hashes[order][:-1]]))
+        pick, n = order[first], np.add.reduceat(n[order], first)
+        if len(pick) <= least:
+            kept = pa.array(pick)
+            self.parts = [(hashes[pick], length[pick], since[pick], p[pick], s[pick], n)]
+            self.words, self.size = [(lang.take(kept), word.take(kept))], len(pick)
+            return
+        self.clear()
+        for at in range(0, len(pick), 100_000):
+            some = pick[at : at + 100_000]
+            columns = [pa.array(length[some]), pa.array(since[some]), pa.array(p[some].view(np.int64)), pa.array(s[some].view(np.int64))]
+            columns += [lang.take(pa.array(some)), word.take(pa.array(some)), pa.array(n[at : at + 100_000].astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, ["length", "since", "p", "s", "lang", "word", "n"])
+
+
+def counted(tally: Tally, column: pa.Array, lang: pa.Array, langs: np.ndarray, at: int, to: int, reached: np.ndarray | None, step: int) -> None:
+    """Add the phrases that scan ``step`` counts in the texts ``at`` to ``to``."""
     w = split(column, langs, at, to)
     hashes = w.hashes
-    if step < SHARDS and len(hashes):
-        some, pick, n = np.unique(hashes, return_index=True, return_counts=True)
-        zero = np.zeros(len(some), np.int64)
-        own = lang.slice(at, to - at).take(pa.array(w.text[pick]))
-        yield _rows(1, zero, some, zero, own, _strings(w.data, w.begin[pick], w.end[pick]), n)
+    if step < SHARDS:
+        zero = np.zeros(len(hashes), np.uint64)
+        own = lang.slice(at, to - at)
+        tally.add(1, hashes, zero, hashes, zero, lambda pick: (own.take(pa.array(w.text[pick])), _strings(w.data, w.begin[pick], w.end[pick])))
     if reached is None:
         return
     names, since = hashes, np.zeros(len(hashes), np.uint8)
@@ -140,11 +169,8 @@ def counted(column: pa.Array, lang: pa.Array, langs: np.ndarray, at: int, to: in
         if not len(where):
             return
         own = joined(p, s, length)
-        open_ = begun.astype(np.int64) + SHARDS > step
-        some, pick, n = np.unique(own[open_], return_index=True, return_counts=True)
-        if len(some):
-            none = pa.nulls(len(some), pa.string())
-            yield _rows(length, begun[open_][pick], p[open_][pick], s[open_][pick], none, none, n)
+        on = begun.astype(np.int32) + SHARDS > step
+        tally.add(length, own[on], begun[on], p[on], s[on])
         names, since = np.zeros(len(hashes), np.uint64), np.full(len(hashes), NEVER, np.uint8)
         names[where], since[where] = own, begun
         where = where[np.isin(where + 1, where, assume_unique=True)]
@@ -153,10 +179,13 @@ def counted(column: pa.Array, lang: pa.Array, langs: np.ndarray, at: int, to: in
 def _scan(shard: DataFrame, reached, step: int) -> DataFrame:
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = reached.value if reached is not None else None
+        tally = Tally()
         for batch in stream:
             langs = np.asarray(batch.column(2)).view(np.uint64)
             for at, to in tokens.chunks(batch.column(0), BYTES):
-                yield from counted(batch.column(0), batch.column(1), langs, at, to, table, step)
+                counted(tally, batch.column(0), batch.column(1), langs, at, to, table, step)
+                yield from tally.rows(TALLY)
+        yield from tally.rows()
 
     return shard.mapInArrow(run, COUNTS)
 
