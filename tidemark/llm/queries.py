@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, collocations, decontaminate, jaccard, sharding, simhash, substring, toxicity, training_order, warc, wrappers
+from tidemark.llm import bpe, collocations, crossparse, decontaminate, jaccard, sharding, simhash, substring, toxicity, training_order, warc, whitening, wrappers
 from tidemark.llm.common import stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -178,3 +178,16 @@ QUALIFY rank <= 2000
 )
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op13_embedding_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+@query("op11_language_id")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = crossparse.fitted(docs)
+    found = crossparse.identified(docs.select("doc_id", "text"), model)
+    return found.select("row.doc_id", crossparse.held_out(F.col("row.doc_id")).alias("held_out"), "lang_pred", "score")
