@@ -31,7 +31,7 @@ from tidemark.llm import tokens
 from tidemark.llm.common import discard, stored
 
 LONGEST = 5
-SHARDS = 3
+SHARDS = 2
 SLOTS = 1 << 22
 NEVER = 255
 BYTES = 2 << 20
@@ -42,8 +42,10 @@ _GAP = np.zeros(256, bool)
 _GAP[[9, 32]] = True
 _STOP = np.zeros(256, bool)
 _STOP[[10, 11, 12, 13, *b".,;:!?"]] = True
+_WORD = ~(_GAP | _STOP)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+_VALUE = _LOWER.astype(np.uint64) + np.uint64(1)
 
 COUNTS = "length int, since int, p long, s long, lang string, word string, n long"
 
@@ -63,7 +65,7 @@ class Pieces(NamedTuple):
     end: np.ndarray
     text: np.ndarray  # row of each word, counted from the first of the chunk
     follows: np.ndarray  # whether the next word stands in the same piece
-    data: np.ndarray  # uint8, the lower-cased chunk
+    data: np.ndarray  # uint8, the chunk as it is
 
 
 def split(column: pa.Array, langs: np.ndarray, at: int, to: int) -> Pieces:
@@ -75,10 +77,10 @@ def split(column: pa.Array, langs: np.ndarray, at: int, to: int) -> Pieces:
     if low == high:
         none = np.zeros(0, np.int64)
         return Pieces(none.astype(np.uint64), none, none, none, none.astype(bool), np.zeros(0, np.uint8))
-    data = _LOWER[np.frombuffer(part.buffers()[2], np.uint8, high - low, low)]
+    data = np.frombuffer(part.buffers()[2], np.uint8, high - low, low)
     offsets -= low
     stop = _STOP[data]
-    inside = ~(stop | _GAP[data])
+    inside = _WORD[data]
     edges = offsets[1:-1]
     edges = edges[edges < len(data)]
     starts = inside.copy()
@@ -88,11 +90,13 @@ def split(column: pa.Array, langs: np.ndarray, at: int, to: int) -> Pieces:
     ends[:-1] &= ~inside[1:] | starts[1:]
     begin, end = np.flatnonzero(starts), np.flatnonzero(ends) + 1
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * tokens.powers(tokens.BASE, len(data))[: len(data)], out=total[1:])
+    values = _VALUE[data]
+    values *= tokens.powers(tokens.BASE, len(data))[: len(data)]
+    np.cumsum(values, out=total[1:])
     text = np.searchsorted(offsets, begin, "right") - 1
     plain = (total[end] - total[begin]) * tokens.powers(tokens.INVERSE, len(data))[begin]
     hashes = tokens.mix(tokens.mix(plain + (end - begin).astype(np.uint64)) + langs[at:to][text])
-    piece = np.cumsum(stop)[begin] if len(begin) else begin
+    piece = np.searchsorted(np.flatnonzero(stop), begin)
     follows = np.zeros(len(begin), bool)
     follows[:-1] = (piece[1:] == piece[:-1]) & (text[1:] == text[:-1])
     return Pieces(hashes, begin, end, text, follows, data)
@@ -103,7 +107,7 @@ def _strings(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Array:
     offsets = np.zeros(len(size) + 1, np.int32)
     np.cumsum(size, out=offsets[1:])
     where = np.arange(int(offsets[-1])) + np.repeat(begin - offsets[:-1], size)
-    return pa.StringArray.from_buffers(len(size), pa.py_buffer(offsets), pa.py_buffer(data[where].tobytes()))
+    return pa.StringArray.from_buffers(len(size), pa.py_buffer(offsets), pa.py_buffer(_LOWER[data[where]].tobytes()))
 
 
 class Tally:
@@ -173,7 +177,7 @@ def counted(tally: Tally, column: pa.Array, lang: pa.Array, langs: np.ndarray, a
         tally.add(length, own[on], begun[on], p[on], s[on])
         names, since = np.zeros(len(hashes), np.uint64), np.full(len(hashes), NEVER, np.uint8)
         names[where], since[where] = own, begun
-        where = where[np.isin(where + 1, where, assume_unique=True)]
+        where = where[since[where + 1] != NEVER]
 
 
 def _scan(shard: DataFrame, reached, step: int) -> DataFrame:
