@@ -1,4 +1,4 @@
-"""Driver tables in the shapes the operators expect. Every fixture reads its whole table."""
+"""Driver tables in the shapes the operators expect. Every fixture reads its whole table, and its rows grow with it."""
 
 from __future__ import annotations
 
@@ -89,46 +89,63 @@ def bronze(spark: SparkSession, sf_dir: str, measures: dict[str, str]) -> DataFr
     )
 
 
-def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per (city, day, hour); every measure is exact, so nothing depends on summation order."""
-    e = events(spark, sf_dir)
-    return (
-        e.groupBy(F.col("event_type").alias("city"), F.to_date("ts").alias("date"), F.hour("ts").alias("hour"))
-        .agg(
-            F.max_by("value", "event_id").alias("temperature_2m"),
-            F.min("k").cast("double").alias("relative_humidity_2m"),
-            F.count(F.lit(1)).cast("double").alias("precipitation"),
-            F.min("value").alias("wind_speed_10m"),
-            F.max("k").cast("double").alias("weather_code"),
-        )
-        .withColumn("time", F.format_string("%sT%02d:00", F.col("date").cast("string"), F.col("hour")))
+# Raw documents: every event is one item of its user's document; ``precipitation`` carries the event's id.
+ITEM = {
+    "temperature_2m": "value",
+    "relative_humidity_2m": "CAST(k AS DOUBLE)",
+    "precipitation": "CAST(event_id AS DOUBLE)",
+    "wind_speed_10m": "abs(value - k)",
+    "weather_code": "CAST(k AS DOUBLE)",
+}
+AIR_ITEM = {"pm10": "abs(value - k)", "pm2_5": "CAST(k AS DOUBLE)", "us_aqi": "least(value, 500D)"}
+
+
+def items(spark: SparkSession, sf_dir: str, measures: dict[str, str] = ITEM) -> DataFrame:
+    """One row per event: its user as city, its day, hour and minute, and the stream's measures."""
+    return events(spark, sf_dir).selectExpr(
+        "concat('user-', user_id) AS city",
+        "to_date(ts) AS date",
+        "hour(ts) AS hour",
+        "date_format(ts, \"yyyy-MM-dd'T'HH:mm\") AS time",
+        *[f"{expression} AS {name}" for name, expression in measures.items()],
     )
 
 
-def packed(spark: SparkSession, sf_dir: str, keys: list[str]) -> DataFrame:
-    """Hourly rows packed into parallel arrays; a group holds at most one item per calendar hour."""
-    item = F.struct("time", *DOC_MEASURES)
-    grouped = hourly(spark, sf_dir).groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("items"))
-    arrays = [F.col("items")[c].alias(c) for c in ("time", *DOC_MEASURES)]
+def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event with the highest number of every (city, day, hour)."""
+    newest = F.max_by(F.struct("time", *DOC_MEASURES), "precipitation").alias("newest")
+    return items(spark, sf_dir).groupBy("city", "date", "hour").agg(newest).select("city", "date", "hour", "newest.*")
+
+
+def packed(spark: SparkSession, sf_dir: str, keys: list[str], measures: dict[str, str] = ITEM) -> DataFrame:
+    """Events packed into parallel arrays; a group is a user's day or series."""
+    item = F.struct("time", *measures)
+    grouped = items(spark, sf_dir, measures).groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("items"))
+    arrays = [F.col("items")[c].alias(c) for c in ("time", *measures)]
     return grouped.select(*keys, F.struct(*arrays).alias("hourly"))
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def documents(spark: SparkSession, sf_dir: str, measures: dict[str, str] = ITEM, pretty: bool = False) -> DataFrame:
     """(city, target_date, payload): one JSON document per city and day."""
-    days = packed(spark, sf_dir, ["city", "date"])
     meta = F.struct("city", F.col("date").cast("string").alias("target_date"))
-    return days.select(
+    return packed(spark, sf_dir, ["city", "date"], measures).select(
         "city",
         F.col("date").cast("string").alias("target_date"),
-        F.to_json(F.struct("hourly", meta.alias("_metadata")), {"pretty": "true"}).alias("payload"),
+        F.to_json(F.struct("hourly", meta.alias("_metadata")), {"pretty": str(pretty).lower()}).alias("payload"),
     )
 
 
+def city_documents(spark: SparkSession, sf_dir: str, measures: dict[str, str] = ITEM) -> DataFrame:
+    """(city, payload): one JSON document per city with all of its days."""
+    payload = F.to_json(F.struct("hourly", F.struct("city").alias("_metadata")), {"pretty": "true"})
+    return packed(spark, sf_dir, ["city"], measures).select("city", payload.alias("payload"))
+
+
 def write_documents(docs: DataFrame, path: str) -> str:
     """One file per document in a folder per city."""
     (
         docs.select("city", "payload")
-        .repartition(8, "payload")
+        .repartition(8, "city")
         .write.mode("append")
         .option("maxRecordsPerFile", 1)
         .partitionBy("city")
@@ -137,8 +154,10 @@ def write_documents(docs: DataFrame, path: str) -> str:
     return path
 
 
-def landed_documents(spark: SparkSession, sf_dir: str, name: str = "raw") -> str:
-    return write_documents(documents(spark, sf_dir), f"{scratch_path(spark, name)}/weather")
+def write_lines(docs: DataFrame, path: str) -> str:
+    """Documents as lines of a few files."""
+    docs.select("payload").repartition(8, "payload").write.mode("append").text(path)
+    return path
 
 
 def customer_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:

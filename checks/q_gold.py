@@ -488,7 +488,7 @@ def latest_city_summary(spark, sf):
 
 
 @check(
-    "append_merge_schema",
+    "union_merge_schema",
     with_ctes(
         f"""SELECT event_id, city, 'weather' AS source_type, temperature_2m, wind_speed_10m, CAST(NULL AS DOUBLE) AS pm10,
         CAST(NULL AS DOUBLE) AS us_aqi FROM w WHERE temperature_2m < -50 OR temperature_2m > 65 OR wind_speed_10m > 180
@@ -497,7 +497,7 @@ def latest_city_summary(spark, sf):
         "a",
     ),
 )
-def append_merge_schema_query(spark, sf):
+def union_merge_schema(spark, sf):
     """Rejects of two streams with different columns in one quarantine frame."""
     weather_mask = clean.bounds_mask({"temperature_2m": (-50, 65), "wind_speed_10m": (0, 180)})
     air_mask = clean.bounds_mask({"pm10": (0, 300), "us_aqi": (1, 1000)})

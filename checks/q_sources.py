@@ -23,53 +23,58 @@ HOUR_COLUMNS = ", ".join(fx.DOC_MEASURES)
 @check(
     "scan_raw_json",
     with_ctes(
-        f"""SELECT city, {s('date')} AS target_date, count(*) AS n_hours, min(time) AS first_time, max(temperature_2m) AS top
-        FROM h GROUP BY city, date""",
-        "h",
+        f"""SELECT city, {s('date')} AS target_date, count(*) AS n_items, min(time) AS first_time, max(temperature_2m) AS top,
+        sum(precipitation) AS event_ids FROM o GROUP BY city, date""",
+        "o",
     ),
 )
 def scan_raw_json(spark, sf):
-    docs = raw.scan_raw_json(spark, fx.landed_documents(spark, sf), DOC_SCHEMA, FILES)
+    """A document per user and day, many to a file."""
+    path = fx.write_lines(fx.documents(spark, sf), f"{scratch_path(spark, 'raw')}/weather/all")
+    docs = raw.scan_raw_json(spark, path, DOC_SCHEMA, FILES, layout="lines")
     return docs.selectExpr(
         "doc._metadata.city AS city",
         "doc._metadata.target_date AS target_date",
-        "CAST(size(doc.hourly.time) AS BIGINT) AS n_hours",
+        "CAST(size(doc.hourly.time) AS BIGINT) AS n_items",
         "doc.hourly.time[0] AS first_time",
         "array_max(doc.hourly.temperature_2m) AS top",
+        "aggregate(doc.hourly.precipitation, 0D, (s, x) -> s + x) AS event_ids",
     )
 
 
 @check(
     "tolerate_malformed",
     with_ctes(
-        """, d AS (SELECT DISTINCT city, date FROM h)
-        SELECT city, count(*) AS good_documents, 5 * count(*) AS rejected_files FROM d GROUP BY city""",
-        "h",
+        """, d AS (SELECT DISTINCT city, date FROM o)
+        SELECT city, count(*) AS good_documents, 5 * count(*) AS rejected_documents FROM d GROUP BY city""",
+        "o",
     ),
 )
 def tolerate_malformed(spark, sf):
-    """Every document also lands with its tail cut off, twice over, and with three kinds of text after it; the batch goes on without those files."""
+    """Every document also lands with its tail cut off, twice over, and with three kinds of text after it; the batch goes on without those."""
     docs = fx.documents(spark, sf)
-    path = fx.write_documents(docs, f"{scratch_path(spark, 'raw')}/weather")
-    broken = ["left(payload, length(payload) - 2)", "payload || payload", "payload || ' junk'", "payload || '} junk'", "payload || '] junk'"]
-    for payload in broken:
-        fx.write_documents(docs.withColumn("payload", F.expr(payload)), path)
-    good, rejects = raw.tolerate_malformed(raw.scan_raw_json(spark, path, DOC_SCHEMA, FILES))
+    forms = ["payload", "left(payload, length(payload) - 2)", "payload || payload", "payload || ' junk'", "payload || '} junk'", "payload || '] junk'"]
+    landed = docs.select("city", "target_date", F.explode(F.array(*[F.expr(f) for f in forms])).alias("payload"))
+    path = f"{scratch_path(spark, 'raw')}/weather"
+    landed.select(raw.enveloped().alias("value")).repartition(8).write.text(path)
+    lines = raw.document_lines(spark.read, path, FILES)
+    good, rejects = raw.tolerate_malformed(raw.parse_documents(lines, DOC_SCHEMA))
     counts = good.groupBy(F.col("doc._metadata.city").alias("city")).agg(F.count(F.lit(1)).alias("good_documents"))
-    folder = raw.default_key_from_path(F.lit(None).cast("string"), "path")
-    bad = rejects.groupBy(folder.alias("city")).agg(F.count(F.lit(1)).alias("rejected_files"))
+    # a rejected document is known by its checksum; each differs from every other
+    hashed = lines.select("city", raw.payload_checksum("payload").alias("payload_hash")).distinct()
+    bad = rejects.join(hashed, "payload_hash").groupBy("city").agg(F.count(F.lit(1)).alias("rejected_documents"))
     return counts.join(bad, "city", "full_outer")
 
 
 @check(
     "explode_parallel_arrays",
     with_ctes(
-        f""", n AS (SELECT *, row_number() OVER (PARTITION BY city, date ORDER BY time) AS pos,
-          count(*) OVER (PARTITION BY city, date) AS size FROM h)
+        f""", n AS (SELECT *, row_number() OVER (PARTITION BY city, date ORDER BY time, temperature_2m, relative_humidity_2m, precipitation) AS pos,
+          count(*) OVER (PARTITION BY city, date) AS size FROM o)
         SELECT city, {s('date')} AS date, time, temperature_2m,
         CASE WHEN pos <= size - 2 THEN relative_humidity_2m END AS relative_humidity_2m, precipitation, wind_speed_10m,
         CAST(NULL AS DOUBLE) AS weather_code FROM n""",
-        "h",
+        "o",
     ),
 )
 def explode_parallel_arrays(spark, sf):
@@ -94,21 +99,23 @@ def parse_json_column(spark, sf):
 @check(
     "default_key_from_path",
     with_ctes(
-        """, d AS (SELECT DISTINCT city, date FROM h)
-        SELECT CASE WHEN city IN ('click', 'view') THEN city ELSE 'named_' || city END AS city, count(*) AS n_documents
-        FROM d GROUP BY 1""",
-        "h",
+        """SELECT CASE WHEN city LIKE '%1' THEN city ELSE 'named_' || city END AS city, count(*) AS n_items, sum(precipitation) AS event_ids
+        FROM o GROUP BY 1""",
+        "o",
     ),
 )
 def default_key_from_path(spark, sf):
-    """Documents of two cities lack metadata and take the folder's name; the others name themselves."""
-    days = fx.packed(spark, sf, ["city", "date"])
-    meta = F.when(~F.col("city").isin("click", "view"), F.struct(F.concat(F.lit("named_"), "city").alias("city")))
+    """Documents of some cities lack metadata and take the folder's name; the others name themselves."""
+    days = fx.packed(spark, sf, ["city"])
+    meta = F.when(~F.col("city").endswith("1"), F.struct(F.concat(F.lit("named_"), "city").alias("city")))
     docs = days.select("city", F.to_json(F.struct("hourly", meta.alias("_metadata"))).alias("payload"))
     path = fx.write_documents(docs, f"{scratch_path(spark, 'raw')}/weather")
     found = raw.scan_raw_json(spark, path, DOC_SCHEMA, FILES)
-    keyed = found.select(raw.default_key_from_path("doc._metadata.city", "path").alias("city"))
-    return keyed.groupBy("city").agg(F.count(F.lit(1)).alias("n_documents"))
+    return found.select(
+        raw.default_key_from_path("doc._metadata.city", "path").alias("city"),
+        F.size("doc.hourly.time").cast("bigint").alias("n_items"),
+        F.expr("aggregate(doc.hourly.precipitation, 0D, (s, x) -> s + x)").alias("event_ids"),
+    )
 
 
 @check("payload_checksum", "SELECT event_id, sha256(props) AS payload_hash FROM events")
@@ -121,15 +128,15 @@ def payload_checksum(spark, sf):
 @check(
     "stamp_lineage",
     with_ctes(
-        f""", t AS (SELECT city, date, string_agg('"' || time || '"', ',' ORDER BY time) AS times FROM h GROUP BY city, date)
+        f""", t AS (SELECT city, string_agg('"' || time || '"', ',' ORDER BY time) AS times FROM o GROUP BY city)
         SELECT city, 'weather/city=' || city AS source_folder, '{fx.RUN_TS}' AS ingestion_timestamp,
         sha256('{{"hourly":{{"time":[' || times || ']}},"_metadata":{{"city":"' || city || '"}}}}' || chr(10)) AS payload_hash FROM t""",
-        "h",
+        "o",
     ),
 )
 def stamp_lineage(spark, sf):
     """The checksum is over the file's exact bytes, closing line break included."""
-    days = fx.packed(spark, sf, ["city", "date"])
+    days = fx.packed(spark, sf, ["city"])
     text = F.to_json(F.struct(F.struct("hourly.time").alias("hourly"), F.struct("city").alias("_metadata")))
     path = fx.write_documents(days.select("city", text.alias("payload")), f"{scratch_path(spark, 'raw')}/weather")
     stamped = raw.stamp_lineage(raw.scan_raw_json(spark, path, DOC_SCHEMA, FILES), fx.RUN_TS)
@@ -173,10 +180,10 @@ def scan_table(spark, sf):
 @check(
     "slice_range_payload",
     with_ctes(
-        f"""SELECT city, {s('date')} AS target_date, string_agg(time, ',' ORDER BY time) AS times,
-        string_agg({s('temperature_2m')}, ',' ORDER BY time) AS temperatures,
-        string_agg({s('weather_code')}, ',' ORDER BY time) AS codes FROM h GROUP BY city, date""",
-        "h",
+        f"""SELECT city, {s('date')} AS target_date, string_agg(time, ',' ORDER BY time, temperature_2m, relative_humidity_2m, precipitation) AS times,
+        string_agg({s('temperature_2m')}, ',' ORDER BY time, temperature_2m, relative_humidity_2m, precipitation) AS temperatures,
+        string_agg({s('weather_code')}, ',' ORDER BY time, temperature_2m, relative_humidity_2m, precipitation) AS codes FROM o GROUP BY city, date""",
+        "o",
     ),
 )
 def slice_range_payload_query(spark, sf):
@@ -227,13 +234,14 @@ VERSION_SCHEMA = struct_of({"city": "string", "date": "date", "hour": "int", "te
     ),
 )
 def versioned_snapshot(spark, sf):
-    """Version 0 stays readable after an overlapping upsert made version 1."""
+    """Version 0 stays readable after an overlapping upsert made version 1, and both after a compaction."""
     rows = fx.hourly(spark, sf).select(*HOURLY_KEYS, "temperature_2m")
     table = VersionedTable(spark, scratch_path(spark, "versions"), VERSION_SCHEMA, HOURLY_KEYS, "date")
     table.upsert(rows.filter("date <= DATE '2024-01-20'"))
     later = rows.filter("date >= DATE '2024-01-10'").withColumn("temperature_2m", F.col("temperature_2m") + 1)
     table.upsert(later)
-    versions = [table.read(v).select(F.lit(v).alias("version"), "*") for v in table.versions()]
+    table.compact()
+    versions = [table.read(v).select(F.lit(v).alias("version"), "*") for v in table.versions()[:2]]
     return versions[0].unionByName(versions[1])
 
 
@@ -291,18 +299,51 @@ def read_prior_snapshot(spark, sf):
 
 @check(
     "build_bronze",
-    with_ctes(f"SELECT city, time, {HOUR_COLUMNS}, '{fx.RUN_TS}' AS ingestion_timestamp FROM h", "h"),
+    with_ctes(
+        f"""SELECT layout, city, time, {HOUR_COLUMNS}, '{fx.RUN_TS}' AS ingestion_timestamp FROM o,
+        (SELECT unnest(['files', 'lines']) AS layout)""",
+        "o",
+    ),
 )
 def build_bronze(spark, sf):
-    """Documents to stored Bronze rows; a broken file beside them changes nothing."""
-    docs = fx.documents(spark, sf)
-    path = fx.write_documents(docs, f"{scratch_path(spark, 'raw')}/weather")
-    fx.write_documents(docs.withColumn("payload", F.concat(F.lit("not json "), "payload")), path)
-    batch = bronze_plan.build_bronze(spark, path, silver_plan.WEATHER, fx.RUN_TS, FILES)
-    stored = scratch_path(spark, "bronze")
-    bronze_plan.write_bronze(batch, stored)
-    bronze = bronze_plan.bronze_table(spark, stored, silver_plan.WEATHER)
-    return bronze.select("city", "time", *fx.DOC_MEASURES, "ingestion_timestamp")
+    """Documents to stored Bronze rows, alike from single files and from lines; broken documents beside them change nothing."""
+    root, found = scratch_path(spark, "raw"), []
+    for layout in ("files", "lines"):
+        path, stored = f"{root}/{layout}/weather", f"{root}/{layout}/bronze"
+        docs, write = (fx.city_documents(spark, sf), fx.write_documents) if layout == "files" else (fx.documents(spark, sf), fx.write_lines)
+        write(docs, f"{path}/all" if layout == "lines" else path)
+        write(docs.withColumn("payload", F.concat(F.lit("not json "), "payload")), f"{path}/bad" if layout == "lines" else path)
+        bronze_plan.write_bronze(bronze_plan.build_bronze(spark, path, silver_plan.WEATHER, fx.RUN_TS, FILES, layout), stored)
+        rows = bronze_plan.bronze_table(spark, stored, silver_plan.WEATHER)
+        found.append(rows.select(F.lit(layout).alias("layout"), "city", "time", *fx.DOC_MEASURES, "ingestion_timestamp"))
+    return found[0].unionByName(found[1])
+
+
+@check(
+    "append_merge_schema",
+    with_ctes(
+        f""", m AS (SELECT 'weather' AS source_type, city, time, temperature_2m, CAST(NULL AS DOUBLE) AS us_aqi FROM sw
+          WHERE NOT (temperature_2m BETWEEN -50 AND 65 AND relative_humidity_2m BETWEEN 0 AND 100 AND wind_speed_10m BETWEEN 0 AND 180)
+          UNION ALL SELECT 'air_quality', city, time, CAST(NULL AS DOUBLE), us_aqi FROM (
+            SELECT *, temperature_2m * 20 AS us_aqi FROM o QUALIFY row_number() OVER (
+              PARTITION BY city, date, hour ORDER BY time DESC, relative_humidity_2m DESC, us_aqi DESC) = 1) WHERE us_aqi > 1000)
+        SELECT m.*, CASE source_type WHEN 'weather' THEN '{D.REJECT_REASONS['weather']}' ELSE '{D.REJECT_REASONS['air_quality']}' END
+          AS quarantine_reason FROM m""",
+        "sw",
+    ),
+)
+def append_merge_schema(spark, sf):
+    """The rejected rows of both streams, appended batch by batch to one stored table whose columns grow."""
+    air = {"pm2_5": "CAST(k AS DOUBLE)", "us_aqi": "value * 20"}
+    root = scratch_path(spark, "quarantine")
+    table = tables.EvolvingTable(spark, f"{root}/quarantine")
+    for stream, measures in ((silver_plan.WEATHER, fx.ITEM), (silver_plan.AIR_QUALITY, air)):
+        path = fx.write_lines(fx.documents(spark, sf, measures), f"{root}/{stream.name}/all")
+        bronze_plan.write_bronze(bronze_plan.build_bronze(spark, path, stream, fx.RUN_TS, FILES, "lines"), f"{root}/bronze_{stream.name}")
+        with silver_plan.build_silver(bronze_plan.bronze_table(spark, f"{root}/bronze_{stream.name}", stream), stream, fx.RUN_TS) as (_, rejected):
+            for name, part in (("am", "hour < 12"), ("pm", "hour >= 12")):
+                table.append(rejected.filter(part), f"{stream.name}-{name}")
+    return table.read().select("source_type", "city", "time", "temperature_2m", "us_aqi", "quarantine_reason")
 
 
 SILVER_SQL = """, b AS (SELECT *, date_trunc('hour', datetime_utc) AS slot FROM w JOIN (SELECT event_id, ts, props FROM events) USING (event_id)),

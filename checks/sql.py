@@ -88,14 +88,26 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         """SELECT *, CASE WHEN n < 25 THEN 'short' WHEN newest_first <= 12 THEN 'test'
            WHEN newest_first <= 20 THEN 'val' ELSE 'train' END AS split FROM ranked""",
     ),
-    # One row per (city, day, hour), as the raw documents hold them.
-    "h": (
+    # One row per event, as the raw documents hold them.
+    "o": (
         ("ev",),
-        """SELECT event_type AS city, CAST(ts AS DATE) AS date, CAST(hour(ts) AS INTEGER) AS hour,
-           strftime(date_trunc('hour', min(ts)), '%Y-%m-%dT%H:%M') AS time, max_by(value, event_id) AS temperature_2m,
-           CAST(min(k) AS DOUBLE) AS relative_humidity_2m, CAST(count(*) AS DOUBLE) AS precipitation,
-           min(value) AS wind_speed_10m, CAST(max(k) AS DOUBLE) AS weather_code
-           FROM ev GROUP BY 1, 2, 3""",
+        """SELECT 'user-' || user_id AS city, CAST(ts AS DATE) AS date, CAST(hour(ts) AS INTEGER) AS hour,
+           strftime(date_trunc('minute', ts), '%Y-%m-%dT%H:%M') AS time, value AS temperature_2m,
+           CAST(k AS DOUBLE) AS relative_humidity_2m, CAST(event_id AS DOUBLE) AS precipitation,
+           abs(value - k) AS wind_speed_10m, CAST(k AS DOUBLE) AS weather_code FROM ev""",
+    ),
+    # The event with the highest number of every (city, day, hour).
+    "h": (("o",), "SELECT * FROM o QUALIFY row_number() OVER (PARTITION BY city, date, hour ORDER BY precipitation DESC) = 1"),
+    # What Silver keeps of an hour: the latest minute, then the larger measures.
+    "sw": (
+        ("o",),
+        """SELECT * FROM o QUALIFY row_number() OVER (PARTITION BY city, date, hour ORDER BY time DESC, temperature_2m DESC,
+           relative_humidity_2m DESC, precipitation DESC) = 1""",
+    ),
+    "sa": (
+        ("o",),
+        """SELECT city, date, hour, least(temperature_2m, 500) AS us_aqi FROM o QUALIFY row_number() OVER (
+           PARTITION BY city, date, hour ORDER BY time DESC, wind_speed_10m DESC, relative_humidity_2m DESC, us_aqi DESC) = 1""",
     ),
     "dims": (
         (),

@@ -3,17 +3,19 @@
 import datetime as dt
 import hashlib
 import json
+import re
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.plans.bronze import bronze_table, build_bronze, rejected_files, write_bronze
-from tidemark.plans.refresh import Lake, land_documents, landed_keys, wanted_files
+from tidemark.plans.refresh import Lake, land_documents, wanted_files
 from tidemark.plans.silver import WEATHER
 from tidemark.session import scratch_path
 from tidemark.sources import raw
-from tidemark.sources.landing import slice_range_payload
+from tidemark.sources.landing import LandedKeys, landing_first_write_wins, slice_range_payload
+from tidemark.streaming.incremental import StreamPaths, incremental_refresh, land_ranges, quarantine_table, range_documents
 
 RUN = "2026-09-23 03:00:00"
 M = list(WEATHER.measures)
@@ -124,10 +126,11 @@ def test_first_landed_document_stays(spark, root):
     again = spark.createDataFrame([("delhi", "2026-09-21", '{"x": 1}'), ("delhi", "2026-09-22", "{}")], first.schema)
     land_documents(first, lake, WEATHER)
     land_documents(again, lake, WEATHER)
-    path = lake.stream("weather").raw
-    keys = {(r.city, str(r.target_date)) for r in landed_keys(spark, path).collect()}
-    assert keys == {("delhi", "2026-09-21"), ("pune", "2026-09-21"), ("delhi", "2026-09-22")}
-    assert {r.value.strip() for r in spark.read.text(path, recursiveFileLookup=True).collect()} == {"{}"}
+    paths = lake.stream("weather")
+    keys = sorted((r.city, str(r.target_date)) for r in LandedKeys(spark, paths.landed_keys).read().collect())
+    assert keys == [("delhi", "2026-09-21"), ("delhi", "2026-09-22"), ("pune", "2026-09-21")]
+    lines = raw.document_lines(spark.read, paths.landed, "part-*").collect()
+    assert sorted((r.city, str(r.target_date)) for r in lines) == keys and {r.payload for r in lines} == {"{}"}
 
 
 def test_wanted_files_of_a_backfill(spark, root):
@@ -149,3 +152,138 @@ def test_text_after_the_document_rejects_the_file(spark, root, tail):
     write(root, "delhi", "bad.json", json.dumps(good) + tail)
     docs = raw.scan_raw_json(spark, f"{root}/weather", raw.document_schema(M))
     assert {r.path.rsplit("/", 1)[1]: r.is_malformed for r in docs.collect()} == {"good.json": False, "bad.json": True}
+
+
+def test_lines_and_files_give_equal_rows(spark, root):
+    """A document per line, plain or in an envelope, reads like one per file; blank and broken lines are told apart."""
+    docs = {c: document([f"2026-09-22T{h:02d}:00" for h in range(4)], city=c, temperature_2m=[1.0, 2.0]) for c in ("delhi", "pune")}
+    for city, doc in docs.items():
+        write(root, city, "a.json", doc)
+    lines = Path(root) / "lines" / "weather" / "x"
+    lines.mkdir(parents=True)
+    envelope = json.dumps({"city": "ignored", "target_date": "2026-09-22", "payload": json.dumps(docs["pune"], indent=2)})
+    (lines / "a.jsonl").write_text("\n".join([json.dumps(docs["delhi"]), "", "  ", envelope, "broken {"]) + "\n")
+    found = {}
+    for layout, path, glob in (("files", f"{root}/weather", "*.json"), ("lines", f"{root}/lines/weather", "*.jsonl")):
+        batch = build_bronze(spark, path, WEATHER, RUN, glob, layout)
+        found[layout] = sorted(map(str, batch.filter("kind = 'row'").drop("source_file", "payload_hash").collect()))
+        assert batch.filter("kind = 'reject'").count() == (layout == "lines")
+    assert found["files"] == found["lines"] and len(found["files"]) == 8
+
+
+def test_an_envelope_names_the_city_of_a_document_that_does_not(spark, root):
+    folder = Path(root) / "weather" / "target_date=2026-09-22"
+    folder.mkdir(parents=True)
+    payload = json.dumps(document(["2026-09-22T00:00"], city=None))
+    (folder / "part-0.txt").write_text(json.dumps({"city": "pune", "target_date": "2026-09-22", "payload": payload}) + "\n" + payload + "\n")
+    rows = build_bronze(spark, f"{root}/weather", WEATHER, RUN, "part-*", "lines").collect()
+    assert sorted((r.city or "", r.source_file) for r in rows) == [
+        ("", "weather/target_date=2026-09-22/part-0.txt"), ("pune", "weather/target_date=2026-09-22/part-0.txt")
+    ]
+
+
+def test_a_hundred_thousand_documents_in_few_files(spark, root):
+    """Tasks split lines by bytes: far fewer tasks than documents, and no document is lost at a split."""
+    text = F.format_string('{"hourly": {"time": ["2026-09-%02dT00:00"], "temperature_2m": [%d.0]}, "_metadata": {"city": "c%d"}}',
+                           F.expr("1 + id % 28"), "id", F.expr("id % 1000"))
+    spark.range(0, 100_000, 1, 8).select(text.alias("value")).write.text(f"{root}/weather/all")
+    assert len(list(Path(root, "weather", "all").glob("part-*"))) < 100
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256KB")
+    try:
+        docs = raw.scan_raw_json(spark, f"{root}/weather", raw.document_schema(M), "*.txt", layout="lines")
+        assert 8 < docs.rdd.getNumPartitions() < 200
+        got = docs.filter("NOT is_malformed").agg(F.count(F.lit(1)), F.sum(F.col("doc.hourly.temperature_2m")[0])).first()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert tuple(got) == (100_000, sum(range(100_000)))
+
+
+def scan_metrics(df):
+    """(files read, partition filters) of the scans of a plan that has run."""
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return re.findall(r"PartitionFilters: \[(.*?)\]", text)
+
+
+def test_looking_up_a_window_lists_its_days_only(spark, root):
+    keys = LandedKeys(spark, f"{root}/keys")
+    keys.add(spark.sql("SELECT concat('c', id) AS city, explode(sequence(DATE '2026-01-01', DATE '2026-06-30')) AS target_date FROM range(20)"))
+    window = keys.read(dt.date(2026, 3, 1), dt.date(2026, 3, 5))
+    assert window.count() == 100
+    assert any("target_date" in f and "2026-03-01" in f for f in scan_metrics(window))
+    assert {p.split("target_date=")[1][:10] for p in window.inputFiles()} >= {"2026-03-01"}
+    read = window.select(F.input_file_name()).distinct().count()
+    assert read <= 5 * 8
+    again = spark.sql("SELECT 'c3' AS city, DATE '2026-03-02' AS target_date UNION ALL SELECT 'new', DATE '2026-03-03'")
+    fresh = keys.unknown(again.checkpoint())
+    assert [r.city for r in fresh.collect()] == ["new"]
+    assert any("2026-03-02" in f and "2026-03-03" in f for f in scan_metrics(fresh))
+
+
+def test_landed_keys_are_pruned_by_a_bloom_filter_of_the_new_ones(spark, root):
+    landed = spark.range(5000).select(F.col("id").alias("k"), F.lit(1).alias("x"))
+    landed.write.parquet(f"{root}/landed")
+    spark.range(3).select(F.col("id").alias("k")).write.parquet(f"{root}/new")
+    settings = {
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        new = spark.read.parquet(f"{root}/new").filter("k > 0")
+        fresh = landing_first_write_wins(new, spark.read.parquet(f"{root}/landed"), ["k"])
+        assert "might_contain" in fresh._jdf.queryExecution().optimizedPlan().toString()
+        assert fresh.count() == 0
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_key_with_a_null_lands(spark):
+    new = spark.createDataFrame([("a", None), ("a", 1), ("b", 1)], "c string, d int")
+    landed = spark.createDataFrame([("a", None), ("a", 1), ("a", 1)], "c string, d int")
+    assert sorted(map(str, landing_first_write_wins(new, landed, ["c", "d"]).collect())) == ["Row(c='a', d=None)", "Row(c='b', d=1)"]
+
+
+def range_payload(root, stream, city, first, days, value):
+    times = [f"{first + dt.timedelta(days=d)}T{h:02d}:00" for d in range(days) for h in range(24)]
+    doc = {"hourly": {"time": times, **{m: [value] * len(times) for m in WEATHER.measures}}, "_metadata": {"city": city}}
+    folder = Path(root.removeprefix("file:")) / "ranges" / stream / city
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / f"{first}-{days}-{value}.json").write_text(json.dumps(doc))
+
+
+def test_range_payloads_land_day_by_day_once(spark, lake_root):
+    paths, day = StreamPaths.below(lake_root, "weather"), dt.date(2026, 9, 1)
+    range_payload(lake_root, "weather", "delhi", day, 3, 20.0)
+    range_payload(lake_root, "weather", "pune", day, 2, 21.0)
+    (Path(lake_root.removeprefix("file:")) / "ranges" / "weather" / "pune" / "bad.json").write_text("{")
+    assert land_ranges(spark, paths, WEATHER, "2026-09-06") == 1
+    incremental_refresh(spark, paths, WEATHER, RUN)
+    bronze = bronze_table(spark, paths.bronze, WEATHER)
+    assert bronze.count() == 5 * 24
+    lines = raw.document_lines(spark.read, paths.landed, "part-*")
+    docs = raw.parse_documents(lines, raw.document_schema(M)).select("city", "target_date", "doc._metadata.source").collect()
+    assert {(r.city, r.target_date.day, r.source) for r in docs} == {
+        ("delhi", 1, "archive"), ("delhi", 2, "forecast"), ("delhi", 3, "forecast"), ("pune", 1, "archive"), ("pune", 2, "forecast")
+    }
+    # dropped again, overlapping and longer: only the day not seen before lands, with its own values
+    range_payload(lake_root, "weather", "delhi", day, 4, 30.0)
+    range_payload(lake_root, "weather", "pune", day, 2, 31.0)
+    assert land_ranges(spark, paths, WEATHER, "2026-09-06") == 1
+    incremental_refresh(spark, paths, WEATHER, "2026-09-24 03:00:00")
+    assert bronze_table(spark, paths.bronze, WEATHER).filter("temperature_2m >= 30").count() == 24
+    assert land_ranges(spark, paths, WEATHER, "2026-09-06") == 0
+    refused = quarantine_table(spark, paths).read().collect()
+    assert [(r.quarantine_reason, r.source_file.rsplit("/", 1)[1]) for r in refused if r.quarantine_reason == "no document"] == [("no document", "bad.json")]
+
+
+def test_times_without_a_day_are_refused_and_the_rest_lands(spark):
+    doc = {"hourly": {"time": ["2026-09-01T00:00", "soon", None], "temperature_2m": [1.0, 2.0, 3.0]}, "_metadata": {"city": "delhi"}}
+    payloads = spark.createDataFrame([("p", json.dumps(doc), None), ("q", json.dumps({**doc, "_metadata": {}}), None)], "path string, payload string, city string")
+    cut, bad = range_documents(payloads, WEATHER, "2026-09-02")
+    assert [(r.city, str(r.target_date)) for r in cut.collect()] == [("delhi", "2026-09-01")]
+    assert {(r.path, r.reason) for r in bad.collect()} == {("p", "times without a day or city"), ("q", "times without a day or city")}

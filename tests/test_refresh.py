@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.quality import QualityGateError
 from tidemark.plans.bronze import bronze_table
-from tidemark.plans.refresh import META_SCHEMA, Lake, refresh_lake
+from tidemark.plans import refresh
+from tidemark.plans.refresh import META_SCHEMA, Lake, days_table, fact_table, last_report, maintain_lake, published_fact, refresh_lake
 from tidemark.plans.silver import AIR_QUALITY, WEATHER
 from tidemark.streaming.incremental import StreamPaths, incremental_refresh, silver_table
 
@@ -39,7 +40,12 @@ def land_days(root, first, n, weather=20.0, air=80.0):
 
 
 def published(spark, root, name="fct_daily"):
-    return spark.read.parquet(Lake(root).gold(name))
+    return published_fact(spark, root) if name == "fct_daily" else refresh.published(spark, root).table(name)
+
+
+def reported(spark, root):
+    """The run report that the lake shows."""
+    return refresh.published(spark, root).snapshot("run_meta", META_SCHEMA).first()
 
 
 def test_reruns_add_nothing_and_corrections_win(spark, lake_root):
@@ -81,7 +87,6 @@ def test_small_batches_give_the_same_silver(spark, lake_root):
 def test_refresh_from_landing_to_snapshots(spark, lake_root):
     land_days(lake_root, dt.date(2026, 8, 1), 30)
     assert refresh_lake(spark, lake_root, RUN) == {"weather": 1, "air_quality": 1}
-    lake = Lake(lake_root)
     fact = published(spark, lake_root)
     assert fact.count() == 60
     first = fact.orderBy("city", "metric_date").first()
@@ -89,12 +94,15 @@ def test_refresh_from_landing_to_snapshots(spark, lake_root):
     assert published(spark, lake_root, "dim_city").count() == 8
     assert published(spark, lake_root, "predictions").count() == 2
     assert published(spark, lake_root, "config_ranking").count() == 6
-    assert spark.read.json(lake.snapshot("metrics")).count() == 60
-    summary = spark.read.json(lake.snapshot("summary"))
-    assert {r.city_name for r in summary.collect()} == {"Delhi", "Pune"}
-    meta = spark.read.schema(META_SCHEMA).json(lake.snapshot("run_meta")).first()
+    shown = refresh.published(spark, lake_root)
+    assert shown.snapshot("metrics").count() == 60
+    assert {r.city_name for r in shown.snapshot("summary").collect()} == {"Delhi", "Pune"}
+    meta = reported(spark, lake_root)
     assert meta.status == "HEALTHY" and meta.quality_gate_passed
     assert {x.layer: x.row_count for x in meta.layers}["silver_weather"] == 1440
+    assert (meta.split.train, meta.split.val, meta.split.test) == (2 * 9, 2 * 8, 2 * 12)
+    assert meta.cities_modelled == 2 and meta.winning_params.max_iter == 100 and meta.totals.silver == 2880
+    assert [(c[0], c[1]) for c in [("Delhi", "Delhi" in meta.cities)]] == [("Delhi", True)]
 
     # The next run takes the new days only and keeps the old ones.
     land_days(lake_root, dt.date(2026, 8, 31), 1)
@@ -136,7 +144,7 @@ def test_a_broken_stage_is_audited(spark, lake_root):
 def test_an_empty_lake_is_reported_not_failed(spark, lake_root):
     assert refresh_lake(spark, lake_root, RUN) == {"weather": 0, "air_quality": 0}
     assert published(spark, lake_root).isEmpty()
-    meta = spark.read.schema(META_SCHEMA).json(Lake(lake_root).snapshot("run_meta")).first()
+    meta = reported(spark, lake_root)
     assert meta.status == "DEGRADED" and {x.row_count for x in meta.layers} == {0}
 
 
@@ -224,3 +232,200 @@ def test_the_winner_does_not_depend_on_the_batches(spark, lake_root, files):
         aged(raw_file(lake_root, name), 10 - i)  # z.json arrives first
     incremental_refresh(spark, paths, WEATHER, RUN, max_files_per_batch=files)
     assert [r.temperature_2m for r in silver_table(spark, paths, WEATHER).read().collect()] == [1.0]
+
+
+def tree(root):
+    """Every file below the lake with its time stamp."""
+    return {str(p): p.stat().st_mtime_ns for p in Path(root.removeprefix("file:")).rglob("*") if p.is_file()}
+
+
+def rebuilt(spark, root):
+    """The fact from all of Silver, without anything kept between runs."""
+    from tidemark.plans import gold
+
+    lake = Lake(root)
+    staged = [f(silver_table(spark, lake.stream(s.name), s).read()) for f, s in ((gold.stage_weather, WEATHER), (gold.stage_air_quality, AIR_QUALITY))]
+    return sorted(map(str, gold.fct_daily(*staged).collect()))
+
+
+def stored(spark, root):
+    table = fact_table(spark, Lake(root))
+    return sorted(map(str, table.read().select(gold_columns(spark, root)).collect()))
+
+
+def gold_columns(spark, root):
+    return fact_table(spark, Lake(root)).schema.fieldNames()
+
+
+def test_a_run_without_files_fits_and_writes_nothing(spark, lake_root, monkeypatch):
+    land_days(lake_root, dt.date(2026, 8, 1), 4)
+    refresh_lake(spark, lake_root, RUN)
+    before = tree(lake_root)
+
+    def no_fit(*args, **kwargs):
+        raise AssertionError("fitted")
+
+    monkeypatch.setattr(refresh, "run_forecast", no_fit)
+    assert refresh_lake(spark, lake_root, "2026-09-24 03:00:00") == {"weather": 0, "air_quality": 0}
+    assert {p: t for p, t in tree(lake_root).items() if "/checkpoints/" not in p} == {p: t for p, t in before.items() if "/checkpoints/" not in p}
+
+
+def test_a_corrected_day_rewrites_what_it_can_reach(spark, lake_root):
+    """Days with gaps: the reach goes by rows, and other cities' days stay as they are."""
+    days = [dt.date(2026, 8, d) for d in (1, 2, 3, 5, 6, 9, 10, 11, 12, 13, 14, 20, 21, 22)]
+    for i, day in enumerate(days):
+        for city in CITIES:
+            land(lake_root, "weather", city, day, 20.0)
+            land(lake_root, "air_quality", city, day, 80.0 + i)
+    refresh_lake(spark, lake_root, RUN, forecast=False)
+    assert stored(spark, lake_root) == rebuilt(spark, lake_root)
+    table = fact_table(spark, Lake(lake_root))
+    version = table.current_version()
+    land(lake_root, "air_quality", "delhi", days[3], 150.0)
+    refresh_lake(spark, lake_root, "2026-09-24 03:00:00", forecast=False)
+    changed = sorted(f.rsplit("=", 1)[1] for f in table.changed_partitions(version))
+    assert changed == [str(d) for d in days[3:10]]  # the day itself and the six rows after it
+    assert stored(spark, lake_root) == rebuilt(spark, lake_root)
+    air = days_table(spark, Lake(lake_root), AIR_QUALITY)
+    assert [f.rsplit("=", 1)[1] for f in air.changed_partitions(0)] == [str(days[3])]
+    # a document that says what is known already moves nothing
+    version = table.current_version()
+    land(lake_root, "air_quality", "pune", days[0], 80.0)
+    refresh_lake(spark, lake_root, "2026-09-25 03:00:00", forecast=False)
+    assert table.changed_partitions(version) == []
+
+
+def test_days_in_any_order_equal_a_rebuild(spark, lake_root):
+    import random
+
+    rng = random.Random(8)
+    days = [dt.date(2026, 8, 1) + dt.timedelta(days=d) for d in range(24) if d not in (4, 5, 13)]
+    waves = {day: rng.randrange(4) for day in days}
+    for wave in range(4):
+        for day in days:
+            for city in CITIES:
+                if waves[day] == wave:
+                    land(lake_root, "weather", city, day, float(rng.randrange(30)))
+                if waves[day] == wave and rng.random() < 0.8 or waves[day] == wave - 1:
+                    land(lake_root, "air_quality", city, day, float(rng.randrange(300)))
+        refresh_lake(spark, lake_root, f"2026-09-{20 + wave} 03:00:00", forecast=False)
+        assert stored(spark, lake_root) == rebuilt(spark, lake_root)
+
+
+def test_a_broken_output_leaves_the_former_publication(spark, lake_root, monkeypatch):
+    from tidemark.plans import publish
+
+    land_days(lake_root, dt.date(2026, 8, 1), 3)
+    refresh_lake(spark, lake_root, RUN, forecast=False)
+    before = refresh.published(spark, lake_root)
+    land_days(lake_root, dt.date(2026, 8, 4), 1)
+    whole = publish.export_snapshot_json
+
+    def broken(df, path, order):
+        if path.endswith("summary"):
+            raise OSError("disk full")
+        whole(df, path, order)
+
+    monkeypatch.setattr(publish, "export_snapshot_json", broken)
+    with pytest.raises(OSError):
+        refresh_lake(spark, lake_root, "2026-09-24 03:00:00", forecast=False)
+    after = refresh.published(spark, lake_root)
+    assert after == before
+    assert after.snapshot("metrics").count() == after.snapshot("summary").count() * 3 == published(spark, lake_root).count() == 6
+    monkeypatch.undo()
+    # nothing new has landed, but what was worked out is still to be shown
+    assert refresh_lake(spark, lake_root, "2026-09-25 03:00:00", forecast=False) == {"weather": 0, "air_quality": 0}
+    assert published(spark, lake_root).count() == refresh.published(spark, lake_root).snapshot("metrics").count() == 8
+
+
+def test_older_publications_go_but_what_is_shown_stays(spark, lake_root, monkeypatch):
+    from functools import partial
+
+    from tidemark.plans import publish
+
+    monkeypatch.setattr(refresh, "publish", partial(publish.publish, keep=2))
+    land_days(lake_root, dt.date(2026, 8, 1), 3)
+    refresh_lake(spark, lake_root, RUN)
+    for i in range(3):
+        land_days(lake_root, dt.date(2026, 8, 4 + i), 1)
+        refresh_lake(spark, lake_root, f"2026-09-24 0{i}:00:00", forecast=False)
+    shown = refresh.published(spark, lake_root)
+    runs = sorted(p.name for p in Path(Lake(lake_root).published.removeprefix("file:")).glob("run=*"))
+    assert runs == ["run=0", "run=2", "run=3"] and shown.run == 3  # predictions are still those of run 0
+    assert shown.table("predictions").count() == 2 and shown.snapshot("metrics").count() == 12
+
+
+def test_lost_rows_are_reported(spark, lake_root):
+    import shutil
+
+    land_days(lake_root, dt.date(2026, 8, 1), 3)
+    refresh_lake(spark, lake_root, RUN, forecast=False)
+    lake = Lake(lake_root)
+    assert last_report(spark, lake)["status"] == "HEALTHY"
+    shutil.rmtree(Path(lake.stream("weather").silver.removeprefix("file:")) / "v=0")
+    refresh_lake(spark, lake_root, "2026-09-24 03:00:00", forecast=False)
+    report = last_report(spark, lake)
+    layers = {x["layer"]: (x["row_count"], x["live_count"]) for x in report["layers"]}
+    assert report["status"] == "DEGRADED" and layers["silver_weather"] == (144, 0) and layers["silver_air_quality"] == (144, 144)
+
+
+def test_a_failed_gate_is_reported(spark, lake_root):
+    land_days(lake_root, dt.date(2026, 8, 1), 2, air=900.0)
+    with pytest.raises(QualityGateError):
+        refresh_lake(spark, lake_root, RUN, forecast=False)
+    report = last_report(spark, Lake(lake_root))
+    assert (report["status"], report["quality_gate_passed"]) == ("DEGRADED", False)
+    assert refresh.published(spark, lake_root) is None
+
+
+def test_rejects_are_published_per_reason(spark, lake_root):
+    land_days(lake_root, dt.date(2026, 8, 1), 2)
+    land(lake_root, "weather", "delhi", dt.date(2026, 8, 3), 99.0)
+    land(lake_root, "air_quality", "delhi", dt.date(2026, 8, 3), 5000.0)
+    refresh_lake(spark, lake_root, RUN, forecast=False)
+    rows = refresh.published(spark, lake_root).snapshot("rejects").collect()
+    assert {(r.source_type, r.n_rows) for r in rows} == {("weather", 24), ("air_quality", 24)}
+    quarantined = refresh.quarantine_table(spark, Lake(lake_root).stream("weather")).read()
+    assert {"temperature_2m", "us_aqi", "batch"} <= set(quarantined.columns)
+    assert quarantined.filter("source_type = 'weather' AND us_aqi IS NULL AND temperature_2m = 99").count() == 24
+    assert last_report(spark, Lake(lake_root))["totals"]["rejected_rows"] == 48
+
+
+def test_a_maintained_lake_reads_the_same(spark, lake_root):
+    for i in range(4):
+        land_days(lake_root, dt.date(2026, 8, 1 + i), 1)
+        refresh_lake(spark, lake_root, f"2026-09-2{i} 03:00:00", forecast=False)
+    before = stored(spark, lake_root)
+    maintain_lake(spark, lake_root, keep=1)
+    assert stored(spark, lake_root) == before == rebuilt(spark, lake_root)
+    assert refresh_lake(spark, lake_root, "2026-09-26 03:00:00", forecast=False) == {"weather": 0, "air_quality": 0}
+    land_days(lake_root, dt.date(2026, 8, 5), 1)
+    refresh_lake(spark, lake_root, "2026-09-27 03:00:00", forecast=False)
+    assert stored(spark, lake_root) == rebuilt(spark, lake_root) and len(stored(spark, lake_root)) == 10
+
+
+def test_dropped_files_are_not_asked_for_again(spark, lake_root):
+    asked = []
+
+    def fetch(stream, wanted):
+        asked.append((stream.name, sorted((r.city, r.target_date.day) for r in wanted.collect())))
+        return fake_fetch(stream, wanted)
+
+    for city in CITIES:
+        land(lake_root, "weather", city, dt.date(2026, 9, 22), 20.0)
+    refresh_lake(spark, lake_root, RUN, forecast=False, backfill_days=1, fetch=fetch)
+    sizes = {name: len(some) for name, some in asked}
+    assert sizes == {"weather": 6, "air_quality": 8} and published(spark, lake_root).count() == 8
+
+
+def test_fetched_ranges_are_cut_into_days(spark, lake_root):
+    def fetch(stream, wanted):
+        days = wanted.groupBy("city").agg(F.min("target_date").alias("first"), F.max("target_date").alias("last"))
+        hours = F.expr("transform(sequence(to_timestamp_ntz(first), to_timestamp_ntz(last) + INTERVAL 23 HOURS, INTERVAL 1 HOUR), t -> date_format(t, \"yyyy-MM-dd'T'HH:mm\"))")
+        measures = [F.array_repeat(F.lit(20.0), 24 * 5).alias(m) for m in stream.measures]
+        doc = F.struct(F.struct(hours.alias("time"), *measures).alias("hourly"), F.struct("city").alias("_metadata"))
+        return days.select("city", F.to_json(doc).alias("payload"))
+
+    refresh_lake(spark, lake_root, RUN, forecast=False, backfill_days=3, fetch=fetch)
+    fact = published(spark, lake_root)
+    assert fact.count() == 8 * 3 and {r.hourly_weather_records for r in fact.collect()} == {24}

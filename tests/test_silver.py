@@ -205,3 +205,63 @@ def test_upsert_of_an_empty_batch_keeps_the_rows(spark, table):
     table.upsert(hours(spark, 20.0))
     assert table.upsert(hours(spark, 20.0).limit(0)) == 1
     assert table.read().count() == 24 and table.read_changed(0).isEmpty()
+
+
+def test_two_hundred_versions_are_read_with_one_listing(spark, lake_root, monkeypatch):
+    from tidemark.functions.schemas import struct_of
+    from tidemark.sources import snapshots
+
+    schema = struct_of({"k": "int", "day": "date", "v": "int"})
+    table = VersionedTable(spark, f"{lake_root}/many", schema, ["k", "day"], "day")
+    days = [f"2026-01-{d:02d}" for d in range(1, 11)]
+    listed = []
+    whole = snapshots.glob_paths
+    monkeypatch.setattr(snapshots, "glob_paths", lambda spark, pattern: listed.append(pattern) or whole(spark, pattern))
+    for i in range(200):
+        if i % 20:  # most versions only need an index to be there
+            table._commit(i, table._index(i - 1)[0], {"i": i})
+        else:
+            table.upsert(spark.sql(f"SELECT {i % 3} AS k, DATE '{days[i % 10]}' AS day, {i} AS v"), note={"i": i})
+    listed.clear()
+    fresh = VersionedTable(spark, f"{lake_root}/many", schema, ["k", "day"], "day")
+    before = sorted(map(str, fresh.read().collect()))
+    assert len(listed) == 1 and len(fresh.versions()) == 200
+    assert fresh.row_count() == len(before)
+    old = sorted(map(str, fresh.read(45).collect()))
+    base = fresh.compact()
+    assert base == 200 and {p.version for p in fresh._index(base)[0]} == {200}
+    assert sorted(map(str, fresh.read().collect())) == before and fresh.read_changed(199).isEmpty()
+    assert sorted(map(str, fresh.read(45).collect())) == old and fresh.note() == {"i": 199}
+    fresh.vacuum(keep=1)
+    assert fresh.versions() == [200] and sorted(map(str, fresh.read().collect())) == before
+    assert fresh.upsert(spark.sql("SELECT 9 AS k, DATE '2026-02-01' AS day, 1 AS v")) == 201
+
+
+def test_odd_partition_values_keep_their_rows(spark, lake_root):
+    from tidemark.functions.schemas import struct_of
+
+    table = VersionedTable(spark, f"{lake_root}/odd", struct_of({"k": "int", "p": "string", "v": "int"}), ["k", "p"], "p")
+    rows = [(1, "a b", 1), (1, "a/b:c", 2), (1, "50%", 3), (1, "x+y=z", 4), (1, None, 5), (1, "é", 6)]
+    table.upsert(spark.createDataFrame(rows, "k int, p string, v int"))
+    assert table.row_count() == 6
+    table.upsert(spark.createDataFrame([(k, p, v + 10) for k, p, v in rows if p], "k int, p string, v int"))
+    got = sorted((r.v, r.p) for r in table.read().collect() if r.p)
+    assert got == sorted((v + 10, p) for _, p, v in rows if p)
+    assert table.row_count() == table.read().count() == 6
+    table.compact()
+    assert table.read_partitions(["a/b:c", "50%"]).count() == 2
+
+
+def test_an_evolving_table_grows_and_refuses_other_types(spark):
+    from tidemark.sources.tables import EvolvingTable, SchemaConflictError
+
+    table = EvolvingTable(spark, scratch_path(spark, "evolving"))
+    assert table.read().isEmpty()
+    table.append(spark.createDataFrame([(1, 2.0)], "a int, b double"), "x-0")
+    table.append(spark.createDataFrame([(3, "s")], "a int, c string"), "y-0")
+    table.append(spark.createDataFrame([(4, "t")], "a int, c string"), "y-0")  # a replay replaces itself
+    got = sorted((r.a, r.b, r.c, r.batch) for r in table.read().collect())
+    assert got == [(1, 2.0, None, "x-0"), (4, None, "t", "y-0")]
+    with pytest.raises(SchemaConflictError, match="b is double, not string"):
+        table.append(spark.createDataFrame([("no",)], "b string"), "z-0")
+    assert len(table.read().collect()) == 2 and table.schema().fieldNames() == ["a", "b", "c"]

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import astuple, dataclass
 
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +32,9 @@ class TreeConfig:
     max_iter: int
 
 
+PARAMETERS = {"min_samples_leaf": "int", "learning_rate": "double", "max_depth": "int", "max_iter": "int"}
+
+
 @dataclass(frozen=True)
 class ForecastSpec:
     """Names and split sizes of one forecasting task."""
@@ -111,17 +114,16 @@ def _fit_group(spec: ForecastSpec):
     return fit
 
 
-def fit_cells(split: DataFrame, spec: ForecastSpec, folds: Sequence[str], configs: Sequence[str]) -> DataFrame:
-    """One prediction per (key, config, fold, date) scored.
+def cells(split: DataFrame, spec: ForecastSpec, folds: Sequence[str], configs: Sequence[str]) -> DataFrame:
+    """The rows of every (key, config, fold): (key, date, features, target, config, fold, is_train, is_scored).
 
-    Fewer than three training rows give null predictions. Series too short to
-    split only have a ``prod`` fold and use the fallback configuration.
+    Series too short to split only have a ``prod`` fold and use the fallback configuration.
     """
-    def cells(names: Sequence[str]) -> Column:
-        pairs = [F.struct(F.lit(c).alias("config"), F.lit(f).alias("fold")) for c in names for f in folds]
-        return F.array(*pairs)
 
-    own = F.when(F.col("is_short"), cells(["fallback"])).otherwise(cells(configs))
+    def pairs(names: Sequence[str]) -> Column:
+        return F.array(*[F.struct(F.lit(c).alias("config"), F.lit(f).alias("fold")) for c in names for f in folds])
+
+    own = F.when(F.col("is_short"), pairs(["fallback"])).otherwise(pairs(configs))
     is_train, is_scored = F.lit(False), F.lit(False)
     for name in folds:
         learn, score = FOLDS[name]
@@ -129,7 +131,7 @@ def fit_cells(split: DataFrame, spec: ForecastSpec, folds: Sequence[str], config
         is_train = is_train | (here & F.col("split").isin(list(learn)))
         is_scored = is_scored | (here & F.col("split").isin(list(score)))
     numeric = [F.col(c).cast("double").alias(c) for c in (*spec.features, spec.target)]
-    rows = (
+    return (
         split.withColumn("_cell", F.explode(own))
         .select(
             spec.key, spec.date, *numeric, "_cell.config", "_cell.fold",
@@ -137,6 +139,18 @@ def fit_cells(split: DataFrame, spec: ForecastSpec, folds: Sequence[str], config
         )
         .filter("is_train OR is_scored")
     )
+
+
+def fit_cells(split: DataFrame, spec: ForecastSpec, folds: Sequence[str], configs: Sequence[str]) -> DataFrame:
+    """One prediction per (key, config, fold, date) scored.
+
+    Fewer than three training rows give null predictions. Configurations of a single stump are searched by
+    aggregates; any other is fitted in its own group.
+    """
+    chosen = {name: spec.configs[name] for name in configs} | {"fallback": spec.fallback}
+    if all((c.max_depth, c.max_iter) == (1, 1) for c in chosen.values()):
+        return stump_predictions(cells(split, spec, folds, configs), spec, chosen)
+    rows = cells(split, spec, folds, configs)
     schema = T.StructType(
         [split.schema[spec.key], T.StructField("config", T.StringType()), T.StructField("fold", T.StringType())]
         + [split.schema[spec.date], T.StructField("prediction", T.DoubleType())]
@@ -149,6 +163,79 @@ def fit_cells(split: DataFrame, spec: ForecastSpec, folds: Sequence[str], config
     return spread.groupBy(spec.key, "config", "fold").applyInPandas(_fit_group(spec), schema)
 
 
+def stump_search(train: DataFrame, cell: Sequence[str], features: Sequence[str], target: str, min_leaf: Column) -> DataFrame:
+    """The best single split of each cell, by exact counts and sums: (cell, n, total, best).
+
+    A cut lies half-way between two neighbouring values of a feature; rows with less or an equal value go left, rows
+    without one to the side that is better. Of all cuts that leave ``min_leaf`` rows on both sides the one that
+    lowers the squared error most is taken (compared to six digits, beyond which is summation noise); of equal ones
+    missing values to the right, then the earlier feature, then the lower cut. ``best`` is null without any.
+
+    Values are counted per (cell, feature, value) before they are sorted, so a window holds the distinct values of a
+    feature in a cell.
+    """
+    value = F.array(*[F.col(c).cast("double") for c in features])
+    counted = (
+        train.select(*cell, F.col(target).alias("_y"), F.posexplode(value).alias("feature", "x"))
+        .groupBy(*cell, "feature", "x")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("s"))
+    )
+    every = Window.partitionBy(*cell, "feature")
+    upto = every.orderBy(F.col("x").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+    stats = counted.select(
+        *cell,
+        "feature",
+        "x",
+        ((F.col("x") + F.lead("x").over(every.orderBy(F.col("x").asc_nulls_last()))) / 2).alias("cut"),
+        F.sum("n").over(upto).alias("left_n"),
+        F.sum("s").over(upto).alias("left_s"),
+        F.coalesce(F.sum(F.when(F.col("x").isNull(), F.col("n"))).over(every), F.lit(0)).alias("missing_n"),
+        F.coalesce(F.sum(F.when(F.col("x").isNull(), F.col("s"))).over(every), F.lit(0.0)).alias("missing_s"),
+        F.sum("n").over(every).alias("n"),
+        F.sum("s").over(every).alias("total"),
+    ).filter("x IS NOT NULL AND cut IS NOT NULL")
+    sides = F.when(F.col("missing_n") > 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    both = stats.withColumn("missing_left", F.explode(sides)).withColumns(
+        {
+            "left_n": F.col("left_n") + F.when(F.col("missing_left"), F.col("missing_n")).otherwise(0),
+            "left_s": F.col("left_s") + F.when(F.col("missing_left"), F.col("missing_s")).otherwise(0.0),
+        }
+    )
+    right_n, right_s = F.col("n") - F.col("left_n"), F.col("total") - F.col("left_s")
+    gain = F.round(
+        F.col("left_s") * F.col("left_s") / F.col("left_n") + right_s * right_s / right_n - F.col("total") * F.col("total") / F.col("n"), 6
+    )
+    allowed = both.filter((F.col("left_n") >= min_leaf) & (right_n >= min_leaf)).withColumn("gain", gain).filter("gain > 0")
+    choice = F.struct(
+        "feature", "cut", (F.col("missing_n") > 0).alias("knows_missing"), "missing_left",
+        F.col("left_n"), right_n.alias("right_n"),
+        (F.col("left_s") / F.col("left_n")).alias("left"), (right_s / right_n).alias("right"),
+    )
+    best = allowed.groupBy(*cell).agg(F.min_by(choice, F.struct(-F.col("gain"), F.col("missing_left"), F.col("feature"), F.col("cut"))).alias("best"))
+    totals = train.groupBy(*cell).agg(F.count(F.lit(1)).alias("n"), F.sum(target).alias("total"))
+    return totals.join(best, list(cell), "left")
+
+
+def stump_predictions(rows: DataFrame, spec: ForecastSpec, configs: Mapping[str, TreeConfig]) -> DataFrame:
+    """What ``fit_cells`` gives for one boosting round of depth one, by Spark aggregates alone."""
+    cell = [spec.key, "config", "fold"]
+
+    def of_config(part: str) -> Column:
+        chain = F
+        for name, config in configs.items():
+            chain = chain.when(F.col("config") == name, F.lit(getattr(config, part)))
+        return chain
+
+    found = stump_search(rows.filter("is_train"), cell, spec.features, spec.target, of_config("min_samples_leaf"))
+    value = F.element_at(F.array(*spec.features), F.col("best.feature") + 1)
+    unseen = F.when(F.col("best.knows_missing"), F.col("best.missing_left")).otherwise(F.col("best.left_n") > F.col("best.right_n"))
+    mean = F.col("total") / F.col("n")
+    leaf = F.when(F.coalesce(value <= F.col("best.cut"), unseen), F.col("best.left")).otherwise(F.col("best.right"))
+    prediction = mean + of_config("learning_rate") * (F.coalesce(leaf, mean) - mean)
+    scored = rows.filter("is_scored").join(found, cell)
+    return scored.select(*cell, spec.date, F.when(F.col("n") >= 3, prediction).alias("prediction"))
+
+
 def grid_scores(split: DataFrame, spec: ForecastSpec) -> DataFrame:
     """Validation error per (key, config). Test rows never reach a fit or a score."""
     usable = split.filter(F.col("split").isin("train", "val"))
@@ -206,8 +293,17 @@ def fit_eval_per_key(split: DataFrame, predictions: DataFrame, spec: ForecastSpe
     )
 
 
-def score_card(evaluation: DataFrame, winning_config: str, aggregate_val_mae: float | None) -> DataFrame:
-    """Per-key scores with gain over persistence, a flag and a sentence."""
+def score_card(
+    evaluation: DataFrame,
+    winning_config: str,
+    aggregate_val_mae: float | None,
+    spec: ForecastSpec | None = None,
+    fitted_at: str | None = None,
+) -> DataFrame:
+    """Per-key scores with gain over persistence, a flag and a sentence.
+
+    With ``spec`` the model is described too: its parameters, its features, how many rows it was refitted on and when.
+    """
     delta = improvement_pct("_naive", "_test")
     beats = F.col("_test") < F.col("_naive")
     with_scores = evaluation.withColumns(
@@ -220,6 +316,17 @@ def score_card(evaluation: DataFrame, winning_config: str, aggregate_val_mae: fl
             "aggregate_val_mae": F.lit(aggregate_val_mae).cast("double"),
         }
     ).drop("_test", "_naive")
+    if spec is not None:
+        config = spec.configs.get(winning_config, spec.fallback)
+        params = [F.lit(value).cast(kind).alias(name) for (name, kind), value in zip(PARAMETERS.items(), astuple(config))]
+        with_scores = with_scores.withColumns(
+            {
+                "params": F.struct(*params),
+                "features": F.array(*[F.lit(c) for c in spec.features]),
+                "train_val_samples": F.col("train_samples") + F.col("val_samples"),
+                "fitted_at": F.lit(fitted_at).cast("timestamp_ntz"),
+            }
+        )
     return with_scores.withColumns(
         {
             "performance_summary": performance_summary("delta_vs_baseline_pct", "beats_baseline"),
@@ -309,6 +416,35 @@ def short_history_fallback(
     )
 
 
+KEY_FEATURES = ("_key_mean", "_key_spread")
+
+
+def key_encoding(split: DataFrame, spec: ForecastSpec) -> DataFrame:
+    """A series as numbers: mean and spread of its own targets on the days before each row.
+
+    A row's own label, and later ones, never enter its features; the first row of a series has none.
+    """
+    earlier = Window.partitionBy(spec.key).orderBy(F.col(spec.date).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    return split.withColumns(
+        {"_key_mean": F.avg(spec.target).over(earlier), "_key_spread": F.stddev_pop(spec.target).over(earlier)}
+    )
+
+
+def pooled_stump(split: DataFrame, spec: ForecastSpec, min_leaf: int = 3) -> DataFrame:
+    """One split learned over all series, by aggregates alone; every row is scored."""
+    known = key_encoding(split, spec).withColumns({"_all": F.lit("all"), "is_train": F.col("split").isin("train", "val"), "is_scored": F.lit(True)})
+    rows = known.withColumns({"config": F.lit("stump"), "fold": F.lit("pooled")})
+    features = [*spec.features, *KEY_FEATURES]
+    found = stump_search(rows.filter("is_train"), ["_all"], features, spec.target, F.lit(min_leaf))
+    value = F.element_at(F.array(*[F.col(c).cast("double") for c in features]), F.col("best.feature") + 1)
+    unseen = F.when(F.col("best.knows_missing"), F.col("best.missing_left")).otherwise(F.col("best.left_n") > F.col("best.right_n"))
+    leaf = F.when(F.coalesce(value <= F.col("best.cut"), unseen), F.col("best.left")).otherwise(F.col("best.right"))
+    scored = rows.join(found, "_all").withColumn("prediction", F.coalesce(leaf, F.col("total") / F.col("n")))
+    return scored.select(
+        spec.key, spec.date, "split", spec.target, clamp_round("prediction", spec.low, spec.high, 1).alias("predicted")
+    )
+
+
 def pooled_forecast(
     split: DataFrame, spec: ForecastSpec, max_depth: int = 3, step: float = 0.05, min_leaf: int = 3,
     max_iter: int = 100, seed: int = 42,
@@ -317,19 +453,14 @@ def pooled_forecast(
 
     Fits on train+val rows and scores every row. Vectors cannot hold missing
     values, so a missing feature is filled with -1 and flagged. A series enters
-    by the mean and the spread of its own target on those rows, so there may be
-    any number of keys and none is gathered; one without such rows is missing.
+    by its ``key_encoding``, so there may be any number of keys and none is gathered.
     """
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
-    learned = split.filter(F.col("split").isin("train", "val"))
-    own = learned.groupBy(spec.key).agg(
-        F.avg(spec.target).alias("_key_mean"), F.stddev_pop(spec.target).alias("_key_spread")
-    )
-    known = split.join(own, spec.key, "left")
-    features = [*spec.features, "_key_mean", "_key_spread"]
+    known = key_encoding(split, spec)
+    features = [*spec.features, *KEY_FEATURES]
     flags = {f"{c}_missing": F.col(c).isNull().cast("double") for c in features}
     filled = known.withColumns(flags).withColumns(
         {c: F.coalesce(F.col(c).cast("double"), F.lit(-1.0)) for c in features}

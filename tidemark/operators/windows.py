@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import round_half_away
@@ -31,6 +31,19 @@ def rolling_mean(key: str, date: str, value: str, rows: int = 7, digits: int = 1
     return round_half_away(F.avg(value).over(w), digits)
 
 
+def reachable_rows(series: DataFrame, changed: DataFrame, key: str, date: str, rows: int) -> DataFrame:
+    """Which rows of a windowed table can move, and which are needed to work them out again.
+
+    ``series`` holds the (key, date) of every row, ``changed`` those that are new or different. By row position a
+    change reaches its own row and the ``rows`` - 1 after it, and each of these looks at the ``rows`` - 1 before it.
+    Returns (key, date, ``moves``); rows that are neither are left out. Only keys are read and sorted.
+    """
+    w = series_window(key, date)
+    marked = series.select(key, date).join(changed.select(key, date).distinct().withColumn("_new", F.lit(True)), [key, date], "left")
+    moved = marked.withColumn("moves", F.coalesce(F.max("_new").over(w.rowsBetween(-(rows - 1), 0)), F.lit(False))).drop("_new")
+    return moved.withColumn("_needed", F.max("moves").over(w.rowsBetween(0, rows - 1))).filter("_needed").drop("_needed")
+
+
 def lead_target(key: str, date: str, value: str) -> Column:
     return F.lead(value, 1).over(series_window(key, date))
 

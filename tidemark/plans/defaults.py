@@ -102,6 +102,9 @@ AIR_QUALITY_ROLLUP = {
     "avg_us_aqi": ("avg", "us_aqi", 1),
     "max_us_aqi": ("max", "us_aqi", 1),
 }
+FACT_LAGS = (1, 2, 3)
+FACT_ROLLING = 7
+FACT_REACH = max(*FACT_LAGS, FACT_ROLLING - 1) + 1  # rows that a row of the fact looks at, itself included
 AQI_CUTS = (
     (50.0, "Good"),
     (100.0, "Moderate"),

@@ -51,7 +51,7 @@ def run_forecast(fact: DataFrame, spec: ForecastSpec = D.FORECAST, run_ts: str |
     winner = pick_config(ranking, spec)
     best = ranking.select("mean_val_mae").take(1)
     predictions = fit_cells(split, spec, ["val", "eval", "prod"], [winner]).checkpoint()
-    scores = score_card(fit_eval_per_key(split, predictions, spec), winner, best[0][0] if best else None)
+    scores = score_card(fit_eval_per_key(split, predictions, spec), winner, best[0][0] if best else None, spec, run_ts)
     series = production_series(split, predictions, spec)
     forecasts = with_scores(
         forecast_next_day(series, spec, D.AQI_CUTS, D.AQI_TOP, D.MODEL_VERSION), scores, spec, run_ts
@@ -98,6 +98,7 @@ def locked_summary(fact_features: DataFrame, scores: DataFrame, spec: ForecastSp
             "beats_baseline",
         ).alias("metrics"),
         "winning_config",
+        *[c for c in ("params",) if c in scores.columns],
     )
     overall = aggregate_scores(scores).select(
         F.lit("aggregate").alias("kind"),

@@ -57,8 +57,8 @@ def fct_from_days(weather: DataFrame, air_quality: DataFrame) -> DataFrame:
     )
     return joined.withColumns(
         {
-            **lag_features(city, day, "avg_us_aqi", (1, 2, 3), "lag_{step}d_aqi"),
-            "rolling_7d_avg_aqi": rolling_mean(city, day, "avg_us_aqi", 7, 1),
+            **lag_features(city, day, "avg_us_aqi", D.FACT_LAGS, "lag_{step}d_aqi"),
+            "rolling_7d_avg_aqi": rolling_mean(city, day, "avg_us_aqi", D.FACT_ROLLING, 1),
         }
     )
 

@@ -19,6 +19,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoints of a run go with the frames that used them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Recording a call site for every column expression costs more than planning does.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

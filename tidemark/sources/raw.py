@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.labels import payload_checksum
+from tidemark.functions.schemas import struct_of
 
 CORRUPT = "_corrupt_record"
 
@@ -54,17 +55,22 @@ def _has_day_folder(parts: Column) -> Column:
     return F.startswith(F.element_at(parts, -2), F.lit(DAY_FOLDER))
 
 
+def _has_city_and_day(parts: Column) -> Column:
+    return _has_day_folder(parts) & F.contains(F.element_at(parts, -3), F.lit("="))
+
+
 def folder_key(path: str | Column) -> Column:
-    """City folder of ``<city>/<file>`` or ``city=<city>/target_date=<day>/<file>``."""
+    """City folder of ``<city>/<file>`` or ``city=<city>/target_date=<day>/<file>``; ``target_date=<day>/<file>`` has none."""
     parts = _path_parts(path)
-    folder = F.when(_has_day_folder(parts), F.element_at(parts, -3)).otherwise(F.element_at(parts, -2))
+    named = F.when(_has_city_and_day(parts), F.element_at(parts, -3))
+    folder = named.when(~_has_day_folder(parts), F.element_at(parts, -2))
     return F.regexp_replace(folder, "^[^=]+=", "")
 
 
 def relative_file(path: str | Column) -> Column:
     """File name from the stream's folder on."""
     parts = _path_parts(path)
-    tail = F.when(_has_day_folder(parts), F.slice(parts, -4, 4)).otherwise(F.slice(parts, -3, 3))
+    tail = F.when(_has_city_and_day(parts), F.slice(parts, -4, 4)).otherwise(F.slice(parts, -3, 3))
     return F.concat_ws("/", tail)
 
 
@@ -112,9 +118,47 @@ def whole_files(reader, root: str, file_glob: str) -> DataFrame:
     return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("payload"))
 
 
-def scan_raw_json(spark: SparkSession, root: str, schema: T.StructType, file_glob: str = "*.json") -> DataFrame:
-    """Every matching file as one parsed document."""
-    return parse_documents(whole_files(spark.read, root, file_glob), schema)
+#: A landed line: the document's key and its text as it came.
+ENVELOPE = struct_of({"city": "string", "target_date": "string", "payload": "string"})
+
+
+def document_lines(reader, root: str, file_glob: str) -> DataFrame:
+    """``(path, payload, city, target_date)`` of every line of the files below ``root``; works for batch and stream readers.
+
+    A file holds any number of documents, so tasks split the input by bytes. A line is a document, or an envelope that
+    holds one with its key; blank lines are none.
+    """
+    lines = (
+        reader.format("text").option("recursiveFileLookup", "true").option("pathGlobFilter", file_glob).load(root)
+    ).filter(F.trim("value") != "")
+    envelope = F.from_json("value", ENVELOPE)
+    return lines.select(F.col("_metadata.file_path").alias("path"), "value", envelope.alias("e")).select(
+        "path", F.coalesce("e.payload", "value").alias("payload"), "e.city", F.col("e.target_date").try_cast("date").alias("target_date")
+    )
+
+
+def enveloped() -> Column:
+    """The line of a ``(city, target_date, payload)`` document, whatever line breaks the payload holds."""
+    return F.to_json(F.struct("city", F.col("target_date").cast("string").alias("target_date"), "payload"))
+
+
+def file_day(path: str | Column) -> Column:
+    """Day named by a file or its folder, if any."""
+    c = F.col(path) if isinstance(path, str) else path
+    return F.regexp_extract(c, r"(\d{4}-\d{2}-\d{2})[^/]*(/[^/]*)?$", 1).try_cast("date")
+
+
+def keyed_files(reader, root: str, file_glob: str) -> DataFrame:
+    """Whole files in the shape of ``document_lines``: city and day from the path."""
+    return whole_files(reader, root, file_glob).select("path", "payload", folder_key("path").alias("city"), file_day("path").alias("target_date"))
+
+
+def scan_raw_json(
+    spark: SparkSession, root: str, schema: T.StructType, file_glob: str = "*.json", layout: str = "files"
+) -> DataFrame:
+    """Every document below ``root``, parsed: one per file (``files``) or one per line (``lines``)."""
+    found = {"files": whole_files, "lines": document_lines}[layout](spark.read, root, file_glob)
+    return parse_documents(found, schema)
 
 
 def tolerate_malformed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -125,11 +169,16 @@ def tolerate_malformed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def stamp_lineage(docs: DataFrame, run_ts: dt.datetime | str) -> DataFrame:
-    """City, relative file name, payload checksum and one ingestion timestamp per run."""
+    """City, relative file name, payload checksum and one ingestion timestamp per run.
+
+    The city is the document's own, else the one it landed with (a ``city`` column), else the folder's.
+    """
     stamp = F.to_timestamp(F.lit(str(run_ts))).cast("timestamp_ntz")
+    own = F.col("doc._metadata.city")
+    key = F.coalesce(own, F.col("city")) if "city" in docs.columns else own
     return docs.withColumns(
         {
-            "city": default_key_from_path("doc._metadata.city", "path"),
+            "city": default_key_from_path(key, "path"),
             "source_file": relative_file("path"),
             "payload_hash": payload_checksum("payload"),
             "ingestion_timestamp": stamp,

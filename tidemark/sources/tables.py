@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import threading
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
@@ -12,7 +14,7 @@ from pyspark.sql.utils import AnalysisException
 
 from tidemark.functions.numbers import finite_frame
 from tidemark.session import scratch_path
-from tidemark.sources.files import drop_path, path_exists
+from tidemark.sources.files import drop_path, path_exists, read_small, write_small
 
 
 def scan_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -20,10 +22,10 @@ def scan_table(spark: SparkSession, path: str, columns: Sequence[str] | None = N
     return df.select(*columns) if columns else df
 
 
-def scan_table_if_exists(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def scan_table_if_exists(spark: SparkSession, path: str, schema: T.StructType, kind: str = "parquet") -> DataFrame:
     """The table, or no rows of the declared schema when it is missing or empty."""
     if path_exists(spark, path):
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).format(kind).load(path)
     return spark.createDataFrame([], schema)
 
 
@@ -52,6 +54,55 @@ def append_merge_schema(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.unionByName(right, allowMissingColumns=True)
 
 
+class SchemaConflictError(ValueError):
+    pass
+
+
+_SCHEMA_LOCK = threading.Lock()
+
+
+class EvolvingTable:
+    """A table of appended batches whose columns may differ.
+
+    The columns seen so far stand in a small document beside the batches, so neither a write nor a read opens the
+    footers of older files. A column keeps its first type: a batch that disagrees is refused before it is written.
+    Each batch has a folder of its own, so a replayed batch replaces itself.
+    """
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark = spark
+        self.path = path.rstrip("/")
+
+    def schema(self) -> T.StructType:
+        text = read_small(self.spark, f"{self.path}/_schema.json")
+        return T.StructType([]) if text is None else T.StructType.fromJson(json.loads(text))
+
+    def append(self, batch: DataFrame, name: str) -> None:
+        with _SCHEMA_LOCK:  # streams that run side by side share a table
+            self._widen(batch)
+        batch.write.mode("overwrite").parquet(f"{self.path}/batch={name}")
+
+    def _widen(self, batch: DataFrame) -> None:
+        seen = self.schema()
+        types = {f.name.lower(): f.dataType for f in seen}
+        wrong = [f for f in batch.schema if types.get(f.name.lower(), f.dataType) != f.dataType]
+        if wrong:
+            raise SchemaConflictError(
+                "; ".join(f"{f.name} is {types[f.name.lower()].simpleString()}, not {f.dataType.simpleString()}" for f in wrong)
+            )
+        fresh = [T.StructField(f.name, f.dataType) for f in batch.schema if f.name.lower() not in types]
+        if fresh:  # before the rows: a column without rows does no harm
+            write_small(self.spark, f"{self.path}/_schema.json", json.dumps(T.StructType([*seen.fields, *fresh]).jsonValue()))
+
+    def read(self) -> DataFrame:
+        """Rows of every batch; a column that a batch did not have is null in its rows."""
+        schema = self.schema()
+        if not schema.fields:
+            return self.spark.createDataFrame([], T.StructType([T.StructField("batch", T.StringType())]))
+        with_batch = T.StructType([*schema.fields, T.StructField("batch", T.StringType())])
+        return scan_table_if_exists(self.spark, self.path, with_batch)
+
+
 def literal_relation(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
     """A relation of literal rows, planned as a local relation so its exact size is known."""
     import pyarrow as pa
