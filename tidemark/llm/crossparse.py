@@ -31,11 +31,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import tokens
+from tidemark.llm.common import broadcast_if_small, stored
 
 ROWS = 256
 PIECE = 200
 SAMPLE = 32_000  # states of an automaton, fewer than twice as many, fit into 16 bits
 TOTAL = 640_000
+PARTS = 64
 SEGMENT = 512
 BYTES = 4 << 20
 GAP, OTHER, CLASSES = 0, 63, 64
@@ -194,9 +196,13 @@ def fitted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
         F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"), held_out(F.col(f"`{id_col}`")).alias("held_out")
     ).filter("NOT held_out AND text IS NOT NULL AND lang IS NOT NULL")
     rows = rows.select("lang", "text", F.xxhash64("text").alias("name"))
-    # the texts with the smallest names: one row per language and place of the order, whatever share a language has
-    names = rows.select("lang", "name").distinct()
-    chosen = names.withColumn("place", F.expr("row_number() OVER (PARTITION BY lang ORDER BY name)")).filter(F.col("place") <= ROWS).select("lang", "name")
+    # the texts with the smallest names: first of each of a fixed number of parts of a language, whatever share of the
+    # rows it has, then of the language
+    names = rows.select("lang", "name").distinct().withColumn("part", F.pmod("name", F.lit(PARTS)))
+    for of in ("lang, part", "lang"):
+        place = F.expr(f"row_number() OVER (PARTITION BY {of} ORDER BY name)")
+        names = names.withColumn("place", place).filter(F.col("place") <= ROWS).drop("place")
+    chosen = broadcast_if_small(stored(names.select("lang", "name"), "language-samples"))
     piece = F.expr(f"substring(text, CAST(1 + pmod(name, greatest(length(text) - {PIECE}, 1)) AS INT), {PIECE})")
     found = rows.join(chosen, ["lang", "name"]).groupBy("lang", "name").agg(F.min(piece).alias("piece")).orderBy("lang", "name").collect()
     samples: dict[str, list[str]] = {}
