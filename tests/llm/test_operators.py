@@ -298,21 +298,47 @@ def test_training_order_is_a_permutation():
 def test_training_order_round_trip(spark, docs, texts, none, odd, monkeypatch):
     from tidemark.session import scratch_path
 
-    monkeypatch.setattr(training_order, "SHARD_BYTES", 2000)
     path = scratch_path(spark, "test-order")
-    found = {r["slot"]: r for r in training_order.written(docs, path, key=3).collect()}
-    back = {r["slot"]: bytes(r["ids"]) for r in training_order.read_back(spark, path).collect()}
+    found = {r["slot"]: r for r in training_order.written(docs, path, key=3, shard_bytes=2000).collect()}
+    back = {r["slot"]: bytes(r["ids"]) for r in training_order.read_back(spark, path, shard_bytes=2000).collect()}
     assert sorted(found) == sorted(back) == list(range(len(back)))
     whole = {}
     for slot, r in sorted(found.items(), key=lambda x: (x[1]["doc_id"], x[1]["seq_no"])):
         ids = back[slot]
-        assert ids[r["n_tokens"] :].strip(training_order.FILL) == b""
+        assert ids[r["n_tokens"] :].strip(training_order.fill_mark(1)) == b""
         whole[r["doc_id"]] = whole.get(r["doc_id"], b"") + ids[: r["n_tokens"]]
-    assert whole == {i: (t or "").encode() + training_order.END for i, t in texts.items()}
-    assert training_order.materialised(odd).count() == 5
+    assert whole == {i: (t or "").encode() + training_order.end_mark(1) for i, t in texts.items()}
+    # equal rows have sequences of their own
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in training_order.materialised(odd).collect()) == [
+        (False, 1), (False, 1), (False, 1), (False, 2), (True, 0), (True, 0)
+    ]
     assert training_order.materialised(none).count() == 0
 
 
+@pytest.mark.parametrize("width", [2, 4])
+def test_token_ids_are_read_from_any_slot(spark, docs, none, width):
+    """Ids of 2 and 4 bytes from the BPE encoder; a read from slot s is the tail of a full read and leaves shards unread."""
+    from tidemark.session import scratch_path
+
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    ids = bpe.encoded(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN).select("row.doc_id", "ids")
+    narrow = ids.rdd.map(lambda r: (r.doc_id, bytearray(np.frombuffer(bytes(r.ids), "<u4").astype(f"<u{width}").tobytes()))).toDF("doc_id long, ids binary")
+    path = scratch_path(spark, "test-ids")
+    kind = {"length": 16, "width": width, "shard_bytes": 300}
+    found = {r.slot: r for r in training_order.written(narrow, path, key=5, ids_col="ids", **kind).collect()}
+    whole = {r.slot: bytes(r.ids) for r in training_order.read_back(spark, path, **kind).collect()}
+    assert sorted(found) == sorted(whole) == list(range(len(whole)))
+    texts = {}
+    for slot, r in sorted(found.items(), key=lambda x: (x[1].doc_id, x[1].seq_no)):
+        texts.setdefault(r.doc_id, []).extend(np.frombuffer(whole[slot], f"<u{width}")[: r.n_tokens].tolist())
+    assert texts == {r.doc_id: [*np.frombuffer(bytes(r.ids), "<u4").tolist(), 256**width - 1] for r in ids.collect()}
+    for start in (0, 1, 37, len(whole) - 1, len(whole)):
+        tail = training_order.read_back(spark, path, start_slot=start, **kind)
+        assert {r.slot: bytes(r.ids) for r in tail.collect()} == {s: i for s, i in whole.items() if s >= start}
+    plan = training_order.read_back(spark, path, start_slot=37, **kind)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(shard" in plan
+
+
 def test_fingerprints(spark, docs, texts, none, odd):
     got = {r["doc_id"]: r for r in simhash.edited_and_next(docs).collect()}
     order = sorted(texts)

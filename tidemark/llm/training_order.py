@@ -1,25 +1,29 @@
 """Token sequences in training order, in binary shards of fixed stride.
 
-Texts are byte-level tokens: ids 0 to 253 are UTF-8 bytes, of which 254 and 255 never occur, so 255 ends
-a text and 254 fills its last sequence. A sequence is ``length`` ids of one byte and belongs to one text.
-
-Every sequence has an index without gaps: texts are dealt to buckets by hash, and a running sum inside a
-bucket plus the sum of earlier buckets numbers them; only ids and counts are shuffled for that. A keyed
-Feistel network over the smallest domain of whole bits that holds the indexes, walked until it falls
-inside, permutes them: the slot. Another key is another epoch. Slot ranges are shards; each is written
-by one task as one file, sorted, one row per sequence and a line feed after it, by Spark's text writer
-and its committer. So slot s begins at byte (s mod per shard) * (length + 1) of shard s div per shard,
-and a reader resumes anywhere.
-
-Defined cases: null and empty texts are one sequence of the end mark; rows equal in id and text are
-written once; rows sharing only the id are texts of their own; rows without an id take part; extra
-columns are ignored; an empty table writes an empty folder.
+A text is a run of token ids of ``width`` bytes, little-endian: either an ids column (``width`` 2 or 4, as the BPE
+encoder makes them), or the UTF-8 bytes of the text itself (``width`` 1; ids 0 to 253, of which 254 and 255 never
+occur). One id ends a text and another fills its last sequence; they are the two largest of the width. A sequence is
+``length`` ids and belongs to one text.
+
+Every sequence has an index without gaps: texts are dealt to buckets by hash, and a running sum inside a bucket plus
+the sum of earlier buckets numbers them; only ids and counts are shuffled for that. Rows that are equal in id and text
+are told apart by their ordinal, so each has sequences of its own. A keyed Feistel network over the smallest domain of
+whole bits that holds the indexes, walked until it falls inside, permutes them: the slot. Another key is another epoch.
+Sequences are range-partitioned by slot and written in order, one row per sequence and a line feed after it, by Spark's
+text writer and its committer, below a folder per shard. Slot s is row s mod per shard of shard s div per shard, and a
+reader begins at any slot: shards before it are not read, rows before it in its shard are skipped by their offset.
+
+Defined cases: null and empty texts are one sequence of the end mark; equal rows are written each; rows without an id
+take part; extra columns are ignored; an empty table writes an empty folder.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -28,11 +32,23 @@ from tidemark.llm.tokens import mix
 from tidemark.session import scratch_path
 
 LENGTH = 512
-END, FILL = b"\xff", b"\xfe"
 SHARD_BYTES = 8 << 20
 ROUNDS = 6
 
 
+def end_mark(width: int) -> bytes:
+    return b"\xff" * width
+
+
+def fill_mark(width: int) -> bytes:
+    return b"\xfe" + b"\xff" * (width - 1)
+
+
+def per_shard(length: int, width: int, shard_bytes: int) -> int:
+    """Sequences of a shard."""
+    return max(1, shard_bytes // (length * width + 1))
+
+
 def permuted(index: np.ndarray, n: int, key: int) -> np.ndarray:
     """A keyed permutation of 0 to ``n`` - 1: a Feistel network, repeated for values that leave the range."""
     bits = max(2, (n - 1).bit_length())
@@ -50,27 +66,36 @@ def permuted(index: np.ndarray, n: int, key: int) -> np.ndarray:
     return out.view(np.int64)
 
 
-def _data(text_col: str) -> Column:
-    return F.concat(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).cast("binary"), F.lit(END))
+def _rows(docs: DataFrame, id_col: str, text_col: str, ids_col: str | None, width: int) -> DataFrame:
+    """(id, h, data): the ids of each row with the end mark, and their hash."""
+    ids = F.col(f"`{ids_col}`") if ids_col else F.col(f"`{text_col}`").cast("string").cast("binary")
+    data = F.concat(F.coalesce(ids, F.lit(b"")), F.lit(end_mark(width)))
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), data.alias("data")).select("id", F.xxhash64("data").alias("h"), "data")
 
 
-def indexed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> tuple[DataFrame, int]:
-    """(id, h, n_tokens, base) of every distinct text, base the index of its first sequence; and the number of sequences."""
-    spark = docs.sparkSession
-    rows = docs.select(
-        F.col(f"`{id_col}`").cast("long").alias("id"),
-        F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))).alias("h"),
-        F.octet_length(_data(text_col)).cast("long").alias("n_tokens"),
-    ).distinct()
+def indexed(rows: DataFrame, length: int = LENGTH, width: int = 1) -> tuple[DataFrame, int]:
+    """(id, h, n_tokens, n, copies, base) of every distinct row, base the index of its first sequence; the number of sequences.
+
+    The sequences of equal rows follow each other: copy c begins at base + c * n.
+    """
+    spark = rows.sparkSession
+    tokens = F.octet_length("data").cast("long") / width
+    some = rows.select("id", "h", tokens.cast("long").alias("n_tokens")).groupBy("id", "h", "n_tokens").agg(F.count(F.lit(1)).alias("copies"))
     buckets = 16 * parts(spark)
-    numbered = rows.withColumns({"n": F.ceil(F.col("n_tokens") / length), "bucket": F.pmod(F.xxhash64("id", "h"), F.lit(buckets))})
+    numbered = some.withColumns({"n": F.ceil(F.col("n_tokens") / length), "bucket": F.pmod(F.xxhash64("id", "h"), F.lit(buckets))})
     inside = Window.partitionBy("bucket").orderBy("id", "h").rowsBetween(Window.unboundedPreceding, -1)
-    local = stored(numbered.withColumn("local", F.coalesce(F.sum("n").over(inside), F.lit(0))), "sequence-counts")
-    totals = local.groupBy("bucket").agg(F.sum("n").alias("of_bucket"))  # a row per bucket, a fixed number
+    local = stored(numbered.withColumn("local", F.coalesce(F.sum(F.col("n") * F.col("copies")).over(inside), F.lit(0))), "sequence-counts")
+    totals = local.groupBy("bucket").agg(F.sum(F.col("n") * F.col("copies")).alias("of_bucket"))  # a row per bucket, a fixed number
     earlier = F.coalesce(F.sum("of_bucket").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = totals.withColumn("offset", earlier).select("bucket", "offset")
-    total = local.agg(F.sum("n")).first()[0] or 0
-    return local.join(offsets, "bucket").select("id", "h", "n_tokens", "n", (F.col("local") + F.col("offset")).alias("base")), total
+    total = local.agg(F.sum(F.col("n") * F.col("copies"))).first()[0] or 0
+    return local.join(offsets, "bucket").select("id", "h", "n_tokens", "n", "copies", (F.col("local") + F.col("offset")).alias("base")), total
+
+
+def _each_copy(texts: DataFrame) -> DataFrame:
+    """A row per copy, with the index of its own first sequence."""
+    copy = texts.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    return copy.withColumn("base", F.col("base") + F.col("copy") * F.col("n")).drop("copy", "copies")
 
 
 def _slot(n: int, key: int):
@@ -81,56 +106,80 @@ def _slot(n: int, key: int):
     return slot
 
 
-def manifest(texts: DataFrame, total: int, per_shard: int, key: int, length: int = LENGTH) -> DataFrame:
+def manifest(texts: DataFrame, total: int, of_shard: int, key: int, length: int = LENGTH) -> DataFrame:
     """(slot, shard, doc_id, seq_no, n_tokens) of every sequence; no text is read."""
-    each = texts.select("id", "n_tokens", "base", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("seq_no"))
+    first = F.lit(0).cast("long")
+    each = _each_copy(texts).select("id", "n_tokens", "base", F.explode(F.sequence(first, F.col("n") - 1)).alias("seq_no"))
     return each.withColumn("slot", _slot(total, key)(F.col("base") + F.col("seq_no"))).select(
         "slot",
-        F.floor(F.col("slot") / per_shard).alias("shard"),
+        F.floor(F.col("slot") / of_shard).alias("shard"),
         F.col("id").alias("doc_id"),
         "seq_no",
         F.least(F.lit(length), F.col("n_tokens") - F.col("seq_no") * length).cast("long").alias("n_tokens"),
     )
 
 
-def written(docs: DataFrame, path: str, key: int, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
+def written(
+    docs: DataFrame,
+    path: str,
+    key: int,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    length: int = LENGTH,
+    ids_col: str | None = None,
+    width: int = 1,
+    shard_bytes: int = SHARD_BYTES,
+) -> DataFrame:
     """Write the shards below ``path`` and return their manifest."""
-    texts, total = indexed(docs, id_col, text_col, length)
+    spark = docs.sparkSession
+    rows = _rows(docs, id_col, text_col, ids_col, width)
+    texts, total = indexed(rows, length, width)
     texts = stored(texts, "sequence-index")
-    per_shard = max(1, SHARD_BYTES // (length + 1))
-    count = texts.count()
-    small = F.broadcast(texts) if count <= BROADCAST_ROWS else texts
-    rows = docs.select(
-        F.col(f"`{id_col}`").cast("long").alias("id"),
-        F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))).alias("h"),
-        _data(text_col).alias("data"),
-    )
-    if docs.count() > count:
+    of_shard = per_shard(length, width, shard_bytes)
+    counts = texts.agg(F.count(F.lit(1)), F.coalesce(F.sum("copies"), F.lit(0))).first()
+    copies = _each_copy(texts).select("id", "h", "n", "base")
+    small = F.broadcast(copies) if counts[1] <= BROADCAST_ROWS else copies
+    if counts[1] > counts[0]:
         rows = rows.dropDuplicates(["id", "h"])
-    joined = rows.join(small.select("id", "h", "n", "base"), rows["id"].eqNullSafe(small["id"]) & (rows["h"] == small["h"])).select("data", "n", "base")
-    cut = F.transform(F.sequence(F.lit(0), F.col("n").cast("int") - 1), lambda j: F.substring("data", j * length + 1, F.lit(length)))
-    each = joined.select("base", F.posexplode(cut).alias("j", "ids"))
-    placed = each.withColumn("slot", _slot(total, key)(F.col("base") + F.col("j"))).select(
-        F.floor(F.col("slot") / per_shard).alias("shard"), "slot", F.rpad("ids", length, F.lit(FILL)).cast("string").alias("value")
-    )
-    spark = docs.sparkSession
-    shards = max(1, -(-total // per_shard))
-    ordered = placed.repartition(max(shards, parts(spark)), "shard").sortWithinPartitions("shard", "slot")
-    ordered.select("shard", "value").write.partitionBy("shard").text(path)
-    return manifest(texts, total, per_shard, key, length)
-
-
-def read_back(spark: SparkSession, path: str, length: int = LENGTH) -> DataFrame:
-    """(slot, ids) of every sequence of the shards below ``path``."""
-    per_shard = max(1, SHARD_BYTES // (length + 1))
-    stride = length + 1
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    shard = F.regexp_extract("path", r"/shard=(\d+)/", 1).cast("long")
-    cut = F.transform(
-        F.sequence(F.lit(0), (F.octet_length("content") / stride).cast("int") - 1), lambda i: F.substring("content", i * stride + 1, F.lit(length))
-    )
-    rows = files.filter("length > 0").select(shard.alias("shard"), F.posexplode(cut).alias("at", "ids"))
-    return rows.select((F.col("shard") * per_shard + F.col("at")).alias("slot"), "ids")
+    joined = rows.join(small, rows["id"].eqNullSafe(small["id"]) & (rows["h"] == small["h"])).select("data", "n", "base")
+    # the bytes are cut after the explode: a cut inside it would copy the text for every sequence
+    each = joined.select("data", "base", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("j"))
+    ids = F.substring("data", (F.col("j") * (length * width) + 1).cast("int"), F.lit(length * width))
+    slot = _slot(total, key)(F.col("base") + F.col("j"))
+    placed = each.select(slot.alias("slot"), F.rpad(ids, length * width, F.lit(fill_mark(width))).cast("string").alias("value"))
+    placed = placed.withColumn("shard", F.floor(F.col("slot") / of_shard))
+    # slots are dense, so equal ranges need no sample; a range is whole shards
+    shards = max(1, -(-total // of_shard))
+    tasks = min(shards, max(parts(spark), -(-shards // 16)))
+    at = F.least(F.floor(F.col("shard") * tasks / shards), F.lit(tasks - 1)).cast("int")
+    placed.repartitionById(tasks, at).sortWithinPartitions("slot").select("shard", "value").write.partitionBy("shard").text(path)
+    return manifest(texts, total, of_shard, key, length)
+
+
+def read_back(
+    spark: SparkSession, path: str, length: int = LENGTH, start_slot: int = 0, width: int = 1, shard_bytes: int = SHARD_BYTES
+) -> DataFrame:
+    """(slot, ids) of the sequences from ``start_slot`` on of the shards below ``path``.
+
+    Shards before it are pruned by their folder; within its own the offset says where it begins.
+    """
+    of_shard, stride = per_shard(length, width, shard_bytes), length * width + 1
+    files = spark.read.format("binaryFile").schema("path string, length long, content binary, shard long").load(path)
+    files = files.filter((F.col("shard") >= start_slot // of_shard) & (F.col("length") > 0)).select("shard", "content")
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            for shard, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                rows = np.frombuffer(content.as_buffer(), np.uint8).reshape(-1, stride)
+                first = max(0, start_slot - shard * of_shard)
+                for at in range(first, len(rows), 4096):
+                    part = np.ascontiguousarray(rows[at : at + 4096, :-1])
+                    offsets = np.arange(len(part) + 1, dtype=np.int32) * (stride - 1)
+                    ids = pa.BinaryArray.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(offsets), pa.py_buffer(part)])
+                    slots = pa.array(np.arange(at, at + len(part)) + shard * of_shard)
+                    yield pa.RecordBatch.from_arrays([slots, ids], ["slot", "ids"])
+
+    return files.mapInArrow(run, "slot long, ids binary")
 
 
 def materialised(docs: DataFrame, key: int = 1) -> DataFrame:
