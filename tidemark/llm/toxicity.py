@@ -21,8 +21,8 @@ word. Words of over WORD bytes are read as overlapping windows.
 
 Defined cases: null and empty texts, and texts without words, have no features and get the score of an
 empty sentence; without labels of both kinds every score is the share of toxic labels (0 without any);
-rows without an id are scored as well; labels that are null are left out; repeated label rows count
-each; other columns pass through untouched; an empty table gives an empty result.
+rows without an id are scored as well; labels that are null are left out; equal pairs of text
+and label are learned from once; other columns pass through untouched; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -41,7 +41,9 @@ from tidemark.llm import tokens
 SAMPLE_ROWS = 4000
 ORDER, DECAY, WORD = 4, 0.9, 24
 #: Bytes of text whose words are evaluated together.
-BYTES = 1 << 20
+BYTES = 1 << 19
+#: Words of a generation whose kernel values are kept.
+KEPT = 100_000
 #: The fourth power of the kernel is a kernel too; it tells a landmark from words that merely resemble it.
 POWER = 4
 LANDMARKS, EVIDENCE = 120, 6.0
@@ -147,19 +149,43 @@ def kernel(chars: np.ndarray, size: np.ndarray, landmarks: list[bytes], own: np.
     return out
 
 
+class Known:
+    """Kernel values of words seen before, by hash; words near no landmark share row 0."""
+
+    def __init__(self, width: int):
+        self.hashes = np.zeros(0, np.uint64)
+        self.rows = np.zeros(0, np.int32)
+        self.values = np.zeros((1, width), np.float32)
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per hash whether it is known, and its place."""
+        if not len(self.hashes):
+            return np.zeros(len(hashes), bool), np.zeros(len(hashes), np.int64)
+        where = np.searchsorted(self.hashes, hashes)
+        where[where == len(self.hashes)] = 0
+        return self.hashes[where] == hashes, where
+
+    def add(self, hashes: np.ndarray, values: np.ndarray) -> None:
+        some = values.any(1)
+        rows = np.zeros(len(values), np.int32)
+        rows[some] = np.arange(int(some.sum())) + len(self.values)
+        self.values = np.concatenate([self.values, values[some]])
+        every = np.concatenate([self.hashes, hashes])
+        order = np.argsort(every, kind="stable")
+        self.hashes, self.rows = every[order], np.concatenate([self.rows, rows])[order]
+
+
 class Sentences:
     """Features of the sentences of texts: only words near a landmark are kept."""
 
     def __init__(self, landmarks: list[bytes]):
         self.landmarks = landmarks
         self.own = self_kernel(landmarks)
-        self.hashes = np.zeros(0, np.uint64)
-        self.rows = np.zeros(0, np.int32)  # per known word its row of values; row 0 has none
-        self.values = np.zeros((1, len(landmarks)), np.float32)
+        self.new, self.old = Known(len(landmarks)), Known(len(landmarks))
 
     def _words(self, words: list[bytes]) -> np.ndarray:
         out = np.zeros((len(words), len(self.landmarks)), np.float32)
-        step = 50_000
+        step = 10_000
         for at in range(0, len(words), step):
             some = words[at : at + step]
             chars, size = _padded([w[:WORD] for w in some])
@@ -173,24 +199,22 @@ class Sentences:
         return out
 
     def _known(self, hashes: np.ndarray, pick: np.ndarray, w: tokens.Words) -> np.ndarray:
-        """Per distinct word its row of ``values``; new words are evaluated and kept for the next chunk."""
-        if len(self.hashes) > 1_000_000:  # memory is bounded; words are evaluated anew
-            self.hashes, self.rows, self.values = self.hashes[:0], self.rows[:0], self.values[:1]
-        where = np.searchsorted(self.hashes, hashes)
-        where[where == len(self.hashes)] = 0
-        new = self.hashes[where] != hashes if len(self.hashes) else np.ones(len(hashes), bool)
-        if new.any():
-            data = w.data
-            fresh = self._words([data[a:b].tobytes() for a, b in zip(w.begin[pick[new]].tolist(), w.end[pick[new]].tolist())])
-            some = fresh.any(1)
-            rows = np.zeros(len(fresh), np.int32)
-            rows[some] = np.arange(int(some.sum())) + len(self.values)
-            self.values = np.concatenate([self.values, fresh[some]])
-            every = np.concatenate([self.hashes, hashes[new]])
-            order = np.argsort(every, kind="stable")
-            self.hashes, self.rows = every[order], np.concatenate([self.rows, rows])[order]
-            where = np.searchsorted(self.hashes, hashes)
-        return self.rows[where]
+        """Kernel values of distinct words. Two generations of words are kept, so that memory is bounded and words
+        that go on being used stay known."""
+        out = np.zeros((len(hashes), len(self.landmarks)), np.float32)
+        here, at = self.new.find(hashes)
+        out[here] = self.new.values[self.new.rows[at[here]]]
+        there, at = self.old.find(hashes)
+        there &= ~here
+        out[there] = self.old.values[self.old.rows[at[there]]]
+        fresh = ~(here | there)
+        if fresh.any():
+            out[fresh] = self._words([w.data[a:b].tobytes() for a, b in zip(w.begin[pick[fresh]].tolist(), w.end[pick[fresh]].tolist())])
+        if not here.all():
+            if len(self.new.hashes) > KEPT:
+                self.new, self.old = Known(len(self.landmarks)), self.new
+            self.new.add(hashes[~here], out[~here])
+        return out
 
     def features(self, column: pa.Array, at: int, to: int) -> tuple[np.ndarray, np.ndarray]:
         """(text, features) of the sentences with any feature; texts counted from ``at``, ascending."""
@@ -198,11 +222,11 @@ class Sentences:
         if not len(w.hashes):
             return np.zeros(0, np.int64), np.zeros((0, len(self.landmarks)), np.float32)
         distinct, pick, back = np.unique(w.hashes, return_index=True, return_inverse=True)
-        row = self._known(distinct, pick, w)[back]
-        on = np.flatnonzero(row)
+        values = self._known(distinct, pick, w)
+        on = np.flatnonzero(values.any(1)[back])
         line = np.cumsum(w.data == 10)
         text = np.repeat(np.arange(to - at), np.diff(w.first))
-        texts, lines, rows = [text[on]], [line[w.begin[on]]], [self.values[row[on]]]
+        texts, lines, rows = [text[on]], [line[w.begin[on]]], [values[back[on]]]
         single = (w.end - w.begin == 1).astype(np.int8)
         edges = np.flatnonzero(np.diff(np.concatenate([[0], single, [0]])))
         for a, b in zip(edges[::2].tolist(), edges[1::2].tolist()):
@@ -367,8 +391,9 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sentences = Sentences(model.landmarks) if model.landmarks else None
         for batch in stream:
-            margin = margins(model, batch.column(1).to_pylist(), sentences) if sentences else np.zeros(batch.num_rows)
-            score = 1 / (1 + np.exp(-np.clip(model.slope * margin + model.offset, -30, 30)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score, pa.float64())], ["row", "score"])
+            for at, to in tokens.chunks(batch.column(1)):  # small batches out, so memory stays bounded
+                margin = margins(model, batch.column(1).slice(at, to - at).to_pylist(), sentences) if sentences else np.zeros(to - at)
+                score = 1 / (1 + np.exp(-np.clip(model.slope * margin + model.offset, -30, 30)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, to - at), pa.array(score, pa.float64())], ["row", "score"])
 
     return rows.mapInArrow(run, schema)
