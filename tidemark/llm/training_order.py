@@ -152,7 +152,7 @@ def written(
     shards = max(1, -(-total // of_shard))
     tasks = min(shards, max(parts(spark), -(-shards // 16)))
     at = F.least(F.floor(F.col("shard") * tasks / shards), F.lit(tasks - 1)).cast("int")
-    placed.repartitionById(tasks, at).sortWithinPartitions("slot").select("shard", "value").write.partitionBy("shard").text(path)
+    placed.repartitionById(tasks, at).sortWithinPartitions("shard", "slot").select("shard", "value").write.partitionBy("shard").text(path)
     return manifest(texts, total, of_shard, key, length)
 
 
@@ -164,8 +164,10 @@ def read_back(
     Shards before it are pruned by their folder; within its own the offset says where it begins.
     """
     of_shard, stride = per_shard(length, width, shard_bytes), length * width + 1
-    files = spark.read.format("binaryFile").schema("path string, length long, content binary, shard long").load(path)
-    files = files.filter((F.col("shard") >= start_slot // of_shard) & (F.col("length") > 0)).select("shard", "content")
+    files = spark.read.format("binaryFile").load(path)
+    if "shard" not in files.columns:  # nothing was written
+        return spark.createDataFrame([], "slot long, ids binary")
+    files = files.withColumn("shard", F.col("shard").cast("long")).filter((F.col("shard") >= start_slot // of_shard) & (F.col("length") > 0)).select("shard", "content")
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
