@@ -157,13 +157,20 @@ def edited_and_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - half), F.substring("next_text", F.lit(1), half))
     rows = _in_order(docs, id_col, text_col).select("rid", "next_rid", "id", "text", edited.alias("edited"))
-    both = rows.select("rid", F.explode(F.array(F.struct(F.lit(0).alias("kind"), "text"), F.struct(F.lit(1).alias("kind"), F.col("edited").alias("text")))).alias("v"))
-    prints = stored(fingerprints(both.select("rid", "v.kind", "v.text"), ["rid", "kind"]), "fingerprints")
+    # what the result needs of the texts goes along with the terms, so the texts are put in order once
+    facts = {"n_chars": F.length("text").cast("long"), "sha": F.unhex(F.sha2("edited", 256))}
+    both = rows.withColumns(facts).select(
+        "rid",
+        *("next_rid", "id", *facts),
+        F.explode(F.array(F.struct(F.lit(0).alias("kind"), "text"), F.struct(F.lit(1).alias("kind"), F.col("edited").alias("text")))).alias("v"),
+    )
+    keys = ["rid", "kind", "next_rid", "id", *facts]
+    prints = stored(fingerprints(both.select(*[f"v.{k}" if k == "kind" else k for k in keys], "v.text"), keys), "fingerprints")
     own = prints.filter("kind = 0").select("rid", "f1", "f2")
     other = prints.filter("kind = 1").select("rid", F.col("f1").alias("e1"), F.col("f2").alias("e2"))
     following = own.toDF("next_rid", "n1", "n2")
-    base = rows.select("rid", "next_rid", "id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
-    done = stored(base.join(own, "rid").join(other, "rid"), "edited")
+    base = prints.filter("kind = 0").drop("kind").withColumn("edited_sha256", F.lower(F.hex("sha"))).drop("sha")
+    done = stored(base.join(other, "rid"), "edited")
     asked = done.filter("id % 50 = 0")
     near = within(asked, own, radius)
     return (
