@@ -170,3 +170,67 @@ def test_pooled_model_takes_any_number_of_keys(spark):
     split = prepared(spark, {f"k{i}": 32 for i in range(200)})
     scored = FC.pooled_forecast(split, SPEC, max_iter=2)
     assert scored.count() == 6400 and scored.filter("predicted IS NULL").isEmpty()
+
+
+def stump_series(spark, n_keys=3, days=40, seed=5):
+    """Series with gaps in their features, so that every way of treating missing values comes up."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for k in range(n_keys):
+        for d in range(days):
+            x = [float(v) if rng.random() > 0.2 or c == 0 else None for c, v in enumerate(np.round(rng.normal(size=3) * 10, 1))]
+            split = "train" if d < days - 20 else "val" if d < days - 12 else "test" if d < days - 1 else "unlabelled"
+            y = None if split == "unlabelled" else float(np.round(20 + 3 * (x[1] is None) + (5 if (x[2] or 0) > 2 else 0) + rng.normal(), 1))
+            rows.append((f"k{k}", d, *x, y, split, False))
+    frame = spark.createDataFrame(rows, "city string, day int, a double, b double, c double, y double, split string, is_short boolean")
+    return frame.withColumn("metric_date", F.date_add(F.lit("2026-01-01").cast("date"), F.col("day"))).drop("day")
+
+
+def stump_spec(**configs):
+    return FC.ForecastSpec(
+        key="city", date="metric_date", value="a", features=("a", "b", "c"), configs=configs, fallback=FC.TreeConfig(3, 1.0, 1, 1), target="y"
+    )
+
+
+def test_stumps_by_aggregates_equal_the_grouped_learner(spark):
+    spec = stump_spec(one=FC.TreeConfig(3, 1.0, 1, 1), half=FC.TreeConfig(6, 0.5, 1, 1), wide=FC.TreeConfig(15, 1.0, 1, 1))
+    split = stump_series(spark)
+    fast = FC.fit_cells(split, spec, ["val", "eval", "prod"], list(spec.configs))
+    rows = FC.cells(split, spec, ["val", "eval", "prod"], list(spec.configs))
+    schema = "city string, config string, fold string, metric_date date, prediction double"
+    slow = rows.groupBy("city", "config", "fold").applyInPandas(FC._fit_group(spec), schema)
+    key = ["city", "config", "fold", "metric_date"]
+    got, want = ({tuple(r[:4]): r.prediction for r in df.select(*key, "prediction").collect()} for df in (fast, slow))
+    assert len(got) == 3 * 3 * (8 + 39 + 40) and got.keys() == want.keys()
+    for k in want:
+        assert got[k] == pytest.approx(want[k], abs=1e-9), k
+
+
+def test_a_cell_that_cannot_be_split_predicts_its_mean(spark):
+    spec = stump_spec(one=FC.TreeConfig(30, 1.0, 1, 1))
+    split = stump_series(spark, n_keys=1)
+    got = {r.prediction for r in FC.fit_cells(split, spec, ["val"], ["one"]).collect()}
+    mean = split.filter("split = 'train'").agg(F.avg("y")).first()[0]
+    assert len(got) == 1 and got.pop() == pytest.approx(mean)
+    few = split.filter("split <> 'train' OR metric_date < '2026-01-03'")
+    assert {r.prediction for r in FC.fit_cells(few, spec, ["val"], ["one"]).collect()} == {None}
+
+
+def test_a_label_cannot_move_the_features_of_its_own_or_earlier_rows(spark):
+    spec = stump_spec()
+    split = stump_series(spark, n_keys=2)
+    at = "2026-01-21"
+    moved = split.withColumn("y", F.when((F.col("metric_date") == at) & (F.col("city") == "k0"), F.col("y") + 1000).otherwise(F.col("y")))
+    before, after = ({(r.city, str(r.metric_date)): (r._key_mean, r._key_spread) for r in FC.key_encoding(df, spec).collect()} for df in (split, moved))
+    changed = {k for k in before if before[k] != after[k]}
+    assert changed and all(city == "k0" and day > at for city, day in changed)
+    assert before["k0", "2026-01-01"] == (None, None)
+
+
+def test_score_cards_describe_the_model(spark):
+    spec = stump_spec(one=FC.TreeConfig(3, 1.0, 1, 1))
+    split = stump_series(spark)
+    evaluation = FC.fit_eval_per_key(split, FC.fit_cells(split, spec, ["val", "eval"], ["one"]), spec)
+    row = FC.score_card(evaluation, "one", 1.0, spec, "2026-03-01 00:00:00").first()
+    assert row.params.asDict() == {"min_samples_leaf": 3, "learning_rate": 1.0, "max_depth": 1, "max_iter": 1}
+    assert row.features == ["a", "b", "c"] and row.train_val_samples == 28 and str(row.fitted_at) == "2026-03-01 00:00:00"

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.quality import QualityGateError
 from tidemark.plans.bronze import bronze_table
-from tidemark.plans import refresh
+from tidemark.plans import publish, refresh
 from tidemark.plans.refresh import META_SCHEMA, Lake, days_table, fact_table, last_report, maintain_lake, published_fact, refresh_lake
 from tidemark.plans.silver import AIR_QUALITY, WEATHER
 from tidemark.streaming.incremental import StreamPaths, incremental_refresh, silver_table
@@ -86,7 +86,8 @@ def test_small_batches_give_the_same_silver(spark, lake_root):
 
 def test_refresh_from_landing_to_snapshots(spark, lake_root):
     land_days(lake_root, dt.date(2026, 8, 1), 30)
-    assert refresh_lake(spark, lake_root, RUN) == {"weather": 1, "air_quality": 1}
+    mirror = lake_root + "-mirror"
+    assert refresh_lake(spark, lake_root, RUN, mirrors=[mirror]) == {"weather": 1, "air_quality": 1}
     fact = published(spark, lake_root)
     assert fact.count() == 60
     first = fact.orderBy("city", "metric_date").first()
@@ -102,7 +103,14 @@ def test_refresh_from_landing_to_snapshots(spark, lake_root):
     assert {x.layer: x.row_count for x in meta.layers}["silver_weather"] == 1440
     assert (meta.split.train, meta.split.val, meta.split.test) == (2 * 9, 2 * 8, 2 * 12)
     assert meta.cities_modelled == 2 and meta.winning_params.max_iter == 100 and meta.totals.silver == 2880
-    assert [(c[0], c[1]) for c in [("Delhi", "Delhi" in meta.cities)]] == [("Delhi", True)]
+    assert "Delhi" in meta.cities and len(meta.cities) == 8
+    cards = {r.city: r for r in shown.snapshot("cards").collect()}
+    assert cards.keys() == {"delhi", "pune"} and cards["delhi"].band == "Moderate / USG" and cards["delhi"].predicted_aqi is not None
+    assert shown.snapshot("series").filter("label = 'Tomorrow (Forecast)' AND avg_us_aqi IS NULL").count() == 2
+    assert shown.snapshot("pollutants").count() == 2 * 5
+    assert set(shown.snapshot("locked_summary").filter("kind = 'series'").first().params.asDict()) == {"min_samples_leaf", "learning_rate", "max_depth", "max_iter"}
+    other = publish.current(spark, mirror)
+    assert other.outputs == shown.outputs and other.snapshot("metrics").count() == 60
 
     # The next run takes the new days only and keeps the old ones.
     land_days(lake_root, dt.date(2026, 8, 31), 1)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import asdict, dataclass
 from functools import partial
@@ -29,7 +29,7 @@ from tidemark.operators.quality import (
 from tidemark.operators.rollup import monotone_counts
 from tidemark.operators.windows import reachable_rows
 from tidemark.plans import defaults as D
-from tidemark.plans import gold
+from tidemark.plans import display, gold
 from tidemark.plans.forecasting import ForecastResult, locked_summary, prepare, run_forecast
 from tidemark.plans.publish import Outputs, Publication, current, publish, together
 from tidemark.plans.silver import AIR_QUALITY, WEATHER, Stream
@@ -288,6 +288,7 @@ def _file_report(spark: SparkSession, lake: Lake, report: dict) -> None:
 
 def _outputs(spark: SparkSession, lake: Lake, fact: DataFrame, result: ForecastResult | None, split: DataFrame | None) -> Outputs:
     dim = gold.city_dimension(spark)
+    summary = gold.latest_city_summary(fact, dim)
     worst_first = [F.col("avg_us_aqi").desc_nulls_last(), "city"]
     rejects = quarantine_table(spark, lake.stream(WEATHER.name)).read()
     if "quarantine_reason" in rejects.columns:
@@ -299,10 +300,11 @@ def _outputs(spark: SparkSession, lake: Lake, fact: DataFrame, result: ForecastR
         {
             "cities": (dim, ["city"]),
             "metrics": (gold.daily_metrics_snapshot(fact), ["metric_date", "city"]),
-            "summary": (gold.latest_city_summary(fact, dim), worst_first),
+            "summary": (summary, worst_first),
             "rejects": (rejects, ["source_type", "quarantine_reason"]),
         },
     )
+    out.snapshots["pollutants"] = (display.pollutant_rows(summary), ["city", "name"])
     if result is not None:
         out.tables |= {
             "predictions": result.forecasts,
@@ -313,6 +315,8 @@ def _outputs(spark: SparkSession, lake: Lake, fact: DataFrame, result: ForecastR
         out.snapshots |= {
             "predictions": (result.forecasts, ["city"]),
             "locked_summary": (locked_summary(split, result.scores), ["kind", "name"]),
+            "cards": (display.city_cards(summary, result.forecasts), ["city"]),
+            "series": (display.city_series(fact, result.forecasts), ["city", "metric_date"]),
         }
     return out
 
@@ -327,6 +331,7 @@ def refresh_lake(
     backfill_days: int = 0,
     target_date: dt.date | None = None,
     fetch: Fetch | None = None,
+    mirrors: Sequence[str] = (),
 ) -> dict[str, int]:
     """Bring every layer up to date with the landed documents.
 
@@ -336,7 +341,8 @@ def refresh_lake(
     Only new documents are parsed, only their days are merged, checked and rolled up again, and only the rows of the
     fact that these days reach are rewritten. Nothing is published when a gate fails, and the days it refused are
     tried again by the next run. A run that finds nothing new fits and writes nothing, unless rows have been lost:
-    that is reported. Returns the batches taken per stream.
+    that is reported. ``mirrors`` are further folders that show the same outputs, each by a pointer of its own; the
+    lake's own pointer is switched last. Returns the batches taken per stream.
     """
     from tidemark.session import ensure_checkpoint_dir
 
@@ -385,7 +391,8 @@ def refresh_lake(
         report = run_report(spark, lake, run_ts, True, result, split)
         outputs = _outputs(spark, lake, fact, result, split)
         outputs.snapshots["run_meta"] = (spark.createDataFrame([report], META_SCHEMA), ["last_refresh_timestamp"])
-        publish(spark, lake.published, outputs, {"fact_version": version, "forecast_of": forecast_of, "run_ts": run_ts})
+        for place in (*mirrors, lake.published):
+            publish(spark, place, outputs, {"fact_version": version, "forecast_of": forecast_of, "run_ts": run_ts})
         _file_report(spark, lake, report)
         return batches
     except QualityGateError:
