@@ -221,7 +221,7 @@ def test_two_hundred_versions_are_read_with_one_listing(spark, lake_root, monkey
         if i % 20:  # most versions only need an index to be there
             table._commit(i, table._index(i - 1)[0], {"i": i})
         else:
-            table.upsert(spark.sql(f"SELECT {i % 3} AS k, DATE '{days[i % 10]}' AS day, {i} AS v"), note={"i": i})
+            table.upsert(spark.sql(f"SELECT {i % 3} AS k, DATE '{days[i // 20]}' AS day, {i} AS v"), note={"i": i})
     listed.clear()
     fresh = VersionedTable(spark, f"{lake_root}/many", schema, ["k", "day"], "day")
     before = sorted(map(str, fresh.read().collect()))
