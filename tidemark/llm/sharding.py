@@ -1,7 +1,7 @@
 """Shards of nearly equal bytes by sampled splitters.
 
-Every record has a 64-bit key: 40 bits of its text's hash, then 24 bits of its id's hash. Equal texts
-thus lie side by side, and a text with very many copies still has 2**24 places to be cut at.
+Every record has a 64-bit key: 40 bits of its text's hash, then 24 bits of a hash of its id and place in the table.
+Equal texts thus lie side by side, and a text with very many copies, also without ids, still has 2**24 places to be cut at.
 
 1. Keys are sampled in proportion to size: a record of s bytes is drawn s / step times, fractions by hash.
    The sorted sample's quantiles are the splitters of many more ranges than shards.
@@ -20,22 +20,24 @@ by side; extra columns are ignored here; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import stored
 
 SHARDS = 24
-#: Ranges per shard, samples per range, and rounds of subdivision.
-RANGES, SAMPLES, ROUNDS = 128, 12, 4
+#: Ranges per shard, and samples per range.
+RANGES, SAMPLES = 128, 12
 TEXT_BITS = 40
 
 
 def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, size, text_crc32, key) of every record."""
+    """(id, size, text_crc32, key) of every record. Store it before use: a key holds the row's place in its partition."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text.alias("text"))
-    place = F.shiftrightunsigned(F.xxhash64("id"), TEXT_BITS)
+    place = F.shiftrightunsigned(F.xxhash64("id", F.monotonically_increasing_id()), TEXT_BITS)
     return rows.select(
         "id",
         (F.octet_length("text") + 8).cast("long").alias("size"),
@@ -72,7 +74,7 @@ def splitters(records: DataFrame, ranges: int, total: int) -> list[int]:
     drawn = records.withColumn("draws", _draws(F.col("size"), goal / SAMPLES, 0)).filter("draws > 0")
     sample = sorted(k for k, d in drawn.select("key", "draws").toPandas().itertuples(index=False) for _ in range(d))
     cuts = sorted(set(sample[SAMPLES // 2 :: SAMPLES]))
-    for seed in range(1, ROUNDS + 1):
+    for seed in count(1):
         numbered = records.withColumn("range", range_of(F.col("key"), cuts))
         full = (
             numbered.groupBy("range")

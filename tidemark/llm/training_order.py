@@ -22,18 +22,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import BROADCAST_ROWS, parts, stored
-from tidemark.llm.tokens import mix
 from tidemark.session import scratch_path
 
 LENGTH = 512
 SHARD_BYTES = 8 << 20
 ROUNDS = 6
+WALKS = 64
 
 
 def end_mark(width: int) -> bytes:
@@ -49,21 +48,36 @@ def per_shard(length: int, width: int, shard_bytes: int) -> int:
     return max(1, shard_bytes // (length * width + 1))
 
 
-def permuted(index: np.ndarray, n: int, key: int) -> np.ndarray:
-    """A keyed permutation of 0 to ``n`` - 1: a Feistel network, repeated for values that leave the range."""
+def _signed(x: int) -> int:
+    return (x + (1 << 63)) % (1 << 64) - (1 << 63)
+
+
+def permuted(index: Column, n: int, key: int) -> Column:
+    """A keyed permutation of 0 to ``n`` - 1: a Feistel network, repeated for values that leave the range.
+
+    The domain is less than twice the range (four at least), so a value stays outside with a chance of under a half a
+    walk; one that has not come in after ``WALKS`` stops the job rather than taking another's slot.
+    """
     bits = max(2, (n - 1).bit_length())
     high, low = bits // 2, bits - bits // 2
-    out = np.asarray(index, np.int64).view(np.uint64).copy()
-    todo = np.arange(len(out))
-    while len(todo):
-        x = out[todo]
-        a, b, wa, wb = x >> np.uint64(low), x & np.uint64((1 << low) - 1), high, low
-        for r in range(ROUNDS):  # halves change roles, so unequal widths are fine after an even number
-            f = mix(b + mix(np.array([(key * 0x9E3779B97F4A7C15 + r) % (1 << 64)], np.uint64)))
-            a, b, wa, wb = b, (a ^ f) & np.uint64((1 << wa) - 1), wb, wa
-        out[todo] = a << np.uint64(low) | b
-        todo = todo[out[todo] >= n]
-    return out.view(np.int64)
+    rounds = [
+        F.struct(
+            F.lit(_signed((key * 0x9E3779B97F4A7C15 + r) % (1 << 64))).cast("long").alias("key"),
+            F.lit((1 << (low if r % 2 else high)) - 1).cast("long").alias("mask"),
+        )
+        for r in range(ROUNDS)  # halves change roles, so unequal widths are fine after an even number
+    ]
+
+    def network(x: Column) -> Column:
+        def turn(halves: Column, r: Column) -> Column:
+            mixed = halves["a"].bitwiseXOR(F.xxhash64(halves["b"], r["key"])).bitwiseAND(r["mask"])
+            return F.struct(halves["b"].alias("a"), mixed.alias("b"))
+
+        start = F.struct(F.shiftright(x, low).alias("a"), x.bitwiseAND((1 << low) - 1).alias("b"))
+        return F.aggregate(F.array(*rounds), start, turn, lambda halves: F.shiftleft(halves["a"], low).bitwiseOR(halves["b"]))
+
+    inside = F.aggregate(F.sequence(F.lit(1), F.lit(WALKS)), network(index.cast("long")), lambda x, _: F.when(x < n, x).otherwise(network(x)))
+    return F.coalesce(F.when(inside < n, inside), F.raise_error(F.lit("a slot did not come into its range")).cast("long"))
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str, ids_col: str | None, width: int) -> DataFrame:
@@ -98,19 +112,11 @@ def _each_copy(texts: DataFrame) -> DataFrame:
     return copy.withColumn("base", F.col("base") + F.col("copy") * F.col("n")).drop("copy", "copies")
 
 
-def _slot(n: int, key: int):
-    @F.pandas_udf("long")
-    def slot(index: pd.Series) -> pd.Series:
-        return pd.Series(permuted(index.to_numpy(np.int64), n, key))
-
-    return slot
-
-
 def manifest(texts: DataFrame, total: int, of_shard: int, key: int, length: int = LENGTH) -> DataFrame:
     """(slot, shard, doc_id, seq_no, n_tokens) of every sequence; no text is read."""
     first = F.lit(0).cast("long")
     each = _each_copy(texts).select("id", "n_tokens", "base", F.explode(F.sequence(first, F.col("n") - 1)).alias("seq_no"))
-    return each.withColumn("slot", _slot(total, key)(F.col("base") + F.col("seq_no"))).select(
+    return each.withColumn("slot", permuted(F.col("base") + F.col("seq_no"), total, key)).select(
         "slot",
         F.floor(F.col("slot") / of_shard).alias("shard"),
         F.col("id").alias("doc_id"),
@@ -145,7 +151,7 @@ def written(
     # the bytes are cut after the explode: a cut inside it would copy the text for every sequence
     each = joined.select("data", "base", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("j"))
     ids = F.substring("data", (F.col("j") * (length * width) + 1).cast("int"), F.lit(length * width))
-    slot = _slot(total, key)(F.col("base") + F.col("j"))
+    slot = permuted(F.col("base") + F.col("j"), total, key)
     placed = each.select(slot.alias("slot"), F.rpad(ids, length * width, F.lit(fill_mark(width))).cast("string").alias("value"))
     placed = placed.withColumn("shard", F.floor(F.col("slot") / of_shard))
     # slots are dense, so equal ranges need no sample; a range is whole shards
