@@ -110,10 +110,10 @@ def test_hot_day_is_upserted_into_several_files(spark):
     from tidemark.functions.schemas import struct_of
     from tidemark.sources.snapshots import VersionedTable
 
-    schema = struct_of({"k": "bigint", "day": "date", "v": "string"})
+    schema = struct_of({"k": "bigint", "day": "date", "x": "string"})
     table = VersionedTable(spark, scratch_path(spark, "hot"), schema, ["k", "day"], "day")
     rows = spark.range(20_000).select(
-        F.col("id").alias("k"), F.lit("2026-01-01").cast("date").alias("day"), F.sha2(F.col("id").cast("string"), 256).alias("v")
+        F.col("id").alias("k"), F.lit("2026-01-01").cast("date").alias("day"), F.sha2(F.col("id").cast("string"), 256).alias("x")
     ).repartition(8)
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200KB")
     try:

@@ -211,7 +211,7 @@ def test_two_hundred_versions_are_read_with_one_listing(spark, lake_root, monkey
     from tidemark.functions.schemas import struct_of
     from tidemark.sources import snapshots
 
-    schema = struct_of({"k": "int", "day": "date", "v": "int"})
+    schema = struct_of({"k": "int", "day": "date", "x": "int"})
     table = VersionedTable(spark, f"{lake_root}/many", schema, ["k", "day"], "day")
     days = [f"2026-01-{d:02d}" for d in range(1, 11)]
     listed = []
@@ -221,7 +221,7 @@ def test_two_hundred_versions_are_read_with_one_listing(spark, lake_root, monkey
         if i % 20:  # most versions only need an index to be there
             table._commit(i, table._index(i - 1)[0], {"i": i})
         else:
-            table.upsert(spark.sql(f"SELECT {i % 3} AS k, DATE '{days[i // 20]}' AS day, {i} AS v"), note={"i": i})
+            table.upsert(spark.sql(f"SELECT {i % 3} AS k, DATE '{days[i // 20]}' AS day, {i} AS x"), note={"i": i})
     listed.clear()
     fresh = VersionedTable(spark, f"{lake_root}/many", schema, ["k", "day"], "day")
     before = sorted(map(str, fresh.read().collect()))
@@ -234,24 +234,31 @@ def test_two_hundred_versions_are_read_with_one_listing(spark, lake_root, monkey
     assert sorted(map(str, fresh.read(45).collect())) == old and fresh.note() == {"i": 199}
     fresh.vacuum(keep=1)
     assert fresh.versions() == [200] and sorted(map(str, fresh.read().collect())) == before
-    assert fresh.upsert(spark.sql("SELECT 9 AS k, DATE '2026-02-01' AS day, 1 AS v")) == 201
+    assert fresh.upsert(spark.sql("SELECT 9 AS k, DATE '2026-02-01' AS day, 1 AS x")) == 201
 
 
 def test_odd_partition_values_keep_their_rows(spark, lake_root):
     from tidemark.functions.schemas import struct_of
 
-    table = VersionedTable(spark, f"{lake_root}/odd", struct_of({"k": "int", "p": "string", "v": "int"}), ["k", "p"], "p")
+    table = VersionedTable(spark, f"{lake_root}/odd", struct_of({"k": "int", "p": "string", "x": "int"}), ["k", "p"], "p")
     rows = [(1, "a b", 1), (1, "a/b:c", 2), (1, "50%", 3), (1, "x+y=z", 4), (1, None, 5), (1, "é", 6)]
-    table.upsert(spark.createDataFrame(rows, "k int, p string, v int"))
+    table.upsert(spark.createDataFrame(rows, "k int, p string, x int"))
     assert table.row_count() == 6
-    table.upsert(spark.createDataFrame([(k, p, v + 10) for k, p, v in rows if p], "k int, p string, v int"))
-    got = sorted((r.v, r.p) for r in table.read().collect() if r.p)
+    table.upsert(spark.createDataFrame([(k, p, v + 10) for k, p, v in rows if p], "k int, p string, x int"))
+    got = sorted((r.x, r.p) for r in table.read().collect() if r.p)
     assert got == sorted((v + 10, p) for _, p, v in rows if p)
     assert table.row_count() == table.read().count() == 6
     table.compact()
     assert table.read_partitions(["a/b:c", "50%"]).count() == 2
 
 
+def test_a_column_may_not_be_named_like_the_version_folders(spark, lake_root):
+    from tidemark.functions.schemas import struct_of
+
+    with pytest.raises(ValueError, match="named v"):
+        VersionedTable(spark, lake_root, struct_of({"k": "int", "day": "date", "v": "int"}), ["k", "day"], "day")
+
+
 def test_an_evolving_table_grows_and_refuses_other_types(spark):
     from tidemark.sources.tables import EvolvingTable, SchemaConflictError
 
