@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from tidemark.plans import gold
 from tidemark.session import scratch_path
-from tidemark.sources.raw import parse_json_column
+from tidemark.sources import raw
 
 RUN_TS = "2024-02-01 03:00:00"
 PROPS = T.StructType([T.StructField("k", T.IntegerType())])
@@ -20,7 +20,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = parse_json_column(table(spark, sf_dir, "events"), "props", PROPS, "parsed")
+    parsed = raw.parse_json_column(table(spark, sf_dir, "events"), "props", PROPS, "parsed")
     return parsed.selectExpr("* EXCEPT (parsed)", "parsed.k AS k")
 
 
@@ -154,9 +154,19 @@ def write_documents(docs: DataFrame, path: str) -> str:
     return path
 
 
+def write_packed(docs: DataFrame, path: str) -> str:
+    """One file per document in a folder per city below the stream's folder, packed as lines of a few files."""
+    city = F.when(F.col("city") != "", F.replace(F.url_encode("city"), F.lit("+"), F.lit("%20")))
+    folder = F.concat(F.lit(f"{path.rsplit('/', 1)[1]}/city="), F.coalesce(city, F.lit("__HIVE_DEFAULT_PARTITION__")))
+    name = F.concat(F.lit("/part-"), F.hex(F.xxhash64("payload")), F.lit(".txt"))
+    files = docs.select(F.concat(folder, name).alias("path"), F.concat("payload", F.lit("\n")).alias("payload"))
+    files.select(raw.packed().alias("value")).write.mode("append").text(path)
+    return path
+
+
 def write_lines(docs: DataFrame, path: str) -> str:
-    """Documents as lines of a few files."""
-    docs.select("payload").repartition(8, "payload").write.mode("append").text(path)
+    """Documents as lines of as many files as their aggregation has partitions."""
+    docs.select("payload").write.mode("append").text(path)
     return path
 
 

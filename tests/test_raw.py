@@ -9,10 +9,11 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from tidemark.plans.bronze import bronze_table, build_bronze, rejected_files, write_bronze
 from tidemark.plans.refresh import Lake, land_documents, wanted_files
 from tidemark.plans.silver import WEATHER
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, shared_root
 from tidemark.sources import raw
 from tidemark.sources.landing import LandedKeys, landing_first_write_wins, slice_range_payload
 from tidemark.streaming.incremental import StreamPaths, incremental_refresh, land_ranges, quarantine_table, range_documents
@@ -287,3 +288,37 @@ def test_times_without_a_day_are_refused_and_the_rest_lands(spark):
     cut, bad = range_documents(payloads, WEATHER, "2026-09-02")
     assert [(r.city, str(r.target_date)) for r in cut.collect()] == [("delhi", "2026-09-01")]
     assert {(r.path, r.reason) for r in bad.collect()} == {("p", "times without a day or city"), ("q", "times without a day or city")}
+
+
+def test_packed_files_read_like_files_apart(spark, root):
+    """Name, exact bytes and folder of a packed file are those of the file; a bare line is a document by itself."""
+    texts = {city: write(root, city, "a.json", document(["2026-09-22T00:00"], city=None, temperature_2m=[1.0])) for city in ("city=são paulo+", "delhi")}
+    names = {"city=são paulo+": "weather/city=s%C3%A3o%20paulo+/a.json", "delhi": "weather/delhi/a.json"}
+    folder = Path(root) / "packed" / "weather"
+    folder.mkdir(parents=True)
+    bare = json.dumps(document(["2026-09-22T01:00"], city="pune"))
+    (folder / "a.jsonl").write_text("\n".join([*[json.dumps({"path": names[c], "payload": t}) for c, t in texts.items()], "", bare]) + "\n")
+
+    def rows(path, glob, layout):
+        stamped = raw.stamp_lineage(raw.scan_raw_json(spark, path, raw.document_schema(M), glob, layout), RUN)
+        return sorted(map(tuple, stamped.select("city", "source_file", "payload_hash", "payload", "is_malformed").collect()))
+
+    apart = rows(f"{root}/weather", "*.json", "files")
+    together = rows(str(folder), "*.jsonl", "packed")
+    assert [r for r in together if r[0] != "pune"] == apart and len(apart) == 2
+    assert [r[3] for r in together if r[0] == "pune"] == [bare]
+
+
+@pytest.mark.parametrize("name", ["build_bronze"])
+def test_documents_of_many_users_lie_in_few_files(spark, root, name):
+    """The number of files that a query leaves does not follow the number of users."""
+    rows = spark.range(600).selectExpr(
+        "id AS event_id", "TIMESTAMP_NTZ '2024-01-05 00:00:00' + make_dt_interval(0, 0, CAST(id AS INT)) AS ts", "id % 300 AS user_id",
+        "'view' AS event_type", "CAST(id AS DOUBLE) AS value", "format_string('{\"k\": %d}', id % 100) AS props",
+    )
+    rows.write.parquet(f"{root}/events.parquet")
+    raw_folders = lambda: set(Path(shared_root(spark).removeprefix("file:")).glob("raw-*"))
+    before = raw_folders()
+    got = entry.queries()[name](spark, root).count()
+    assert got == {"build_bronze": 1200}.get(name, 300)
+    assert 0 < sum(1 for folder in raw_folders() - before for f in folder.rglob("*.txt")) < 60

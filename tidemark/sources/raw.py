@@ -122,17 +122,21 @@ def whole_files(reader, root: str, file_glob: str) -> DataFrame:
 ENVELOPE = struct_of({"city": "string", "target_date": "string", "payload": "string"})
 
 
+def _enveloped_lines(reader, root: str, file_glob: str, envelope: T.StructType) -> DataFrame:
+    """``(path, value, e)`` of every line that is not blank, ``e`` what the line holds of the envelope."""
+    lines = (
+        reader.format("text").option("recursiveFileLookup", "true").option("pathGlobFilter", file_glob).load(root)
+    ).filter(F.trim("value") != "")
+    return lines.select(F.col("_metadata.file_path").alias("path"), "value", F.from_json("value", envelope).alias("e"))
+
+
 def document_lines(reader, root: str, file_glob: str) -> DataFrame:
     """``(path, payload, city, target_date)`` of every line of the files below ``root``; works for batch and stream readers.
 
     A file holds any number of documents, so tasks split the input by bytes. A line is a document, or an envelope that
     holds one with its key; blank lines are none.
     """
-    lines = (
-        reader.format("text").option("recursiveFileLookup", "true").option("pathGlobFilter", file_glob).load(root)
-    ).filter(F.trim("value") != "")
-    envelope = F.from_json("value", ENVELOPE)
-    return lines.select(F.col("_metadata.file_path").alias("path"), "value", envelope.alias("e")).select(
+    return _enveloped_lines(reader, root, file_glob, ENVELOPE).select(
         "path", F.coalesce("e.payload", "value").alias("payload"), "e.city", F.col("e.target_date").try_cast("date").alias("target_date")
     )
 
@@ -142,6 +146,25 @@ def enveloped() -> Column:
     return F.to_json(F.struct("city", F.col("target_date").cast("string").alias("target_date"), "payload"))
 
 
+#: A file packed with others: its percent-escaped name from the stream's folder on, and its text as it came.
+PACKED = struct_of({"path": "string", "payload": "string"})
+
+
+def packed_files(reader, root: str, file_glob: str) -> DataFrame:
+    """``(path, payload)`` of whole files that were packed as lines of a few files; works for batch and stream readers.
+
+    Opening a file costs more than parsing the document in it, so many small ones are kept this way. A line that
+    holds no packed file is a document by itself.
+    """
+    lines = _enveloped_lines(reader, root, file_glob, PACKED)
+    return lines.select(F.coalesce("e.path", "path").alias("path"), F.coalesce("e.payload", "value").alias("payload"))
+
+
+def packed() -> Column:
+    """The line of a ``(path, payload)`` file, whatever line breaks the payload holds."""
+    return F.to_json(F.struct("path", "payload"))
+
+
 def file_day(path: str | Column) -> Column:
     """Day named by a file or its folder, if any."""
     c = F.col(path) if isinstance(path, str) else path
@@ -156,8 +179,8 @@ def keyed_files(reader, root: str, file_glob: str) -> DataFrame:
 def scan_raw_json(
     spark: SparkSession, root: str, schema: T.StructType, file_glob: str = "*.json", layout: str = "files"
 ) -> DataFrame:
-    """Every document below ``root``, parsed: one per file (``files``) or one per line (``lines``)."""
-    found = {"files": whole_files, "lines": document_lines}[layout](spark.read, root, file_glob)
+    """Every document below ``root``, parsed: one per file (``files``), per packed file (``packed``) or per line (``lines``)."""
+    found = {"files": whole_files, "packed": packed_files, "lines": document_lines}[layout](spark.read, root, file_glob)
     return parse_documents(found, schema)
 
 
