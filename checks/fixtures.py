@@ -141,19 +141,6 @@ def city_documents(spark: SparkSession, sf_dir: str, measures: dict[str, str] =
     return packed(spark, sf_dir, ["city"], measures).select("city", payload.alias("payload"))
 
 
-def write_documents(docs: DataFrame, path: str) -> str:
-    """One file per document in a folder per city."""
-    (
-        docs.select("city", "payload")
-        .repartition(8, "city")
-        .write.mode("append")
-        .option("maxRecordsPerFile", 1)
-        .partitionBy("city")
-        .text(path)
-    )
-    return path
-
-
 def write_packed(docs: DataFrame, path: str) -> str:
     """One file per document in a folder per city below the stream's folder, packed as lines of a few files."""
     city = F.when(F.col("city") != "", F.replace(F.url_encode("city"), F.lit("+"), F.lit("%20")))

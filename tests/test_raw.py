@@ -309,7 +309,7 @@ def test_packed_files_read_like_files_apart(spark, root):
     assert [r[3] for r in together if r[0] == "pune"] == [bare]
 
 
-@pytest.mark.parametrize("name", ["build_bronze", "stamp_lineage"])
+@pytest.mark.parametrize("name", ["build_bronze", "stamp_lineage", "default_key_from_path"])
 def test_documents_of_many_users_lie_in_few_files(spark, root, name):
     """The number of files that a query leaves does not follow the number of users."""
     rows = spark.range(600).selectExpr(
