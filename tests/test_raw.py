@@ -322,3 +322,23 @@ def test_documents_of_many_users_lie_in_few_files(spark, root, name):
     got = entry.queries()[name](spark, root).count()
     assert got == {"build_bronze": 1200}.get(name, 300)
     assert 0 < sum(1 for folder in raw_folders() - before for f in folder.rglob("*.txt")) < 60
+
+
+def test_a_document_is_parsed_once(spark, root):
+    """A filter on the outcome is not pushed below the parser, where it would parse again."""
+    write(root, "delhi", "a.json", document(["2026-09-22T00:00"]))
+    lines = raw.document_lines(spark.read, f"{root}/weather", "*.json")
+    good, rejects = raw.tolerate_malformed(raw.parse_documents(lines, raw.document_schema(M)))
+    for part in (good, rejects):
+        plan = part._jdf.queryExecution().optimizedPlan().toString()
+        assert "is_malformed" in plan and plan.count("from_json(") == 2  # the envelope and the document
+
+
+def test_rejects_keep_the_city_they_landed_with(spark, root):
+    folder = Path(root) / "weather"
+    folder.mkdir(parents=True)
+    lines = [json.dumps({"city": c, "target_date": "2026-09-22", "payload": "broken {"}) for c in ("delhi", "pune")]
+    (folder / "part-0.txt").write_text("\n".join(lines) + "\n")
+    found = raw.document_lines(spark.read, str(folder), "part-*")
+    _, rejects = raw.tolerate_malformed(raw.parse_documents(found, raw.document_schema(M)))
+    assert sorted((r.city, r.payload_hash) for r in rejects.collect()) == [(c, hashlib.sha256(b"broken {").hexdigest()) for c in ("delhi", "pune")]

@@ -88,18 +88,25 @@ def parse_documents(files: DataFrame, schema: T.StructType) -> DataFrame:
     stops after the first value, so the payload is read as the only field of an
     object, which shows most tails, and counted as the only item of an array,
     which shows one that begins with a closing brace.
+
+    Both columns come out of a generator: a filter on one would otherwise be pushed below and parse the text again
+    for each mention of it.
     """
     only = T.StructType([T.StructField("x", schema), T.StructField(CORRUPT, T.StringType())])
     whole = F.concat(F.lit('{"x":'), F.col("payload"), F.lit("}"))
-    parsed = files.withColumn("_whole", F.from_json(whole, only, {"columnNameOfCorruptRecord": CORRUPT}))
     items = F.json_array_length(F.concat(F.lit("["), F.col("payload"), F.lit("]")))
-    bad = (
-        F.col("_whole.x").isNull()
-        | F.col(f"_whole.{CORRUPT}").isNotNull()
-        | ~F.startswith(F.ltrim(F.col("payload")), F.lit("{"))
-        | (F.coalesce(items, F.lit(0)) != 1)
-    )
-    return parsed.withColumns({"doc": F.col("_whole.x"), "is_malformed": F.coalesce(bad, F.lit(True))}).drop("_whole")
+
+    def judged(parsed: Column) -> Column:
+        bad = (
+            parsed["x"].isNull()
+            | parsed[CORRUPT].isNotNull()
+            | ~F.startswith(F.ltrim(F.col("payload")), F.lit("{"))
+            | (F.coalesce(items, F.lit(0)) != 1)
+        )
+        return F.struct(parsed["x"].alias("doc"), F.coalesce(bad, F.lit(True)).alias("is_malformed"))
+
+    parsed = F.array(F.from_json(whole, only, {"columnNameOfCorruptRecord": CORRUPT}))
+    return files.select(*files.columns, F.inline(F.transform(parsed, judged)))
 
 
 def whole_files(reader, root: str, file_glob: str) -> DataFrame:
@@ -123,11 +130,12 @@ ENVELOPE = struct_of({"city": "string", "target_date": "string", "payload": "str
 
 
 def _enveloped_lines(reader, root: str, file_glob: str, envelope: T.StructType) -> DataFrame:
-    """``(path, value, e)`` of every line that is not blank, ``e`` what the line holds of the envelope."""
+    """``(path, value, e)`` of every line that is not blank, ``e`` what the line holds of the envelope, parsed once."""
     lines = (
         reader.format("text").option("recursiveFileLookup", "true").option("pathGlobFilter", file_glob).load(root)
     ).filter(F.trim("value") != "")
-    return lines.select(F.col("_metadata.file_path").alias("path"), "value", F.from_json("value", envelope).alias("e"))
+    named = lines.select(F.col("_metadata.file_path").alias("path"), "value")
+    return named.select("path", "value", F.explode(F.array(F.from_json("value", envelope))).alias("e"))
 
 
 def document_lines(reader, root: str, file_glob: str) -> DataFrame:
@@ -185,9 +193,10 @@ def scan_raw_json(
 
 
 def tolerate_malformed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good documents, rejected paths)."""
+    """(good documents, rejected paths with the city that they landed with, if any)."""
     good = docs.filter(~F.col("is_malformed")).drop("is_malformed")
-    rejects = docs.filter("is_malformed").select("path", payload_checksum("payload").alias("payload_hash"))
+    landed_with = [c for c in ("city",) if c in docs.columns]
+    rejects = docs.filter("is_malformed").select("path", payload_checksum("payload").alias("payload_hash"), *landed_with)
     return good, rejects
 
 
