@@ -21,6 +21,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from heapq import heappop, heappush
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -110,9 +111,19 @@ class Encoder:
             return [whole]
         end = list(range(1, n + 1))  # end of the token that begins here
         before = list(range(-1, n - 1))
-        waiting: list[int | None] = [None] * n  # rank under which the pair that begins here waits
+        # rank under which the pair that begins here waits
+        waiting: list[int | None] = [get(data[i : i + 2]) for i in range(n - 1)] + [None]
         top, pages, buckets = 0, {}, {}
-        pending = [i for i in range(n - 1)]
+        for i, rank in enumerate(waiting):  # ascending, so every bucket stays a heap
+            if rank is not None:
+                if rank in buckets:
+                    buckets[rank].append(i)
+                else:
+                    buckets[rank] = [i]
+                    page = rank >> PAGE
+                    pages[page] = pages.get(page, 0) | 1 << (rank & MASK)
+                    top |= 1 << page
+        pending = ()
         while True:
             for i in pending:
                 rank = waiting[i]
@@ -168,7 +179,8 @@ class Encoder:
             if ids is None:
                 ids = older.get(p)
                 if ids is None:
-                    ids = np.array(self.merge(p.encode()), "<u4").tobytes()
+                    merged = self.merge(p.encode())
+                    ids = pack(f"<{len(merged)}I", *merged)
                 if len(p) <= KEPT_BYTES:
                     if len(known) >= KEPT // 2:
                         older, known = known, {}
