@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import forecast as FC
-from tidemark.operators.boosting import boosted_predictions
+from tidemark.operators.boosting import boosted_cells, boosted_predictions
 from tidemark.plans import defaults as D
 from tidemark.plans.forecasting import run_forecast
 
@@ -142,6 +142,42 @@ def test_rows_to_score_do_not_change_the_fit():
     assert np.allclose(alone, beside[:40]) and np.isfinite(beside).all()
 
 
+def test_cells_fitted_together_are_those_fitted_alone():
+    rng = np.random.default_rng(7)
+    kinds = [(3, 0.05, 3, 30), (2, 0.05, None, 30), (20, 0.1, None, 30), (1, 1.0, 2, 3)]
+    cells = []
+    for i, n in enumerate([1, 2, 3, 9, 26, 26, 27, 40, 90, 300, 26, 14]):
+        x, y, train = rng.normal(size=(n, 4)).round(1), rng.normal(size=n).round(1), rng.random(n) < 0.8
+        x[rng.random(x.shape) < 0.1 * (i % 3)] = np.nan
+        y = np.where(train, 2.0 if i == 4 else y, np.nan)
+        if i == 10:
+            x[3, 1] = np.inf
+        cells += [(x, y, train, kind) for kind in kinds]
+    begin = np.cumsum([0] + [len(c[1]) for c in cells[:-1]])
+    x, y, train = (np.concatenate([c[i] for c in cells]) for i in range(3))
+    together = boosted_cells(x, y, train, begin, [c[3] for c in cells])
+    for at, (x, y, train, (leaf, rate, depth, rounds)) in zip(begin, cells):
+        alone = boosted_predictions(x, y, train, rate, leaf, depth, rounds) if train.sum() >= 3 else np.full(len(y), np.nan)
+        assert np.array_equal(together[at : at + len(y)], alone, equal_nan=True)
+
+
+def test_cells_go_on_from_batch_to_batch(spark):
+    split = FC.split_frame(FC.feature_frame(series(spark, {"a": 40, "b": 30, "ccc": 4}), SPEC), SPEC).checkpoint()
+
+    def fitted(size):
+        with_size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            return sorted(map(tuple, FC.fit_cells(split, SPEC, ["val", "eval", "prod"], ["deep", "flat"]).collect()))
+        finally:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", with_size)
+
+    found = fitted("7")
+    assert found == fitted("10000") and len({row[:4] for row in found}) == len(found)
+    plan = FC.fit_cells(split, SPEC, ["val"], ["deep"])._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan and "FlatMapGroups" not in plan  # no call of Python per cell
+
+
 def test_whole_forecast_plan(spark):
     from checks import fixtures as fx
 
