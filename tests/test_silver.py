@@ -272,3 +272,21 @@ def test_an_evolving_table_grows_and_refuses_other_types(spark):
     with pytest.raises(SchemaConflictError, match="b is double, not string"):
         table.append(spark.createDataFrame([("no",)], "b string"), "z-0")
     assert len(table.read().collect()) == 2 and table.schema().fieldNames() == ["a", "b", "c"]
+
+
+def test_rows_of_new_days_are_not_ranked_again(spark, lake_root, monkeypatch):
+    from tidemark.sources import snapshots
+
+    merges = []
+    monkeypatch.setattr(snapshots, "keyed_upsert", lambda *a: merges.append(1) or keyed_upsert(*a))
+    order = ("datetime_utc", "source_file")
+    table = VersionedTable(spark, f"{lake_root}/silver", WEATHER.silver_schema, D.SILVER_KEYS, "date", order)
+    table.upsert(hours(spark, 30.0), is_unique=True)
+    later = hours(spark, 20.0).withColumn("date", F.date_add("date", 1))
+    table.upsert(later, is_unique=True)
+    assert not merges and table.read().count() == 48
+    table.upsert(later.withColumn("source_file", F.lit("g.json")), is_unique=True)
+    assert merges and table.read().count() == 48
+    assert table.read().filter("source_file = 'g.json'").count() == 24
+    table.upsert(hours(spark, 1.0, "pune", 1).withColumn("date", F.date_add("date", 9)).union(hours(spark, 1.0, "pune", 1).withColumn("date", F.date_add("date", 9))))
+    assert table.read().filter("city = 'pune'").count() == 1  # rows not said to be unique are ranked
