@@ -16,6 +16,7 @@ from tidemark.plans.silver import WEATHER
 from tidemark.session import scratch_path, shared_root
 from tidemark.sources import raw
 from tidemark.sources.landing import LandedKeys, landing_first_write_wins, slice_range_payload
+from tidemark.sources.tables import staged
 from tidemark.streaming.incremental import StreamPaths, incremental_refresh, land_ranges, quarantine_table, range_documents
 
 RUN = "2026-09-23 03:00:00"
@@ -342,3 +343,21 @@ def test_rejects_keep_the_city_they_landed_with(spark, root):
     found = raw.document_lines(spark.read, str(folder), "part-*")
     _, rejects = raw.tolerate_malformed(raw.parse_documents(found, raw.document_schema(M)))
     assert sorted((r.city, r.payload_hash) for r in rejects.collect()) == [(c, hashlib.sha256(b"broken {").hexdigest()) for c in ("delhi", "pune")]
+
+
+def test_new_documents_are_stored_once_on_their_way(spark, root, monkeypatch):
+    from tidemark.streaming import incremental
+
+    names = []
+    monkeypatch.setattr(incremental, "staged", lambda df, name: names.append(name) or staged(df, name))
+    paths = Lake(root).stream("weather")
+    new = [(c, "2026-09-22", json.dumps(document(["2026-09-22T00:00"], c, temperature_2m=[1.0]))) for c in ("delhi", "pune")]
+    docs = spark.createDataFrame([*new, new[0], ("goa", "2026-09-22", "broken")], "city string, target_date string, payload string")
+    incremental.land(docs, paths)
+    incremental_refresh(spark, paths, WEATHER, RUN, "part-*")
+    assert names == ["landing"]
+    assert bronze_table(spark, paths.bronze, WEATHER).count() == 2 and rejected_files(spark, paths.bronze, WEATHER).count() == 1
+    incremental.land(docs, paths)  # known ones of the same day land nothing
+    assert names == ["landing", "landing", "fresh"]
+    assert incremental_refresh(spark, paths, WEATHER, RUN, "part-*") == 0
+    assert LandedKeys(spark, paths.landed_keys).read().count() == 3
