@@ -88,6 +88,31 @@ def test_jaccard_large_group_of_near_copies(spark, monkeypatch):
     assert got == linked(texts)
 
 
+def meet(spark, rows):
+    """Pairs that come out at once, and pairs that share a long run."""
+    sketch = spark.createDataFrame(rows, "lane long, fp long, n int").repartition(1).sortWithinPartitions("lane", "fp")
+    found, runs = jaccard.meetings(sketch).collect(), {}
+    for r in found:
+        if r["b"] is None:
+            runs.setdefault(r["lane"], set()).add(r["a"])
+    return {(r["a"], r["b"]) for r in found if r["b"] is not None}, {(x, y) for m in runs.values() for x in m for y in m if x < y}
+
+
+def test_entries_of_sizes_that_rule_a_link_out_are_no_long_run(spark):
+    spread = [(1, i, round(10 * 1.2**i)) for i in range(60)]  # only neighbours may be linked
+    pairs, together = meet(spark, spread)
+    assert not together
+    assert pairs == {(i, j) for _, i, x in spread for _, j, y in spread if i < j and 100 * x >= 75 * y}
+
+
+def test_every_pair_that_may_be_linked_meets(spark):
+    rng = random.Random(3)
+    rows = [(lane, fp, rng.choice([1, 1, -1]) * round(rng.choice([20, 50, 51, 400]) * 1.5 ** rng.random())) for lane in range(-4, 4) for fp in rng.sample(range(500), 60)]
+    pairs, together = meet(spark, rows + rows[:40])
+    may = {(min(i, j), max(i, j)) for a, i, x in rows for b, j, y in rows if a == b and i != j and (x > 0 or y > 0) and 100 * min(abs(x), abs(y)) >= 75 * max(abs(x), abs(y))}
+    assert may <= pairs | together and pairs <= may and pairs and together
+
+
 def test_parity_distance_is_a_lower_bound():
     rng = np.random.default_rng(1)
     for _ in range(50):
