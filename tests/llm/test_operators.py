@@ -324,6 +324,16 @@ def test_training_order_is_a_permutation(spark):
         assert n < 64 or one != two and abs(np.corrcoef(one, range(n))[0, 1]) < 0.4
 
 
+def test_sequences_are_compressed_on_their_way_to_the_shards(spark):
+    rows = [(s, (f"{s % 7} words that come again " * 30).encode()[:512]) for s in random.Random(2).sample(range(4000), 3000)]
+    placed = spark.createDataFrame(rows, "slot long, value binary").repartition(3)
+    moved = training_order.packed(placed, 512, 100, 40, 8)
+    found = moved.collect()
+    assert all({s // 100 * 8 // 40 for s in np.frombuffer(r["slots"], np.int64).tolist()} == {r["range"]} for r in found)
+    assert sum(len(r["packed"]) + len(r["slots"]) for r in found) < 3000 * 512 / 4
+    assert sorted((r["slot"], bytes(r["value"])) for r in training_order.unpacked(moved.select("slots", "packed"), 512).collect()) == sorted(rows)
+
+
 def test_training_order_round_trip(spark, docs, texts, none, odd, monkeypatch):
     from tidemark.session import scratch_path
 

@@ -9,7 +9,7 @@ Every sequence has an index without gaps: texts are dealt to buckets by hash, an
 the sum of earlier buckets numbers them; only ids and counts are shuffled for that. Rows that are equal in id and text
 are told apart by their ordinal, so each has sequences of its own. A keyed Feistel network over the smallest domain of
 whole bits that holds the indexes, walked until it falls inside, permutes them: the slot. Another key is another epoch.
-Sequences are range-partitioned by slot and written in order, one row per sequence and a line feed after it, by Spark's
+Sequences are range-partitioned by slot, those of a task and a range compressed together on the way, and written in order, one row per sequence and a line feed after it, by Spark's
 text writer and its committer, below a folder per shard. Slot s is row s mod per shard of shard s div per shard, and a
 reader begins at any slot: shards before it are not read, rows before it in its shard are skipped by their offset.
 
@@ -33,6 +33,8 @@ LENGTH = 512
 SHARD_BYTES = 8 << 20
 ROUNDS = 6
 WALKS = 64
+#: Bytes of sequences that a task packs at once on their way to the shards.
+PACK_BYTES = 8 << 20
 
 
 def end_mark(width: int) -> bytes:
@@ -125,6 +127,57 @@ def manifest(texts: DataFrame, total: int, of_shard: int, key: int, length: int
     )
 
 
+def packed(placed: DataFrame, stride: int, of_shard: int, shards: int, tasks: int) -> DataFrame:
+    """(range, slots, packed): the sequences (slot, value) of a task, those of one range compressed together."""
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec, held, size = pa.Codec("zstd", compression_level=3), [], 0
+
+        def flush() -> pa.RecordBatch:
+            slot = np.concatenate([x.column(0).to_numpy() for x in held])
+            where = np.minimum(slot // of_shard * tasks // shards, tasks - 1)
+            order = np.argsort(where, kind="stable")
+            where, slot = where[order], slot[order]
+            value = pa.concat_arrays([x.column(1) for x in held]).cast(pa.binary(stride)).take(pa.array(order))
+            data = value.buffers()[1]
+            begin = np.flatnonzero(np.concatenate([[True], where[1:] != where[:-1]]))
+            cuts = list(zip(begin.tolist(), [*begin[1:].tolist(), len(where)]))
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(where[begin].astype(np.int32)),
+                    pa.array([slot[x:y].tobytes() for x, y in cuts], pa.binary()),
+                    pa.array([codec.compress(data.slice(x * stride, (y - x) * stride), asbytes=True) for x, y in cuts], pa.binary()),
+                ],
+                ["range", "slots", "packed"],
+            )
+
+        for batch in stream:
+            if batch.num_rows:
+                held.append(batch)
+                size += batch.num_rows * stride
+            if size >= PACK_BYTES:
+                yield flush()
+                held, size = [], 0
+        if held:
+            yield flush()
+
+    return placed.mapInArrow(run, "range int, slots binary, packed binary")
+
+
+def unpacked(moved: DataFrame, stride: int) -> DataFrame:
+    """The sequences (slot, value) of ``packed``."""
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd")
+        for batch in stream:
+            for slots, content in zip(batch.column(0), batch.column(1)):
+                slot = np.frombuffer(slots.as_buffer(), np.int64)
+                value = pa.Array.from_buffers(pa.binary(stride), len(slot), [None, codec.decompress(content.as_buffer(), len(slot) * stride)])
+                yield pa.RecordBatch.from_arrays([pa.array(slot), value.cast(pa.binary())], ["slot", "value"])
+
+    return moved.mapInArrow(run, "slot long, value binary")
+
+
 def written(
     docs: DataFrame,
     path: str,
@@ -152,13 +205,13 @@ def written(
     each = joined.select("data", "base", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("j"))
     ids = F.substring("data", (F.col("j") * (length * width) + 1).cast("int"), F.lit(length * width))
     slot = permuted(F.col("base") + F.col("j"), total, key)
-    placed = each.select(slot.alias("slot"), F.rpad(ids, length * width, F.lit(fill_mark(width))).cast("string").alias("value"))
-    placed = placed.withColumn("shard", F.floor(F.col("slot") / of_shard))
+    placed = each.select(slot.alias("slot"), F.rpad(ids, length * width, F.lit(fill_mark(width))).alias("value"))
     # slots are dense, so equal ranges need no sample; a range is whole shards
     shards = max(1, -(-total // of_shard))
     tasks = min(shards, max(parts(spark), -(-shards // 16)))
-    at = F.least(F.floor(F.col("shard") * tasks / shards), F.lit(tasks - 1)).cast("int")
-    placed.repartitionById(tasks, at).sortWithinPartitions("shard", "slot").select("shard", "value").write.partitionBy("shard").text(path)
+    moved = packed(placed, length * width, of_shard, shards, tasks).repartitionById(tasks, "range").select("slots", "packed")
+    rows = unpacked(moved, length * width).select(F.floor(F.col("slot") / of_shard).alias("shard"), "slot", F.col("value").cast("string").alias("value"))
+    rows.sortWithinPartitions("shard", "slot").select("shard", "value").write.partitionBy("shard").text(path)
     return manifest(texts, total, of_shard, key, length)
 
 
