@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -257,6 +258,42 @@ def test_kernel_is_evaluated_wherever_it_is_not_zero():
     assert got[0, 0] > 0.1 and (got[1:3, 1] > 0.1).all()
 
 
+def test_kernel_is_evaluated_for_common_subsequences_only(monkeypatch):
+    def common(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last = 0
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], last + 1 if x == y else max(row[j], row[j - 1])
+        return row[-1]
+
+    rng, marks = random.Random(23), [b"idiot", b"stupid", b"aabbcc", "réeux".encode(), b"abc", b"x" * toxicity.WORD]
+    words = [b"toidi", b"dcba", b"idxiot", b"abc", b"x" * toxicity.WORD, b"\x00\x00\x00\x00"]
+    words += [bytes(rng.choice(b"abcidostupx\0") for _ in range(rng.randrange(1, toxicity.WORD + 1))) for _ in range(300)]
+    own, (chars, size) = toxicity.self_kernel(marks), toxicity._padded(words)
+    asked, pairs = [], toxicity._pairs
+    monkeypatch.setattr(toxicity, "_pairs", lambda x, *rest: asked.append(len(x)) or pairs(x, *rest))
+    got = toxicity.kernel(chars, size, marks, own)
+    near = np.array([[common(w, m) >= toxicity.ORDER for m in marks] for w in words])
+    assert ((got > 0) == near).all()
+    assert asked[0] == near.sum()
+
+
+def test_longest_sentences_and_words_of_many_pieces_score_alike(monkeypatch):
+    """Sentences are gathered in parts; a sentence of more words than a part is one sentence still."""
+    rng, marks = random.Random(29), [b"idiot", b"stupid"]
+    some = ["idiot", "stupidly", "idxiot", "calm", "i d i o t", "st.upid"]
+    texts = [". ".join(" ".join(rng.choice(some) for _ in range(rng.randrange(30))) for _ in range(rng.randrange(4))) for _ in range(60)]
+    column = pa.array([toxicity.clean(t) for t in texts], pa.binary())
+    found = []
+    for size in (1, 5, 1 << 12):
+        monkeypatch.setattr(toxicity, "GATHERED", size)
+        found.append(toxicity.Sentences(marks).features(column, 0, len(texts)))
+    for of, rows in found[:2]:
+        assert (of == found[2][0]).all() and (rows == found[2][1]).all()
+    assert len(found[2][0])
+
+
 def test_decontamination(spark, docs, none):
     rng = random.Random(8)
     items = {i: " ".join(f"b{rng.randrange(10**5)}" for _ in range(15 + 20 * i)) for i in range(8)}

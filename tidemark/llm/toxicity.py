@@ -3,7 +3,7 @@
 The kernel counts common subsequences of ``ORDER`` characters, each weighted by DECAY to the length it
 spans in both strings, and is normalised: "idiot", "id-iot" and "idxiot" are near to each other, since
 gaps and inserted characters only lower the weights. Its fourth power is used beside it. It is
-evaluated for every word and landmark with ``ORDER`` characters in common; all other pairs have no common subsequence.
+evaluated for every word and landmark with a common subsequence of ``ORDER`` characters; for all other pairs it is 0.
 
 *Learning.* A bounded sample of labelled texts (``SAMPLE_ROWS`` rows, the smallest hashes of their ids)
 goes to the driver. Landmarks are the words whose presence speaks most clearly for the toxic label.
@@ -36,14 +36,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import tokens
+from tidemark.llm.common import rows_and_text
 
 #: Bound of the labelled sample that the model is fitted on.
 SAMPLE_ROWS = 4000
 ORDER, DECAY, WORD = 4, 0.9, 24
 #: Bytes of text whose words are evaluated together.
-BYTES = 1 << 19
+BYTES = 1 << 18
+#: Words of sentences whose kernel values are gathered together.
+GATHERED = 4096
 #: Words of a generation whose kernel values are kept.
-KEPT = 100_000
+KEPT = 25_000
+#: Pairs of words whose kernel is evaluated together, so that its arrays stay in the processor's cache.
+PAIRS = 1024
 #: The fourth power of the kernel is a kernel too; it tells a landmark from words that merely resemble it.
 POWER = 4
 LANDMARKS, EVIDENCE = 120, 6.0
@@ -72,32 +77,29 @@ def _padded(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def raw_kernel(x: np.ndarray, x_size: np.ndarray, y: np.ndarray, y_size: np.ndarray) -> np.ndarray:
-    """Gap-weighted common subsequences of ORDER characters of each pair of padded words."""
-    n = len(x)
+    """Gap-weighted common subsequences of ORDER characters of each pair of padded words.
+
+    The k-th character of a subsequence has k before it and ORDER - 1 - k after it, so each step has the same
+    number of rows and columns, one further on.
+    """
     wide, high = int(x_size.max()), int(y_size.max())
+    rows, columns = high - ORDER + 1, wide - ORDER + 1
+    if rows < 1 or columns < 1:
+        return np.zeros(len(x))
     first, second = np.ascontiguousarray(x[:, :wide].T), np.ascontiguousarray(y[:, :high].T)
-    inside = np.arange(wide)[:, None] < x_size
-    hits = [(first == second[j]) & inside & (j < y_size) for j in range(high)]
+    hits = first == second[:, None]
+    hits &= np.arange(wide)[:, None] < x_size
+    hits &= np.arange(high)[:, None, None] < y_size
     decay = np.float32(DECAY)
-    prefix = np.ones((high, wide, n), np.float32)  # weight of what is matched before (j, i)
-    for step in range(ORDER):
-        for j in range(high):
-            prefix[j] *= hits[j]
-            prefix[j] *= decay * decay
-        ended = prefix
-        if step == ORDER - 1:
-            return ended.sum((0, 1), dtype=np.float64)
-        prefix = np.zeros((high, wide, n), np.float32)
-        row = np.zeros((wide, n), np.float32)
-        for j in range(1, high):  # over all j' < j and i' < i, each gap lowering the weight
-            row *= decay
-            carry = np.zeros(n, np.float32)
-            for i in range(1, wide):
-                carry *= decay
-                carry += ended[j - 1, i - 1]
-                row[i] += carry
-            prefix[j] = row
-    raise AssertionError
+    weight = hits * (decay * decay)
+    ended = weight[:rows, :columns].copy()  # weight of what is matched up to (j, i)
+    for step in range(1, ORDER):
+        for i in range(1, columns):  # over all earlier j and i, each gap lowering the weight
+            ended[:, i] += ended[:, i - 1] * decay
+        for j in range(1, rows):
+            ended[j] += ended[j - 1] * decay
+        ended *= weight[step : step + rows, step : step + columns]
+    return ended.sum((0, 1), dtype=np.float64)
 
 
 def _pairs(x: np.ndarray, x_size: np.ndarray, y: np.ndarray, y_size: np.ndarray) -> np.ndarray:
@@ -107,26 +109,28 @@ def _pairs(x: np.ndarray, x_size: np.ndarray, y: np.ndarray, y_size: np.ndarray)
     for low, high in steps:
         for less, more in steps:
             part = np.flatnonzero((x_size > low) & (x_size <= high) & (y_size > less) & (y_size <= more))
-            for at in range(0, len(part), 8192):
-                some = part[at : at + 8192]
+            for at in range(0, len(part), PAIRS):
+                some = part[at : at + PAIRS]
                 out[some] = raw_kernel(x[some], x_size[some], y[some], y_size[some])
     return out
 
 
 def _common(chars: np.ndarray, size: np.ndarray, to: np.ndarray, to_size: np.ndarray) -> np.ndarray:
-    """(word, landmark): whether they have ORDER characters in common; without, no common subsequence has ORDER."""
+    """(word, landmark): whether their longest common subsequence has ORDER characters, by words of WORD bits."""
     alphabet, place = np.unique(np.concatenate([row[:n] for row, n in zip(to, to_size)])), np.zeros(256, np.int64)
     place[alphabet] = np.arange(len(alphabet)) + 1
-    wide = len(alphabet) + 1
-
-    def counts(x: np.ndarray, n: np.ndarray) -> np.ndarray:
-        at = (np.arange(len(x))[:, None] * wide + np.where(np.arange(WORD) < n[:, None], place[x], 0)).ravel()
-        out = np.bincount(at, minlength=len(x) * wide).reshape(len(x), wide).astype(np.uint8)
-        out[:, 0] = 0
-        return out
-
-    own, other = counts(chars, size), counts(to, to_size)
-    return np.stack([np.minimum(own[:, row > 0], row[row > 0]).sum(1) >= ORDER for row in other], 1)
+    at = np.zeros((len(alphabet) + 1, len(chars)), np.uint32)  # per character: the places where a word has it
+    every = np.arange(len(chars))
+    for i in range(min(int(size.max()), WORD)):
+        at[np.where(i < size, place[chars[:, i]], 0), every] |= np.uint32(1 << i)
+    out = np.zeros((len(chars), len(to)), bool)
+    for m, (row, n) in enumerate(zip(to, to_size)):
+        free = np.full(len(chars), 0xFFFFFFFF, np.uint32)  # a bit turns 0 where the subsequence grows
+        for c in place[row[:n]].tolist():
+            hit = free & at[c]
+            free = (free + hit) | (free - hit)
+        out[:, m] = np.bitwise_count(free) <= 32 - ORDER
+    return out
 
 
 def self_kernel(words: list[bytes]) -> np.ndarray:
@@ -135,7 +139,7 @@ def self_kernel(words: list[bytes]) -> np.ndarray:
 
 
 def kernel(chars: np.ndarray, size: np.ndarray, landmarks: list[bytes], own: np.ndarray) -> np.ndarray:
-    """Normalised kernel of padded words with each landmark; it is 0 where fewer than ORDER characters are common."""
+    """Normalised kernel of padded words with each landmark; it is 0 where no subsequence of ORDER characters is common."""
     out = np.zeros((len(chars), len(landmarks)), np.float32)
     if not len(chars):
         return out
@@ -224,9 +228,9 @@ class Sentences:
         distinct, pick, back = np.unique(w.hashes, return_index=True, return_inverse=True)
         values = self._known(distinct, pick, w)
         on = np.flatnonzero(values.any(1)[back])
-        line = np.cumsum(w.data == 10)
+        line = np.cumsum(w.data == 10, dtype=np.int32)
         text = np.repeat(np.arange(to - at), np.diff(w.first))
-        texts, lines, rows = [text[on]], [line[w.begin[on]]], [values[back[on]]]
+        texts, lines, rows, spelled = [text[on]], [line[w.begin[on]]], [back[on]], [values]
         single = (w.end - w.begin == 1).astype(np.int8)
         edges = np.flatnonzero(np.diff(np.concatenate([[0], single, [0]])))
         for a, b in zip(edges[::2].tolist(), edges[1::2].tolist()):
@@ -235,15 +239,30 @@ class Sentences:
                     if len(own) >= ORDER:
                         texts.append(text[own[:1]])
                         lines.append(line[w.begin[own[:1]]])
-                        spelled = w.data[w.begin[own]].tobytes()  # "a" or "I" may stand before it
-                        rows.append(self._words([spelled, spelled[1:]]).max(0, keepdims=True))
+                        rows.append([len(values) + len(spelled) - 1])
+                        run = w.data[w.begin[own]].tobytes()  # "a" or "I" may stand before it
+                        spelled.append(self._words([run, run[1:]]).max(0, keepdims=True))
         text, line, row = np.concatenate(texts), np.concatenate(lines), np.concatenate(rows)
+        if len(spelled) > 1:
+            values = np.concatenate(spelled)
         if not len(text):
-            return text, row
+            return text, np.zeros((0, len(self.landmarks)), np.float32)
         order = np.lexsort((line, text))
         text, line, row = text[order], line[order], row[order]
         first = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (line[1:] != line[:-1])]))
-        return text[first], np.maximum.reduceat(row, first)
+        end = np.append(first[1:], len(row))
+        out = np.empty((len(first), len(self.landmarks)), np.float32)
+        done = 0
+        while done < len(first):  # rows are gathered for few sentences at a time
+            low = int(first[done])
+            upto = max(int(np.searchsorted(end, low + GATHERED, "right")), done + 1)
+            high = int(end[upto - 1])
+            if high - low > GATHERED:  # one sentence
+                out[done] = np.max([values[row[k : min(k + GATHERED, high)]].max(0) for k in range(low, high, GATHERED)], 0)
+            else:
+                out[done:upto] = np.maximum.reduceat(values[row[low:high]], first[done:upto] - low)
+            done = upto
+        return text[first], out
 
 
 def _both(rows: np.ndarray) -> np.ndarray:
@@ -385,14 +404,15 @@ def fitted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """Every row of ``docs`` as struct ``row``, with its ``score`` from 0 to 1."""
-    rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
+    rows, place = rows_and_text(docs, text_col)
     schema = rows.select("row").schema.add("score", "double")
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sentences = Sentences(model.landmarks) if model.landmarks else None
         for batch in stream:
-            for at, to in tokens.chunks(batch.column(1)):  # small batches out, so memory stays bounded
-                margin = margins(model, batch.column(1).slice(at, to - at).to_pylist(), sentences) if sentences else np.zeros(to - at)
+            texts = tokens.texts(batch, place)
+            for at, to in tokens.chunks(texts):  # small batches out, so memory stays bounded
+                margin = margins(model, texts.slice(at, to - at).to_pylist(), sentences) if sentences else np.zeros(to - at)
                 score = 1 / (1 + np.exp(-np.clip(model.slope * margin + model.offset, -30, 30)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, to - at), pa.array(score, pa.float64())], ["row", "score"])
 
