@@ -14,7 +14,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, decontaminate, jaccard, sharding, simhash, substring, tokens, toxicity, training_order, warc, wrappers
-from tidemark.llm.common import components, stored
+from tidemark.llm.common import components, rows_and_text, stored
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -195,6 +195,25 @@ def test_bpe_equals_tiktoken():
         assert decoder.decode(ids) == text.encode()
 
 
+def test_bpe_of_many_words_by_one_queue(monkeypatch):
+    """Short pre-tokens are merged together, also where a merge gives a smaller rank; long ones by themselves."""
+    rng = random.Random(17)
+    for draw in range(30):
+        names = {"".join(rng.choice("abc") for _ in range(rng.randrange(2, 6))) for _ in range(60)}
+        later = rng.sample(sorted(names), len(names))  # in any order, so longer tokens often come before their parts
+        ranks = {bytes([b]): b for b in range(256)} | {w.encode(): 256 + i for i, w in enumerate(later)}
+        other = tiktoken.Encoding(f"own{draw}", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        texts = [" ".join("".join(rng.choice("abc") for _ in range(rng.randrange(1, 30))) for _ in range(40)) for _ in range(5)] + ["", "é" + "abc" * 40]
+        encoder, long = bpe.Encoder(ranks, public_tokenizers.PATTERN), []
+        merge = encoder.merge
+        monkeypatch.setattr(encoder, "merge", lambda data: long.append(data) or merge(data))
+        monkeypatch.setattr(bpe, "SHARED", rng.choice([1, 50, 1 << 17]))
+        for _ in range(2):
+            assert [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode_all(texts)] == [other.encode_ordinary(t) for t in texts]
+        assert all(len(data) > bpe.KEPT_BYTES for data in long) and long
+        assert all(len(p) <= bpe.KEPT_BYTES for p in encoder.tables[0])
+
+
 def test_bpe_frame(docs, texts, none):
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     for frame, count in ((docs, len(texts)), (none, 0)):
@@ -294,6 +313,19 @@ def test_longest_sentences_and_words_of_many_pieces_score_alike(monkeypatch):
     assert len(found[2][0])
 
 
+@pytest.mark.parametrize("kind", ["string", "binary"])
+def test_text_goes_to_the_workers_once(spark, kind):
+    rows = spark.sql(f"SELECT 1L AS doc_id, CAST('an idiot' AS {kind}) AS text, 'x' AS more UNION ALL SELECT NULL, NULL, NULL")
+    sent, place = rows_and_text(rows)
+    assert (sent.columns, place) == ((["row"], 1) if kind == "string" else (["row", "text"], None))
+    model = toxicity.learn(["an idiot here"] * 2 + [f"calm word{i}" for i in range(9)], np.array([1] * 2 + [0] * 9))
+    plans = [toxicity.scored(rows, model), bpe.encoded(rows, {bytes([b]): b for b in range(256)}, public_tokenizers.PATTERN)]
+    for plan in plans:
+        found = {r["row"]["doc_id"]: r for r in plan.collect()}
+        assert found[1]["row"]["more"] == "x" and len(found) == 2
+    assert {r["row"]["doc_id"]: len(r["ids"]) for r in plans[1].collect()} == {1: 4 * len("an idiot"), None: 0}
+
+
 def test_decontamination(spark, docs, none):
     rng = random.Random(8)
     items = {i: " ".join(f"b{rng.randrange(10**5)}" for _ in range(15 + 20 * i)) for i in range(8)}

@@ -4,8 +4,9 @@ A pre-token starts as a linked list of its bytes. Every adjacent pair that merge
 its rank; a bitmap of two levels, 256 bits a word, marks the buckets in use, so the next rank is two
 find-first-set steps away, whatever the length. A bucket holds left positions; an entry is stale, and is
 skipped, if its pair has changed since. Within a rank the leftmost pair merges first. A pre-token of n
-bytes takes O(n) queue steps, which suits very long ones; short ones repeat and are kept in a bounded
-table per worker.
+bytes takes O(n) queue steps, which suits very long ones. Short ones repeat and are kept in a bounded
+table per worker; those of a chunk of texts that are not known yet wait in one queue together, which
+takes a bucket's pairs from the left, but leaves those of a pre-token that has a smaller rank waiting by then.
 
 Each match of the pattern is a pre-token. There are no special tokens: their strings are ordinary text.
 
@@ -21,6 +22,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from heapq import heappop, heappush
+from itertools import chain
 from struct import pack
 
 import numpy as np
@@ -30,12 +32,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import tokens
+from tidemark.llm.common import rows_and_text
 
 #: Pre-tokens of up to so many characters are kept, and at most so many of them per Python worker.
-KEPT_BYTES, KEPT = 64, 500_000
+KEPT_BYTES, KEPT = 64, 150_000
 #: Texts below this code point are split by the standard library's expressions, which are faster.
 SIMPLE = 0x300
 PAGE, MASK = 8, 255
+#: Bytes of texts that are split together, and of short pre-tokens that share a queue.
+TOGETHER, SHARED = 1 << 18, 1 << 15
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -97,6 +102,11 @@ class Encoder:
         self.plain_split = re.compile(plain).findall if plain else self.any_split
         self.beyond = re.compile(f"[{chr(SIMPLE)}-\U0010ffff]").search
         self.tables = [{}, {}] if tables is None else tables
+        self.byte = np.array([ranks[bytes([b])] for b in range(256)], np.uint32)
+        self.pair = np.full(1 << 16, -1, np.int64)  # rank of two bytes
+        for token, rank in ranks.items():
+            if len(token) == 2:
+                self.pair[token[0] << 8 | token[1]] = rank
 
     def merge(self, data: bytes) -> list[int]:
         """Token ids of one pre-token.
@@ -170,24 +180,138 @@ class Encoder:
             i = end[i]
         return out
 
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
+    def merge_short(self, words: list[bytes]) -> list[bytes]:
+        """Packed token ids of many pre-tokens, none of them empty, by one queue over their bytes in a row.
+
+        A bucket is taken whole and from the left, since pre-tokens do not touch each other. Where a merge
+        gives its pre-token a smaller rank than the bucket's, what else the bucket holds of it waits on.
+        """
+        get, data = self.ranks.get, b"".join(words)
+        n, size = len(data), np.array([len(w) for w in words])
+        edge = np.concatenate([[0], np.cumsum(size)])  # where pre-tokens begin, and the end
+        begins = bytearray(n + 1)
+        for at in edge.tolist():
+            begins[at] = 1
+        raw = np.frombuffer(data, np.uint8)
+        first = np.full(n, -1, np.int64)
+        first[:-1] = self.pair[raw[:-1].astype(np.int64) << 8 | raw[1:]]
+        first[edge[1:] - 1] = -1
+        waiting = first.tolist()  # rank under which the pair that begins here waits, or -1
+        end = list(range(1, n + 1))  # end of the token that begins here
+        before = list(range(-1, n - 1))  # begin of the token before
+        word = np.repeat(np.arange(len(words)), size).tolist()
+        token = self.byte[raw].tolist()  # -1 once merged into the token before
+        top, pages, buckets = 0, {}, {}
+        order = np.argsort(first, kind="stable")
+        order = order[np.searchsorted(first[order], 0) :]
+        ranks, at = np.unique(first[order], return_index=True)
+        for rank, bucket in zip(ranks.tolist(), np.split(order, at[1:])):
+            buckets[rank] = bucket.tolist()
+            page = rank >> PAGE
+            pages[page] = pages.get(page, 0) | 1 << (rank & MASK)
+            top |= 1 << page
+        while top:
+            page = (top & -top).bit_length() - 1
+            bits = pages[page]
+            rank = page << PAGE | (bits & -bits).bit_length() - 1
+            bits &= bits - 1
+            pages[page] = bits
+            if not bits:
+                top &= top - 1
+            bucket = buckets.pop(rank)
+            bucket.sort()
+            left, later = set(), []
+            for i in bucket:
+                if waiting[i] != rank:
+                    continue  # stale
+                if left and word[i] in left:
+                    later.append(i)
+                    continue
+                j = end[i]
+                k = end[j]
+                end[i] = k
+                waiting[i] = waiting[j] = token[j] = -1
+                token[i] = rank
+                if not begins[k]:
+                    before[k] = i
+                    new = get(data[i : end[k]])
+                    if new is not None:
+                        waiting[i] = new
+                        if new in buckets:
+                            buckets[new].append(i)
+                        else:
+                            buckets[new] = [i]
+                            page = new >> PAGE
+                            pages[page] = pages.get(page, 0) | 1 << (new & MASK)
+                            top |= 1 << page
+                        if new < rank:
+                            left.add(word[i])
+                if not begins[i]:
+                    h = before[i]
+                    new = get(data[h:k])
+                    if new is None:
+                        waiting[h] = -1
+                    else:
+                        waiting[h] = new
+                        if new in buckets:
+                            buckets[new].append(h)
+                        else:
+                            buckets[new] = [h]
+                            page = new >> PAGE
+                            pages[page] = pages.get(page, 0) | 1 << (new & MASK)
+                            top |= 1 << page
+                        if new < rank:
+                            left.add(word[i])
+            if later:
+                buckets[rank] = later
+                page = rank >> PAGE
+                pages[page] = pages.get(page, 0) | 1 << (rank & MASK)
+                top |= 1 << page
+        ids = np.array(token, np.int64)
+        alive = ids >= 0
+        to = (4 * np.concatenate([[0], np.cumsum(alive)])[edge]).tolist()
+        packed = ids[alive].astype("<u4").tobytes()
+        return [packed[a:b] for a, b in zip(to[:-1], to[1:])]
+
+    def _merged(self, parts: set[str]) -> dict[str, bytes]:
+        """Packed ids of distinct pre-tokens."""
+        out, some, room = {}, {}, SHARED
+        for p in parts:
+            data = p.encode()
+            whole = self.ranks.get(data)
+            if whole is not None:
+                out[p] = pack("<I", whole)
+            elif len(p) > KEPT_BYTES:
+                merged = self.merge(data)
+                out[p] = pack(f"<{len(merged)}I", *merged)
+            else:
+                some[p] = data
+                room -= len(data)
+                if room <= 0:
+                    out.update(zip(some, self.merge_short(list(some.values()))))
+                    some, room = {}, SHARED
+        if some:
+            out.update(zip(some, self.merge_short(list(some.values()))))
+        return out
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
         known, older = self.tables
-        out = []
-        for p in (self.any_split if self.beyond(text) else self.plain_split)(text):
-            ids = known.get(p)
-            if ids is None:
-                ids = older.get(p)
-                if ids is None:
-                    merged = self.merge(p.encode())
-                    ids = pack(f"<{len(merged)}I", *merged)
-                if len(p) <= KEPT_BYTES:
-                    if len(known) >= KEPT // 2:
-                        older, known = known, {}
-                        self.tables[:] = known, older
-                    known[p] = ids
-            out.append(ids)
-        return b"".join(out)
+        split = [(self.any_split if self.beyond(text) else self.plain_split)(text) for text in texts]
+        unknown = set(chain.from_iterable(split)).difference(known)
+        here = {p: older[p] for p in unknown if p in older}
+        here |= self._merged(unknown.difference(here))
+        known.update(here)
+        out = [b"".join(map(known.__getitem__, parts)) for parts in split]
+        for p in here:
+            if len(p) > KEPT_BYTES:
+                del known[p]
+        if len(known) >= KEPT // 2:
+            self.tables[:] = {}, known
+        return out
+
+    def encode(self, text: str) -> bytes:
+        return self.encode_all([text])[0]
 
 
 class Decoder:
@@ -206,14 +330,15 @@ class Decoder:
 def encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text") -> DataFrame:
     """Every row of ``docs`` as struct ``row``, with ``ids``: little-endian unsigned 32-bit token ids."""
     shared = docs.sparkSession.sparkContext.broadcast({"ranks": ranks, "pattern": pattern, "tables": [{}, {}]})
-    rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
+    rows, place = rows_and_text(docs, text_col)
     schema = rows.select("row").schema.add("ids", "binary")
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(**shared.value)  # a Python worker keeps the tables from task to task
         for batch in stream:
-            for at, to in tokens.chunks(batch.column(1)):  # small batches out, so memory stays bounded
-                ids = [encoder.encode(text.as_py()) for text in batch.column(1).slice(at, to - at)]
+            texts = tokens.texts(batch, place)
+            for at, to in tokens.chunks(texts, TOGETHER):  # small batches out, so memory stays bounded
+                ids = encoder.encode_all(texts.slice(at, to - at).to_pylist())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, to - at), pa.array(ids, pa.binary())], ["row", "ids"])
 
     return rows.mapInArrow(run, schema)
