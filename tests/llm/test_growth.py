@@ -1,4 +1,4 @@
-"""What must not grow faster than the input."""
+"""What must not grow faster than the input, and sums that must not overflow."""
 
 import random
 import time
@@ -6,7 +6,7 @@ import time
 import pytest
 
 from tests.llm.test_operators import linked, near_copies
-from tidemark.llm import jaccard
+from tidemark.llm import jaccard, simhash
 from tidemark.llm.common import CLEANUP, stored
 
 
@@ -70,3 +70,10 @@ def test_a_stored_frame_leaves_no_shuffle_files(spark):
         time.sleep(0.1)
     assert not left
     assert spark.conf.get(CLEANUP, "false") == "false"
+
+
+def test_long_runs_of_one_term_do_not_overflow_the_votes(spark):
+    """Only the one term votes, so the fingerprint is that of a short text of it."""
+    rows = [(0, "elephant " * 20000), (1, "elephant elephant"), (2, "elephant " * (2 * simhash.CHUNK + 1)), (3, "elephant " * 16000 + "dog")]
+    got = {r["id"]: (r["f1"], r["f2"]) for r in simhash.fingerprints(spark.createDataFrame(rows, "id long, text string"), ["id"]).collect()}
+    assert got[0] == got[1] == got[2] == got[3]

@@ -24,7 +24,7 @@ from tidemark.llm.common import id_and_text, parts, stored
 from tidemark.llm.sharding import range_of
 
 BITS = 128
-CHUNK = 16384  # times the largest weight, 3, is below 2**16
+CHUNK = 8192  # times the largest weight, 3, is below 2**15: the top counter holds the sign, and sums that overflow end the job
 LONG_WORD = 6
 LANES = 0x0001000100010001
 
